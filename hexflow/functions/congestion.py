@@ -28,6 +28,12 @@ def congestion_index(current="currentSpeed", free_flow="freeFlowSpeed") -> Colum
     return F.when(raw < 0, F.lit(0.0)).otherwise(raw)
 
 
+def stable_round(c, decimals: int) -> Column:
+    """Round to ``decimals`` after first rounding at ``STATUS_DECIMALS``, so the
+    last kept digit does not depend on float summation order."""
+    return F.round(F.round(_c(c), STATUS_DECIMALS), decimals)
+
+
 def traffic_status(avg_ci="avg_congestion_index", heavy: float = HEAVY_ABOVE,
                    gridlock: float = GRIDLOCK_ABOVE) -> Column:
     """GRIDLOCK above ``gridlock``, HEAVY above ``heavy``, else CLEAR (NULL is CLEAR)."""

@@ -2,7 +2,7 @@
 
 No geometry library and no UDF: WKT text is split with regular expressions
 into ``ARRAY<STRUCT<x DOUBLE, y DOUBLE>>`` and reduced with higher-order
-functions, so everything stays inside whole-stage codegen.
+functions, so everything runs in the JVM next to the scan.
 """
 
 from __future__ import annotations
@@ -127,3 +127,21 @@ def wkt_centroid(wkt) -> Column:
     lon = F.when(weighted, acc["x"] / acc["l"]).when(npts > 0, mean["x"] / npts)
     lat = F.when(weighted, acc["y"] / acc["l"]).when(npts > 0, mean["y"] / npts)
     return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+
+def cell_of(lon: float, lat: float, res: int = DEFAULT_RES, ref_lat: float = DEFAULT_REF_LAT) -> str:
+    """Plain-Python twin of ``geo_cell`` for one point (same IEEE operations),
+    used to name a cell in a parameter and to check the Column form."""
+    a, b, c = cell_constants(res, ref_lat)
+    qf = lon * a - lat * b
+    rf = lat * c
+    sf = -qf - rf
+    rq, rr, rs = (math.floor(x + 0.5) for x in (qf, rf, sf))
+    dq, dr, ds = abs(rq - qf), abs(rr - rf), abs(rs - sf)
+    if dq > dr and dq > ds:
+        q, r = -rr - rs, rr
+    elif dr > ds:
+        q, r = rq, -rq - rs
+    else:
+        q, r = rq, rr
+    return f"{res}:{q}:{r}"

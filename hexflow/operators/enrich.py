@@ -40,21 +40,28 @@ def readings(bronze: DataFrame, as_of=None, res: int = DEFAULT_RES, ref_lat: flo
     return p.select("h3_id", "currentSpeed", "freeFlowSpeed", "ingest_time")
 
 
+def join_crosswalk(reads: DataFrame, side: DataFrame) -> DataFrame:
+    """LEFT join on the case-insensitive cell id, with ``side`` used as given
+    (already hinted / broadcast by the caller)."""
+    s, m = reads.alias("stream"), side.alias("map")
+    return (s.join(m, F.lower(F.col("stream.h3_id")) == F.lower(F.col("map.h3_id")), "left")
+            .select(F.col("stream.h3_id").alias("h3_id"), F.col("stream.currentSpeed").alias("currentSpeed"),
+                    F.col("stream.freeFlowSpeed").alias("freeFlowSpeed"), F.col("map.osm_id").alias("osm_id"),
+                    F.col("map.full_road_name").alias("full_road_name"),
+                    F.col("stream.ingest_time").alias("ingest_time")))
+
+
 def enrich(reads: DataFrame, crosswalk: DataFrame, strategy: str = "auto",
            max_broadcast_rows: int = MAX_BROADCAST_ROWS, crosswalk_checked: bool = False) -> DataFrame:
     """LEFT join of readings to every road of their cell (case-insensitive cell id).
 
     One reading matches every road in its cell, so a reading yields one row
-    per matched road (or one row with NULL road columns).
+    per matched road (or one row with NULL road columns). The crosswalk is
+    broadcast only after its row count is measured within the bound.
     """
     side, _ = small_side(crosswalk.select("h3_id", "osm_id", "full_road_name"), strategy,
                          max_broadcast_rows, checked=crosswalk_checked)
-    s, m = reads.alias("stream"), side.alias("map")
-    return (s.join(m, F.lower(F.col("stream.h3_id")) == F.lower(F.col("map.h3_id")), "left")
-            .select(F.col("stream.h3_id").alias("h3_id"), F.col("stream.currentSpeed").alias("currentSpeed"),
-                    F.col("stream.freeFlowSpeed").alias("freeFlowSpeed"), F.col("map.osm_id").alias("osm_id"),
-                    F.col("map.full_road_name").alias("full_road_name"),
-                    F.col("stream.ingest_time").alias("ingest_time")))
+    return join_crosswalk(reads, side)
 
 
 def valid_condition(max_speed: int = MAX_SPEED):

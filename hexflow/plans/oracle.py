@@ -146,24 +146,36 @@ def stage_ctes(as_of: str = AS_OF, max_speed: int = MAX_SPEED) -> str:
     ))
 
 
+def dround(x: str, n: int) -> str:
+    """Spark's ``round`` on a DOUBLE: half-up on the shortest decimal text of
+    the value (DuckDB also prints doubles in shortest form)."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
+
+
+def rnd(x: str, n: int) -> str:
+    """Twin of ``hexflow.functions.congestion.stable_round``."""
+    return dround(dround(x, 9), n)
+
+
 def status_sql(avg: str, heavy: float = 0.4, gridlock: float = 0.8) -> str:
-    return (f"CASE WHEN round({avg}, 9) > {dbl(gridlock)} THEN 'GRIDLOCK' "
-            f"WHEN round({avg}, 9) > {dbl(heavy)} THEN 'HEAVY' ELSE 'CLEAR' END")
+    return (f"CASE WHEN {dround(avg, 9)} > {dbl(gridlock)} THEN 'GRIDLOCK' "
+            f"WHEN {dround(avg, 9)} > {dbl(heavy)} THEN 'HEAVY' ELSE 'CLEAR' END")
 
 
-def gold_cte(name: str = "gold", size_min: int = 1, slide_min: int | None = None) -> str:
+def gold_cte(name: str = "gold", size_min: int = 1, slide_min: int | None = None, where: str | None = None) -> str:
     """Gold windows over ``silver_ci``. Sliding windows: the ``size/slide``
     windows holding a row start at its slide bucket minus k*slide."""
     slide = slide_min or size_min
+    base = f"(SELECT * FROM silver_ci WHERE {where})" if where else "silver_ci"
     if slide == size_min:
         win = (f"time_bucket(INTERVAL '{size_min} minutes', ingest_time) AS window_start, "
                f"time_bucket(INTERVAL '{size_min} minutes', ingest_time) + INTERVAL '{size_min} minutes' AS window_end")
-        src = "silver_ci"
+        src = base
     else:
         n = -(-size_min // slide)
         win = "ws AS window_start, ws + INTERVAL '" + str(size_min) + " minutes' AS window_end"
         src = (f"(SELECT *, time_bucket(INTERVAL '{slide} minutes', ingest_time) - to_minutes(o * {slide}) AS ws "
-               f"FROM silver_ci, range({n}) r(o)) x WHERE ingest_time < ws + INTERVAL '{size_min} minutes'")
+               f"FROM {base}, range({n}) r(o)) x WHERE ingest_time < ws + INTERVAL '{size_min} minutes'")
     return f"""{name}_a AS (
   SELECT full_road_name AS road_name, {win}, avg(ci) AS avg_ci, count(*) AS total
   FROM {src} GROUP BY ALL),

@@ -85,3 +85,18 @@ def roads_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("fclass"),
         wkt.alias("geometry_wkt"),
     )
+
+
+def landing_records(bronze: DataFrame) -> DataFrame:
+    """One JSON object per bronze row (``value`` text), as the poller lands it:
+    speeds as JSON numbers, payload objects nested (not quoted), absent
+    fields left out."""
+    def field(name: str, raw: bool) -> Column:
+        v = F.col(name)
+        body = v if raw else F.concat(F.lit('"'), v, F.lit('"'))
+        return F.when(v.isNotNull(), F.concat(F.lit(f'"{name}":'), body))
+
+    parts = [F.concat(F.lit('"event_id":'), F.col("event_id").cast("string")),
+             field("currentSpeed", True), field("freeFlowSpeed", True), field("coordinates", True),
+             field("flowSegmentData", True), field("pulled_at", False)]
+    return bronze.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
