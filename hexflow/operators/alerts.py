@@ -21,6 +21,8 @@ ALERT_TEXT = "\U0001f6a8 *GRIDLOCK ALERT* \U0001f6a8\n\U0001f4cd Road: %s\n\U000
 RECENCY_MINUTES = 30
 COOLDOWN_MINUTES = 30
 ALERT_COLUMNS = ("road_name", "window_start", "avg_congestion_index", "text", "alerted_at", "batch_id")
+ALERT_SCHEMA = ("road_name string, window_start timestamp, avg_congestion_index double, text string, "
+                "alerted_at timestamp, batch_id long")
 
 
 def _minutes(n: int):
@@ -36,8 +38,12 @@ def recent_gridlocks(gold: DataFrame, as_of, recency_minutes: int = RECENCY_MINU
 
 
 def empty_alert_log(spark) -> DataFrame:
-    return spark.createDataFrame([], "road_name string, window_start timestamp, avg_congestion_index double, "
-                                     "text string, alerted_at timestamp, batch_id long")
+    return spark.createDataFrame([], ALERT_SCHEMA)
+
+
+def read_alert_log(spark, path: str) -> DataFrame:
+    """The alert table (partitioned by ``batch_id``); empty when nothing was written."""
+    return spark.read.schema(ALERT_SCHEMA).parquet(path)
 
 
 def gridlock_alerts(gold: DataFrame, alert_log: DataFrame | None, as_of, batch_id: int = 0,

@@ -607,10 +607,5 @@ def stream_gold(spark, sf_dir):
 def stream_alerts(spark, sf_dir):
     """T11-T13 inside the gold micro-batch (30-minute recency at the fixture's now)."""
     p = _stream_chain(spark, sf_dir, "gold")
-    from ..sources.tables import path_exists
-    if not path_exists(spark, p["alerts"]):
-        return spark.createDataFrame([], "road_name string, window_start timestamp, avg_congestion_index double, "
-                                         "text string, alerted_at timestamp, batch_id long")
-    return _alert_out(spark.read.parquet(p["alerts"]).select(
-        "road_name", "window_start", "avg_congestion_index", "text", "alerted_at",
-        F.col("batch_id").cast("long").alias("batch_id")))
+    from ..operators.alerts import read_alert_log
+    return _alert_out(read_alert_log(spark, p["alerts"]))

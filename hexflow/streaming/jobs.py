@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.alerts import COOLDOWN_MINUTES, RECENCY_MINUTES, gridlock_alerts
+from ..operators.alerts import COOLDOWN_MINUTES, RECENCY_MINUTES, gridlock_alerts, read_alert_log
 from ..operators.enrich import join_crosswalk, quarantine_rows, readings, silver_rows
 from ..operators.joins import MAX_BROADCAST_ROWS, small_side
 from ..operators.windows import congestion_windows, to_gold
@@ -122,7 +122,7 @@ def gold_batch_writer(gold_path: str, alert_path: str | None, as_of=None,
         now = F.current_timestamp() if as_of is None else as_of
         log = None
         if path_exists(spark, alert_path):
-            log = spark.read.parquet(alert_path).where(F.col("batch_id") != F.lit(int(batch_id)))
+            log = read_alert_log(spark, alert_path).where(F.col("batch_id") != F.lit(int(batch_id)))
         alerts = gridlock_alerts(gold, log, now, batch_id, recency_minutes, cooldown_minutes)
         (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(alert_path))
