@@ -29,11 +29,15 @@ def readings(bronze: DataFrame, as_of=None, res: int = DEFAULT_RES, ref_lat: flo
     drops nothing there.
     """
     p = parse_bronze(bronze, as_of=as_of)
+    cols = ["lon", "lat", "currentSpeed", "freeFlowSpeed", "ingest_time"]
     if not keep_unparsed:
-        # The cell is NULL exactly when lon or lat is NULL. Filtering on the
-        # parsed inputs (not on the cell) keeps the predicate Catalyst pushes
-        # below the projections small: it never inlines the cell arithmetic.
-        p = p.where(F.col("lon").isNotNull() & F.col("lat").isNotNull() & F.col("currentSpeed").isNotNull())
+        # Rows without a point or a speed are dropped by emitting them through
+        # ``inline`` of a NULL array instead of a Filter: Catalyst pushes a
+        # Filter below the parse projection and inlines it, parsing every
+        # payload twice; a generator keeps one parse per row. (The cell is
+        # NULL exactly when lon or lat is NULL.)
+        ok = F.col("lon").isNotNull() & F.col("lat").isNotNull() & F.col("currentSpeed").isNotNull()
+        p = p.select(F.inline(F.when(ok, F.array(F.struct(*cols)))))
     p = add_cell(p, "lon", "lat", "h3_id", res, ref_lat)
     if watermark:
         p = p.withWatermark("ingest_time", watermark)

@@ -3,8 +3,9 @@
 A side is broadcast only after its row count has been *measured* below a
 bound; beyond the bound the join falls back to a shuffled join, where AQE
 (``spark.sql.adaptive.skewJoin.enabled``) splits skewed partitions. The
-measured side is first materialised with a reliable ``checkpoint()`` into
-the shared checkpoint folder so the size check does not recompute it.
+measured side is first materialised as a Parquet table in the shared
+checkpoint folder (one job; ``checkpoint()`` would compute the plan once to
+count and again to write), so the size check and the join both read files.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 # Default bound on broadcast rows. Dimension rows here are three short
 # strings (~100 bytes), so 2M rows stay well under the 8 GB broadcast limit
@@ -22,10 +23,15 @@ MAX_BROADCAST_ROWS = 2_000_000
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by writing it to the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage of ``df``: write it once as Parquet under the shared
+    checkpoint folder and read it back. Survives the loss of any executor
+    (the files are on shared storage), and later jobs re-read files instead
+    of recomputing the plan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:

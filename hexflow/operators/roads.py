@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import DEFAULT_REF_LAT, DEFAULT_RES, add_cell, wkt_centroid
-from ..functions.parse import as_timestamp
+from ..functions.parse import LAT_PATHS, LON_PATHS, _first_path, as_timestamp
 from .joins import MAX_BROADCAST_ROWS, small_side
 
 ROAD_INDEX_COLUMNS = ("osm_id", "full_road_name", "lat", "lon", "h3_id", "ingest_time")
@@ -39,10 +39,21 @@ def reading_cells(readings: DataFrame, cell_col: str = "h3_id") -> DataFrame:
     return readings.select(cell_col).distinct()
 
 
+def traffic_cells(bronze: DataFrame, res: int = DEFAULT_RES, ref_lat: float = DEFAULT_REF_LAT) -> DataFrame:
+    """Distinct cells of every landed reading that has a point (speed or time
+    not needed): only the point paths are parsed."""
+    pts = bronze.select(_first_path(LAT_PATHS).try_cast("double").alias("lat"),
+                        _first_path(LON_PATHS).try_cast("double").alias("lon"))
+    return add_cell(pts, "lon", "lat", "h3_id", res, ref_lat).select("h3_id").distinct()
+
+
 def build_crosswalk(readings: DataFrame, index: DataFrame, strategy: str = "auto",
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``h3_id, osm_id, full_road_name`` for every road whose cell has traffic.
 
+    ``readings`` is anything with an ``h3_id`` column: parsed readings, or
+    ``traffic_cells(bronze)``.
+
     The distinct traffic cells are the small side: they are materialised,
     counted and broadcast when within the bound, so the (large) road index is
     scanned once without a shuffle. The final ``distinct`` removes duplicate

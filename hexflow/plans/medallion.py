@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.enrich import enrich, quarantine_rows, readings, silver_rows
 from ..operators.joins import MAX_BROADCAST_ROWS, materialize
-from ..operators.roads import build_crosswalk, road_index
+from ..operators.roads import build_crosswalk, road_index, traffic_cells
 from ..operators.windows import gold_from_readings
 from ..sources.fixtures import FIXTURE_AS_OF, bronze_view, roads_view
 
@@ -32,8 +32,8 @@ def crosswalk_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_of
                  max_broadcast_rows: int = MAX_BROADCAST_ROWS, materialized: bool = True) -> DataFrame:
     """The crosswalk, materialised in the checkpoint folder (it is read by
     every later stage and its size decides the enrichment join)."""
-    xw = build_crosswalk(readings(bronze_view(spark, sf_dir), as_of=as_of),
-                         road_index_of(spark, sf_dir, as_of), strategy, max_broadcast_rows)
+    xw = build_crosswalk(traffic_cells(bronze_view(spark, sf_dir)), road_index_of(spark, sf_dir, as_of),
+                         strategy, max_broadcast_rows)
     return materialize(xw) if materialized else xw
 
 
@@ -52,6 +52,8 @@ def quarantine_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_o
 
 def gold_of(spark: SparkSession, sf_dir: str, size: str = "1 minute", slide: str | None = None,
             as_of=FIXTURE_AS_OF, keep_window: bool = False) -> DataFrame:
-    """Gold windows from bronze without materialising the reading x road fan-out."""
-    xw = crosswalk_of(spark, sf_dir, as_of=as_of)
+    """Gold windows from bronze without materialising the reading x road fan-out.
+    (The crosswalk is reduced to road weights, which are materialised and
+    size-checked themselves.)"""
+    xw = crosswalk_of(spark, sf_dir, as_of=as_of, materialized=False)
     return gold_from_readings(readings_of(spark, sf_dir, as_of), xw, size, slide, keep_window=keep_window)

@@ -18,7 +18,7 @@ from ..functions.geo import add_cell, cell_of, wkt_centroid
 from ..functions.parse import as_timestamp, parse_bronze, parse_ctime
 from ..operators.alerts import ALERT_TEXT, gridlock_alerts
 from ..operators.enrich import MAX_SPEED, readings, valid_condition
-from ..operators.roads import build_crosswalk, reading_cells
+from ..operators.roads import build_crosswalk, reading_cells, traffic_cells
 from ..operators.windows import congestion_windows, gold_from_readings
 from ..session import scratch_path
 from ..sources.fixtures import FIXTURE_AS_OF, bronze_view, landing_records, roads_view
@@ -146,7 +146,7 @@ def road_index_q(spark, sf_dir):
 
 def _crosswalk(strategy):
     def q(spark, sf_dir):
-        return build_crosswalk(M.readings_of(spark, sf_dir), M.road_index_of(spark, sf_dir), strategy)
+        return M.crosswalk_of(spark, sf_dir, strategy, materialized=False)
     return q
 
 
@@ -565,7 +565,7 @@ def _stream_chain(spark: SparkSession, sf_dir: str, upto: str) -> dict:
     if upto == "bronze":
         return p
     bronze = spark.read.schema(schema).parquet(p["bronze"])
-    xw = build_crosswalk(readings(bronze, as_of=AS_OF), M.road_index_of(spark, sf_dir))
+    xw = build_crosswalk(traffic_cells(bronze), M.road_index_of(spark, sf_dir))
     S.run_silver(spark, p["bronze"], schema, xw, p["silver"], p["quarantine"], f"{p['ckpt']}/silver", as_of=AS_OF)
     if upto == "silver":
         return p

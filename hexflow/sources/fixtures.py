@@ -28,7 +28,18 @@ FIXTURE_AS_OF = "2024-01-31 00:00:00"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer input splits than task slots.
+
+    A file written as one row group is one split, so its (CPU-heavy) JSON and
+    geometry parsing would run in one task. Large inputs have many splits and
+    pass through unchanged; the check reads only file metadata.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def _ctime(ts: Column) -> Column:
