@@ -185,6 +185,8 @@ def gold_cte(name: str = "gold", size_min: int = 1, slide_min: int | None = None
   FROM {name}_a)"""
 
 
-def with_stages(final_select: str, extra_ctes: tuple[str, ...] = (), as_of: str = AS_OF) -> str:
+def with_stages(final_select: str, extra_ctes: tuple[str, ...] = (), as_of: str = AS_OF,
+                recursive: bool = False) -> str:
     ctes = [stage_ctes(as_of), *extra_ctes]
-    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + final_select.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(c.strip() for c in ctes) + "\n" + final_select.strip()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.congestion import STATUS_DECIMALS, stable_round
 from ..functions.geo import add_cell, cell_of, wkt_centroid
 from ..functions.parse import as_timestamp, parse_bronze, parse_ctime
-from ..operators.alerts import ALERT_TEXT, gridlock_alerts
+from ..operators.alerts import ALERT_TEXT, gridlock_alerts, replay_alerts
 from ..operators.enrich import MAX_SPEED, readings, valid_condition
 from ..operators.roads import build_crosswalk, reading_cells, traffic_cells
 from ..operators.windows import congestion_windows, gold_from_readings
@@ -499,6 +499,22 @@ def alerts_cooldown(spark, sf_dir):
     return _alert_out(gridlock_alerts(second, log, SECOND_RUN, 1, COOLDOWN_RECENCY_MIN))
 
 
+@register("replay_alerts", O.with_stages(
+    f"SELECT r.road_name, r.t AS window_start, {O.rnd('g.avg_congestion_index', 6)} AS avg_congestion_index "
+    "FROM r JOIN gold g ON g.road_name = r.road_name AND g.window_start = r.t",
+    (O.gold_cte("gold"),
+     "gl AS (SELECT road_name, window_start FROM gold WHERE traffic_status = 'GRIDLOCK')",
+     "nx AS (SELECT road_name, window_start, min(window_start) OVER (PARTITION BY road_name ORDER BY window_start "
+     "RANGE BETWEEN INTERVAL '1801 seconds' FOLLOWING AND UNBOUNDED FOLLOWING) AS next_t FROM gl)",
+     "r AS (SELECT road_name, min(window_start) AS t FROM gl GROUP BY road_name UNION ALL "
+     "SELECT n.road_name, n.next_t FROM r JOIN nx n ON n.road_name = r.road_name AND n.window_start = r.t "
+     "WHERE n.next_t IS NOT NULL)"), recursive=True))
+def replay_alerts_q(spark, sf_dir):
+    """T12 replay form: one alert per road per 30-minute cooldown over the
+    whole GRIDLOCK history (greedy on emitted alerts)."""
+    return _alert_out(replay_alerts(_gold(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- table writes
 
 @register("gold_merge", gsql(f"SELECT {GOLD_OUT} FROM gold"))

@@ -137,3 +137,16 @@ def test_recency_and_cooldown_boundaries(spark):
     assert sorted(out) == ["C"]                      # A cooled down (exactly 30 min), C sent (31 min)
     assert out["C"].window_start == w(5)             # latest window of the road
     assert out["C"].text.endswith("Road: C\n\U0001f4c9 Congestion Index: 0.85") and out["C"].batch_id == 7
+
+
+def test_replay_alerts_greedy_across_days(spark):
+    from hexflow.operators.alerts import replay_alerts
+    t = lambda day, h, m: dt.datetime(2024, 1, day, h, m)
+    rows = [("A", t(1, 23, 50)), ("A", t(2, 0, 10)), ("A", t(2, 0, 25)), ("A", t(2, 0, 40)), ("A", t(2, 1, 0)),
+            ("A", t(2, 1, 30)), ("A", t(2, 1, 31)), ("B", t(5, 12, 0)), ("B", t(7, 0, 0))]
+    gold = _gold(spark, [(r, w, w + dt.timedelta(minutes=1), 0.9, "GRIDLOCK", 1) for r, w in rows]
+                 + [("A", t(2, 0, 30), t(2, 0, 31), 0.5, "HEAVY", 1)])
+    got = sorted((r.road_name, r.window_start) for r in replay_alerts(gold).collect())
+    # 00:25 is 35 min after 23:50; 01:30 is exactly 30 min after 01:00 (held), 01:31 is 31 min after
+    assert got == [("A", t(1, 23, 50)), ("A", t(2, 0, 25)), ("A", t(2, 1, 0)), ("A", t(2, 1, 31)),
+                   ("B", t(5, 12, 0)), ("B", t(7, 0, 0))]
