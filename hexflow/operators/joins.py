@@ -23,15 +23,17 @@ MAX_BROADCAST_ROWS = 2_000_000
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", with_path: bool = False):
     """Cut the lineage of ``df``: write it once as Parquet under the shared
     checkpoint folder and read it back. Survives the loss of any executor
     (the files are on shared storage), and later jobs re-read files instead
-    of recomputing the plan."""
+    of recomputing the plan. ``with_path`` also returns the folder, for a
+    caller that removes it once done."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, path) if with_path else out
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:

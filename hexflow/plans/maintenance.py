@@ -24,12 +24,23 @@ DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
 
 def table_detail(spark: SparkSession, path: str) -> DataFrame:
-    """One row: ``num_files, size_in_bytes`` (files holding at least one row)."""
+    """One row: ``num_files, size_in_bytes, num_rows`` (files holding at least
+    one row), from one pass over the file metadata columns."""
     files = (spark.read.parquet(path)
              .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
-             .groupBy("file_path").agg(F.max("file_size").alias("file_size")))
+             .groupBy("file_path").agg(F.max("file_size").alias("file_size"), F.count(F.lit(1)).alias("rows")))
     return files.agg(F.count(F.lit(1)).alias("num_files"),
-                     F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("size_in_bytes"))
+                     F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("size_in_bytes"),
+                     F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("num_rows"))
+
+
+def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """M5: ``table_name, num_files, size_in_bytes, num_rows`` for each named path."""
+    out = None
+    for name, path in tables.items():
+        d = table_detail(spark, path).select(F.lit(name).alias("table_name"), "*")
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 def _rename(spark: SparkSession, src: str, dst: str) -> None:

@@ -558,6 +558,20 @@ def table_detail_q(spark, sf_dir):
     return MT.table_detail(spark, target)
 
 
+@register("table_sizes")
+def table_sizes_q(spark, sf_dir):
+    """M5: files, bytes and rows of the crosswalk, silver, quarantine and gold
+    tables as written (rows-only check)."""
+    from ..sources.tables import with_window_date
+    base = scratch_path(spark, "tables")
+    paths = {n: f"{base}/{n}" for n in ("crosswalk", "silver", "quarantine", "gold")}
+    M.crosswalk_of(spark, sf_dir).write.parquet(paths["crosswalk"])
+    M.silver_of(spark, sf_dir).write.parquet(paths["silver"])
+    M.quarantine_of(spark, sf_dir).write.parquet(paths["quarantine"])
+    with_window_date(_gold(spark, sf_dir)).write.partitionBy("window_date").parquet(paths["gold"])
+    return MT.table_sizes(spark, paths)
+
+
 @register("range_layout", O.with_stages(
     f"SELECT h3_id, osm_id, full_road_name FROM crosswalk WHERE h3_id = '{LOOKUP_CELL}'"))
 def range_layout_q(spark, sf_dir):

@@ -29,6 +29,25 @@ LOCAL_CONF = {
 }
 
 
+# Recommended settings for a large cluster (not applied automatically; pass as
+# ``extra`` or put them in the cluster's defaults). Shuffle partitions start
+# high and AQE coalesces them to ~256 MB; skewed join partitions are split;
+# scans cut files into 256 MB splits; per-(window, road) stream state lives in
+# RocksDB instead of the executor heap.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "hexflow", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

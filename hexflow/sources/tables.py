@@ -5,9 +5,10 @@ jobs over the *touched partitions only*:
 
 * ``upsert``: old rows of the touched partitions minus the keys of the
   update (``left_anti``), plus the update, written back with dynamic
-  partition overwrite. The merged partitions are first checkpointed into the
-  shared checkpoint folder, so the write never reads the files it replaces
-  and a lost executor only re-runs tasks. Re-applying a batch is harmless.
+  partition overwrite. The batch and the merged partitions are first staged
+  as Parquet in the shared checkpoint folder (removed afterwards), so the
+  write never reads the files it replaces and a lost executor only re-runs
+  tasks. Re-applying a batch is harmless.
 * ``delete_where``: counts the matches, rewrites the touched partitions with
   the negated predicate, and removes partitions left empty.
 
@@ -96,18 +97,21 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys=("road_nam
         # Bounded: only duplicates of one key compete, never a whole road.
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
         updates = updates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    updates = materialize(updates)
+    updates, staged = materialize(updates, "upsert-batch", with_path=True)
     dates = _touched(updates, partition_col)
-    if not dates:
-        return 0
-    merged = updates
-    if path_exists(spark, target):
-        old = spark.read.parquet(target).where(F.col(partition_col).isin(dates))
-        kept = old.join(updates.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(updates.select(*old.columns))
-    merged = materialize(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target))
+    scratch = [staged]
+    if dates:
+        merged = updates
+        if path_exists(spark, target):
+            old = spark.read.parquet(target).where(F.col(partition_col).isin(dates))
+            kept = old.join(updates.select(*keys), keys, "left_anti")
+            merged = kept.unionByName(updates.select(*old.columns))
+        merged, path = materialize(merged, "upsert-merged", with_path=True)
+        scratch.append(path)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(target))
+    for path in scratch:   # staged copies are only needed until the target is rewritten
+        _delete_path(spark, path)
     return len(dates)
 
 
@@ -121,7 +125,7 @@ def delete_where(spark: SparkSession, target: str, predicate: str, partition_col
     if not deleted:
         return 0
     dates = [r[partition_col] for r in counts]
-    rest = materialize(table.where(F.col(partition_col).isin(dates) & ~cond))
+    rest, staged = materialize(table.where(F.col(partition_col).isin(dates) & ~cond), "delete-rest", with_path=True)
     keep_dates = {r[0] for r in rest.select(partition_col).distinct().collect()}
     if keep_dates:
         (rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -129,4 +133,5 @@ def delete_where(spark: SparkSession, target: str, predicate: str, partition_col
     for d in dates:
         if d not in keep_dates:
             _delete_path(spark, f"{target.rstrip('/')}/{partition_col}={d}")
+    _delete_path(spark, staged)
     return deleted

@@ -60,3 +60,31 @@ def test_range_layout_narrows_file_ranges(spark):
               .agg(F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("lo").collect())
     assert len(ranges) == 4
     assert all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))
+
+
+def test_ddl_insert_truncate_drop(spark):
+    from hexflow.sources.tables import ensure_tables
+    db = "hexflow_t_" + scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'db')}'")
+    made = ensure_tables(spark, db)
+    assert made == ensure_tables(spark, db)                   # IF NOT EXISTS: idempotent
+    spark.sql(f"INSERT INTO {db}.gold_traffic_stats VALUES ('Main', TIMESTAMP'2024-01-01 10:00:00', "
+              "TIMESTAMP'2024-01-01 10:01:00', 0.92, 'GRIDLOCK', 1, DATE'2024-01-01')")
+    assert spark.table(f"{db}.gold_traffic_stats").count() == 1
+    spark.sql(f"CREATE TABLE {db}.gold_copy USING parquet AS SELECT * FROM {db}.gold_traffic_stats")
+    assert spark.table(f"{db}.gold_copy").first().traffic_status == "GRIDLOCK"
+    spark.sql(f"TRUNCATE TABLE {db}.gold_copy")
+    assert spark.table(f"{db}.gold_copy").count() == 0
+    spark.sql(f"DROP TABLE IF EXISTS {db}.gold_copy")
+    assert not spark.catalog.tableExists(f"{db}.gold_copy")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_upsert_leaves_no_staging(spark):
+    import os
+    target = scratch_path(spark, "t-upsert-clean")
+    root = os.path.dirname(target)
+    before = set(os.listdir(root))
+    upsert(spark, target, _g(spark, [("A", 1, 0, 0.1, 1)]))
+    new = set(os.listdir(root)) - before
+    assert [n for n in new if n.startswith("upsert-")] == []

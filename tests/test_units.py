@@ -150,3 +150,13 @@ def test_replay_alerts_greedy_across_days(spark):
     # 00:25 is 35 min after 23:50; 01:30 is exactly 30 min after 01:00 (held), 01:31 is 31 min after
     assert got == [("A", t(1, 23, 50)), ("A", t(2, 0, 25)), ("A", t(2, 1, 0)), ("A", t(2, 1, 31)),
                    ("B", t(5, 12, 0)), ("B", t(7, 0, 0))]
+
+
+def test_unwrap_flow_envelope(spark):
+    from hexflow.functions.parse import unwrap_flow
+    raw = spark.createDataFrame([('{"flowSegmentData":{"currentSpeed":4,"freeFlowSpeed":25}}',), ('{"error":"x"}',)],
+                                "raw string")
+    out = unwrap_flow(raw, "2026-03-05 01:10:28").collect()
+    assert out[0].flowSegmentData == '{"currentSpeed":4,"freeFlowSpeed":25}'
+    assert out[1].flowSegmentData == "{}"
+    assert out[0].pulled_at == "Thu Mar  5 01:10:28 2026"
