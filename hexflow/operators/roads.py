@@ -59,6 +59,9 @@ def build_crosswalk(readings: DataFrame, index: DataFrame, strategy: str = "auto
     scanned once without a shuffle. The final ``distinct`` removes duplicate
     road rows, as the reference's distinct does.
     """
-    cells, _ = small_side(reading_cells(readings), strategy, max_broadcast_rows)
-    roads = index.select(*CROSSWALK_COLUMNS)
-    return roads.join(cells, "h3_id").select(*CROSSWALK_COLUMNS).distinct()
+    cells = reading_cells(readings).where(F.col("h3_id").isNotNull() & (F.col("h3_id") != F.lit("")))
+    cells, _ = small_side(cells.withColumnRenamed("h3_id", "_cell"), strategy, max_broadcast_rows)
+    # Non-nullable key on the road side (NULL -> '', never a traffic cell): no
+    # inferred IS NOT NULL filter re-evaluating the centroid and cell per road.
+    roads = index.select(*CROSSWALK_COLUMNS).withColumn("_cell", F.coalesce(F.col("h3_id"), F.lit("")))
+    return roads.join(cells, "_cell").select(*CROSSWALK_COLUMNS).distinct()

@@ -54,7 +54,8 @@ def congestion_windows(silver: DataFrame, size: str = "1 minute", slide: str | N
 
 def road_weights(crosswalk: DataFrame) -> DataFrame:
     """Named, matched roads per (cell, road name): the fan-out weight ``k``."""
-    return (crosswalk.where(F.col("osm_id").isNotNull() & F.col("full_road_name").isNotNull())
+    return (crosswalk.where(F.col("osm_id").isNotNull() & F.col("full_road_name").isNotNull()
+                            & F.col("h3_id").isNotNull() & (F.col("h3_id") != F.lit("")))
             .groupBy(F.lower("h3_id").alias("cell"), F.col("full_road_name").alias("road_name"))
             .agg(F.count(F.lit(1)).alias("k")))
 
@@ -65,8 +66,11 @@ def gold_from_readings(reads: DataFrame, crosswalk: DataFrame, size: str = "1 mi
                        keep_window: bool = False) -> DataFrame:
     """Gold windows straight from readings, equal to
     ``congestion_windows(silver_rows(enrich(reads, crosswalk)))``."""
+    # The key is made non-nullable (a NULL cell becomes '', which no crosswalk
+    # cell equals), so the inner join infers no IS NOT NULL filter that would
+    # evaluate the cell expression a second time per reading.
     r = reads.where(F.col("currentSpeed") <= max_speed).select(
-        F.lower("h3_id").alias("cell"), time_col, congestion_index().alias("ci"))
+        F.coalesce(F.lower("h3_id"), F.lit("")).alias("cell"), time_col, congestion_index().alias("ci"))
     per_cell = (r.groupBy(time_window(time_col, size, slide).alias("window"), "cell")
                 .agg(F.sum("ci").alias("s"), F.count("ci").alias("nci"), F.count(F.lit(1)).alias("n")))
     weights, _ = small_side(road_weights(crosswalk), strategy, max_broadcast_rows)
