@@ -39,13 +39,29 @@ def landing_schema(extra=()) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def infer_landing_schema(spark: SparkSession, landing_dir: str, store_path: str | None = None) -> T.StructType:
+def newest_files(spark: SparkSession, folder: str, limit: int) -> list[str]:
+    """Up to ``limit`` most recently modified data files directly under ``folder``
+    (a metadata listing; no file is opened)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stats = [st for st in fs.listStatus(p)
+             if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    stats.sort(key=lambda st: st.getModificationTime(), reverse=True)
+    return [st.getPath().toString() for st in stats[:limit]]
+
+
+def infer_landing_schema(spark: SparkSession, landing_dir: str, store_path: str | None = None,
+                         sample_files: int = 1000) -> T.StructType:
     """Top-level field names of the landed JSON, every field typed STRING.
 
-    The stored schema (JSON text at ``store_path``) is widened with new names,
-    never narrowed, so a new API field shows up as a new NULL-able column.
+    Only the ``sample_files`` newest files are read (new fields arrive in new
+    files), so the cost does not grow with the landing zone. The stored schema
+    (JSON text at ``store_path``) is widened with new names, never narrowed, so
+    a new API field shows up as a new NULL-able column.
     """
-    seen = spark.read.option("primitivesAsString", "true").json(landing_dir).columns
+    files = newest_files(spark, landing_dir, sample_files)
+    seen = spark.read.option("primitivesAsString", "true").json(files).columns if files else []
     names = [c for c in seen if c != "_corrupt_record"]
     if store_path and path_exists(spark, store_path):
         old = T.StructType.fromJson(json.loads(spark.read.text(store_path).first()[0]))
