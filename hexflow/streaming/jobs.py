@@ -122,6 +122,39 @@ def run_silver(spark: SparkSession, bronze_path: str, bronze_schema, crosswalk:
     append_stream(quarantine_rows(enriched()), quarantine_path, f"{checkpoint}/quarantine")
 
 
+def run_silver_one_pass(spark: SparkSession, bronze_path: str, bronze_schema, crosswalk: DataFrame,
+                        silver_path: str, quarantine_path: str, checkpoint: str, as_of=None,
+                        strategy: str = "auto", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                        max_files: int | None = None) -> None:
+    """One query, one parse per micro-batch: the enriched batch is persisted
+    and split into both tables inside ``foreachBatch``.
+
+    ``foreachBatch`` is at-least-once, so both tables are partitioned by
+    ``batch_id`` and written with dynamic partition overwrite: a replayed
+    batch replaces its own rows. The batch size is bounded by the source
+    (``max_files`` per trigger), which bounds what is persisted.
+    """
+    side, _ = small_side(crosswalk.select("h3_id", "osm_id", "full_road_name"), strategy, max_broadcast_rows)
+    r = spark.readStream.schema(bronze_schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", int(max_files))
+    enriched = join_crosswalk(readings(r.parquet(bronze_path), as_of=as_of), side)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for rows, path in ((silver_rows(batch), silver_path), (quarantine_rows(batch), quarantine_path)):
+                (rows.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(path))
+        finally:
+            batch.unpersist()
+
+    q = (enriched.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    _drain(q)
+
+
 def gold_batch_writer(gold_path: str, alert_path: str | None, as_of=None,
                       recency_minutes: int = RECENCY_MINUTES, cooldown_minutes: int = COOLDOWN_MINUTES):
     """``foreachBatch`` callback: upsert the changed windows, then write alerts.

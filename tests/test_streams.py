@@ -44,3 +44,24 @@ def test_landing_schema_widens(spark):
     assert "newField" not in s1.fieldNames() and "newField" in s2.fieldNames()
     assert set(s1.fieldNames()) <= set(s2.fieldNames())
     assert all(f.dataType.simpleString() == "string" for f in s2.fields)
+
+
+def test_one_pass_silver_equals_two_queries(spark):
+    from pyspark.sql import functions as F
+    from hexflow.plans import medallion as M
+    from hexflow.sources.fixtures import FIXTURE_AS_OF, bronze_view
+    from hexflow.sources.tables import QUARANTINE_SCHEMA
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "t-onepass")
+    bronze = bronze_view(spark, sf).drop("event_id")
+    bronze.repartition(4).write.parquet(f"{base}/bronze")
+    xw = M.crosswalk_of(spark, sf)
+    S.run_silver(spark, f"{base}/bronze", bronze.schema, xw, f"{base}/s2", f"{base}/q2", f"{base}/c2",
+                 as_of=FIXTURE_AS_OF)
+    S.run_silver_one_pass(spark, f"{base}/bronze", bronze.schema, xw, f"{base}/s1", f"{base}/q1", f"{base}/c1",
+                          as_of=FIXTURE_AS_OF, max_files=2)
+    for one, two, schema in (("s1", "s2", SILVER_SCHEMA), ("q1", "q2", QUARANTINE_SCHEMA)):
+        a = spark.read.parquet(f"{base}/{one}").drop("batch_id")
+        b = spark.read.schema(schema).parquet(f"{base}/{two}")
+        assert a.count() == b.count() > 0
+        assert a.select(*b.columns).exceptAll(b).count() == 0
