@@ -32,6 +32,25 @@ def time_window(time_col: str, size: str, slide: str | None) -> Column:
     return F.window(time_col, size)
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(duration: str) -> int | None:
+    """Seconds of a simple duration string ("10 minutes"); None if not simple."""
+    parts = duration.strip().lower().split()
+    if len(parts) != 2 or not parts[0].isdigit():
+        return None
+    unit = _UNITS.get(parts[1].rstrip("s"))
+    return None if unit is None else int(parts[0]) * unit
+
+
+def _sliding_multiple(size: str, slide: str | None) -> bool:
+    if not slide or slide == size:
+        return False
+    a, b = _seconds(size), _seconds(slide)
+    return bool(a and b and a > b and a % b == 0)
+
+
 def to_gold(agg: DataFrame) -> DataFrame:
     """Flatten the ``window`` struct and type the gold columns."""
     return agg.select("road_name", F.col("window.start").alias("window_start"),
@@ -71,8 +90,17 @@ def gold_from_readings(reads: DataFrame, crosswalk: DataFrame, size: str = "1 mi
     # evaluate the cell expression a second time per reading.
     r = reads.where(F.col("currentSpeed") <= max_speed).select(
         F.coalesce(F.lower("h3_id"), F.lit("")).alias("cell"), time_col, congestion_index().alias("ci"))
-    per_cell = (r.groupBy(time_window(time_col, size, slide).alias("window"), "cell")
-                .agg(F.sum("ci").alias("s"), F.count("ci").alias("nci"), F.count(F.lit(1)).alias("n")))
+    sums = (F.sum("ci").alias("s"), F.count("ci").alias("nci"), F.count(F.lit(1)).alias("n"))
+    if _sliding_multiple(size, slide):
+        # Sliding: readings are summed per (slide bucket, cell) first; only
+        # those partial sums are expanded into the size/slide windows holding
+        # each bucket (buckets are slide-aligned, so a bucket lies wholly in
+        # every window that holds its start). Sums and counts are additive.
+        per_bucket = (r.groupBy(F.window(time_col, slide).start.alias("b"), "cell").agg(*sums))
+        per_cell = (per_bucket.groupBy(F.window("b", size, slide).alias("window"), "cell")
+                    .agg(F.sum("s").alias("s"), F.sum("nci").alias("nci"), F.sum("n").alias("n")))
+    else:
+        per_cell = r.groupBy(time_window(time_col, size, slide).alias("window"), "cell").agg(*sums)
     weights, _ = small_side(road_weights(crosswalk), strategy, max_broadcast_rows)
     k = F.col("k")
     agg = (per_cell.join(weights, "cell")

@@ -17,7 +17,7 @@ from ..functions.congestion import STATUS_DECIMALS, stable_round
 from ..functions.geo import add_cell, cell_of, wkt_centroid
 from ..functions.parse import as_timestamp, parse_bronze, parse_ctime
 from ..operators.alerts import ALERT_TEXT, gridlock_alerts, replay_alerts
-from ..operators.enrich import MAX_SPEED, readings, valid_condition
+from ..operators.enrich import MAX_SPEED, valid_condition
 from ..operators.roads import build_crosswalk, reading_cells, traffic_cells
 from ..operators.windows import congestion_windows, gold_from_readings
 from ..session import scratch_path

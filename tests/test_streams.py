@@ -47,7 +47,6 @@ def test_landing_schema_widens(spark):
 
 
 def test_one_pass_silver_equals_two_queries(spark):
-    from pyspark.sql import functions as F
     from hexflow.plans import medallion as M
     from hexflow.sources.fixtures import FIXTURE_AS_OF, bronze_view
     from hexflow.sources.tables import QUARANTINE_SCHEMA

@@ -9,7 +9,7 @@ from hexflow.functions.congestion import congestion_index, traffic_status
 from hexflow.functions.geo import cell_of, geo_cell, wkt_centroid
 from hexflow.functions.parse import parse_bronze, parse_ctime
 from hexflow.operators.alerts import gridlock_alerts, recent_gridlocks
-from hexflow.operators.enrich import enrich, quarantine_rows, readings, silver_rows
+from hexflow.operators.enrich import enrich, quarantine_rows, silver_rows
 from hexflow.operators.windows import congestion_windows, gold_from_readings
 
 
