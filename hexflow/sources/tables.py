@@ -62,6 +62,12 @@ def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -
     w.parquet(path)
 
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table whose appends widened the schema (K2): columns
+    missing from older files come back NULL."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -27,7 +27,7 @@ from ..operators.alerts import COOLDOWN_MINUTES, RECENCY_MINUTES, gridlock_alert
 from ..operators.enrich import join_crosswalk, quarantine_rows, readings, silver_rows
 from ..operators.joins import MAX_BROADCAST_ROWS, small_side
 from ..operators.windows import congestion_windows, to_gold
-from ..sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMA, path_exists, upsert
+from ..sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMA, path_exists, upsert  # noqa: F401
 
 # Fields every landing record may carry (read as text; absent ones are NULL).
 LANDING_FIELDS = ("currentSpeed", "freeFlowSpeed", "coordinates", "flowSegmentData", "pulled_at")
@@ -186,5 +186,3 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, checkpoint:
          .outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _drain(q)
 
-
-SCHEMAS = {"silver": SILVER_SCHEMA, "quarantine": QUARANTINE_SCHEMA}

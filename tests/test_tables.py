@@ -88,3 +88,19 @@ def test_upsert_leaves_no_staging(spark):
     upsert(spark, target, _g(spark, [("A", 1, 0, 0.1, 1)]))
     new = set(os.listdir(root)) - before
     assert [n for n in new if n.startswith("upsert-")] == []
+
+
+def test_append_with_schema_widening(spark):
+    from hexflow.sources.tables import read_merged
+    target = scratch_path(spark, "t-widen")
+    spark.createDataFrame([("a", 1)], "h3_id string, currentSpeed int").write.parquet(target)
+    spark.createDataFrame([("b", 2, "Main")], "h3_id string, currentSpeed int, full_road_name string") \
+        .write.mode("append").parquet(target)
+    got = sorted((r.h3_id, r.full_road_name) for r in read_merged(spark, target).collect())
+    assert got == [("a", None), ("b", "Main")]
+
+
+def test_reduction_percent():
+    from hexflow.plans.maintenance import reduction
+    assert reduction(29, 1) == (29 - 1) * 100.0 / 29
+    assert reduction(0, 0) == 0.0
