@@ -588,7 +588,7 @@ def _stream_chain(spark: SparkSession, sf_dir: str, upto: str) -> dict:
     """Land every reading as JSON, then run the availableNow streams in order."""
     base = scratch_path(spark, "stream")
     p = {k: f"{base}/{k}" for k in ("landing", "bronze", "silver", "quarantine", "gold", "alerts", "ckpt")}
-    landing_records(bronze_view(spark, sf_dir)).write.text(p["landing"])
+    landing_records(bronze_view(spark, sf_dir)).repartition(8).write.text(p["landing"])
     schema = S.infer_landing_schema(spark, p["landing"], f"{base}/_landing_schema")
     S.run_bronze(spark, p["landing"], p["bronze"], f"{p['ckpt']}/bronze", schema)
     p["schema"] = schema
@@ -603,6 +603,17 @@ def _stream_chain(spark: SparkSession, sf_dir: str, upto: str) -> dict:
     return p
 
 
+@register("crosswalk_incremental", O.with_stages("SELECT h3_id, osm_id, full_road_name FROM crosswalk"))
+def crosswalk_incremental(spark, sf_dir):
+    """§3.1: the crosswalk kept current by a stream over bronze, new cells only
+    (landing split into several files, several micro-batches)."""
+    p = _stream_chain(spark, sf_dir, "bronze")
+    base = p["bronze"].rsplit("/", 1)[0]
+    S.run_crosswalk(spark, p["bronze"], p["schema"], M.road_index_of(spark, sf_dir), f"{base}/crosswalk",
+                    f"{base}/cells_seen", f"{p['ckpt']}/crosswalk", max_files=2)
+    return S.read_crosswalk(spark, f"{base}/crosswalk")
+
+
 @register("stream_bronze", O.with_stages(
     "SELECT event_id, lat, lon, currentSpeed, freeFlowSpeed, ingest_time FROM parsed"))
 def stream_bronze(spark, sf_dir):

@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from ..operators.alerts import COOLDOWN_MINUTES, RECENCY_MINUTES, gridlock_alerts, read_alert_log
 from ..operators.enrich import join_crosswalk, quarantine_rows, readings, silver_rows
-from ..operators.joins import MAX_BROADCAST_ROWS, small_side
+from ..operators.joins import MAX_BROADCAST_ROWS, materialize, small_side
+from ..operators.roads import build_crosswalk, traffic_cells
 from ..operators.windows import congestion_windows, to_gold
 from ..sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMA, path_exists, upsert  # noqa: F401
 
@@ -155,6 +156,48 @@ def run_silver_one_pass(spark: SparkSession, bronze_path: str, bronze_schema, cr
     _drain(q)
 
 
+def crosswalk_batch_writer(road_index: DataFrame, crosswalk_path: str, seen_path: str,
+                           strategy: str = "auto", max_broadcast_rows: int = MAX_BROADCAST_ROWS):
+    """``foreachBatch`` callback keeping the crosswalk current on *new* cells.
+
+    Cells of the batch not seen before are joined with the road index and
+    appended; every new cell (matched or not) is recorded in ``seen_path`` so
+    it is never looked up again. Both tables are partitioned by ``batch_id``
+    and written with dynamic overwrite, and a replayed batch ignores its own
+    earlier partition, so replays are idempotent.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cells = traffic_cells(batch).where(F.col("h3_id").isNotNull())
+        if path_exists(spark, seen_path):
+            seen = spark.read.schema("h3_id string, batch_id long").parquet(seen_path)
+            cells = cells.join(seen.where(F.col("batch_id") != F.lit(int(batch_id))).select("h3_id"),
+                               "h3_id", "left_anti")
+        bid = F.lit(int(batch_id)).cast("long").alias("batch_id")
+        new_cells = materialize(cells, "crosswalk-new-cells")
+        xw = build_crosswalk(new_cells, road_index, strategy, max_broadcast_rows)
+        for df, path in ((xw.select("*", bid), crosswalk_path), (new_cells.select("h3_id", bid), seen_path)):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(path))
+    return write
+
+
+def run_crosswalk(spark: SparkSession, bronze_path: str, bronze_schema, road_index: DataFrame,
+                  crosswalk_path: str, seen_path: str, checkpoint: str, max_files: int | None = None) -> None:
+    """Incremental crosswalk: only the new bronze files of each run are read."""
+    r = spark.readStream.schema(bronze_schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", int(max_files))
+    q = (r.parquet(bronze_path).writeStream.foreachBatch(crosswalk_batch_writer(road_index, crosswalk_path, seen_path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _drain(q)
+
+
+def read_crosswalk(spark: SparkSession, crosswalk_path: str) -> DataFrame:
+    return spark.read.schema("h3_id string, osm_id string, full_road_name string, batch_id long") \
+        .parquet(crosswalk_path).drop("batch_id")
+
+
 def gold_batch_writer(gold_path: str, alert_path: str | None, as_of=None,
                       recency_minutes: int = RECENCY_MINUTES, cooldown_minutes: int = COOLDOWN_MINUTES):
     """``foreachBatch`` callback: upsert the changed windows, then write alerts.
