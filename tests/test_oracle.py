@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.oracle_check import canon, duck
+from tests.plan_report import summary
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(E.queries())
@@ -29,6 +30,7 @@ def test_entry_smoke(spark):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb(spark, con, name):
     sdf = E.queries()[name](spark, SF)
+    assert summary(sdf)["forbidden"] == []     # no cross join, nested loop or Python evaluation
     rows = [tuple(r) for r in sdf.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
