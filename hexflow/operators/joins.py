@@ -10,7 +10,7 @@ count and again to write), so the size check and the join both read files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -23,17 +23,20 @@ MAX_BROADCAST_ROWS = 2_000_000
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
-def materialize(df: DataFrame, name: str = "stage", with_path: bool = False):
+def materialize(df: DataFrame, name: str = "stage", with_path: bool = False, with_count: bool = False):
     """Cut the lineage of ``df``: write it once as Parquet under the shared
     checkpoint folder and read it back. Survives the loss of any executor
     (the files are on shared storage), and later jobs re-read files instead
     of recomputing the plan. ``with_path`` also returns the folder, for a
-    caller that removes it once done."""
+    caller that removes it once done; ``with_count`` also returns the row
+    count, observed during the write (no extra job)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    obs = Observation(f"{name}-rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     out = spark.read.parquet(path)
-    return (out, path) if with_path else out
+    extra = ((path,) if with_path else ()) + ((int(obs.get["rows"]),) if with_count else ())
+    return (out, *extra) if extra else out
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -54,7 +57,10 @@ def small_side(df: DataFrame, strategy: str = "auto", max_rows: int = MAX_BROADC
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy in ("merge", "shuffle_hash"):
         return df.hint(strategy), strategy
-    side = df if checked else materialize(df)
-    if bounded_count(side, max_rows) <= max_rows:
+    if checked:
+        side, n = df, bounded_count(df, max_rows)
+    else:
+        side, n = materialize(df, "small-side", with_count=True)
+    if n <= max_rows:
         return F.broadcast(side), "broadcast"
     return side, "shuffle"

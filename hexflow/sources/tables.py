@@ -18,11 +18,12 @@ across them (each partition is replaced whole).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.joins import materialize
+from ..session import scratch_path
 
 GOLD_SCHEMA = ("road_name string, window_start timestamp, window_end timestamp, avg_congestion_index double, "
                "traffic_status string, total_observations int")
@@ -81,12 +82,6 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _touched(df: DataFrame, partition_col: str) -> list:
-    """Distinct partition values of a batch: one per calendar day it spans,
-    so the list is bounded by the batch's time range, not its row count."""
-    return [r[0] for r in df.select(partition_col).distinct().collect()]
-
-
 def with_window_date(df: DataFrame, partition_col: str = "window_date") -> DataFrame:
     return df.withColumn(partition_col, F.to_date("window_start"))
 
@@ -103,8 +98,13 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys=("road_nam
         # Bounded: only duplicates of one key compete, never a whole road.
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
         updates = updates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    updates, staged = materialize(updates, "upsert-batch", with_path=True)
-    dates = _touched(updates, partition_col)
+    # Stage the batch once; the touched days are observed during that write
+    # (a set bounded by the days one batch spans), not by another job.
+    staged = scratch_path(spark, "upsert-batch")
+    obs = Observation("upsert-days")
+    updates.observe(obs, F.collect_set(partition_col).alias("days")).write.parquet(staged)
+    updates = spark.read.parquet(staged)
+    dates = list(obs.get["days"] or [])
     scratch = [staged]
     if dates:
         merged = updates
