@@ -160,3 +160,23 @@ def test_unwrap_flow_envelope(spark):
     assert out[0].flowSegmentData == '{"currentSpeed":4,"freeFlowSpeed":25}'
     assert out[1].flowSegmentData == "{}"
     assert out[0].pulled_at == "Thu Mar  5 01:10:28 2026"
+
+
+def test_hot_cell_holding_a_third_of_rows(spark):
+    """Skew: one cell and one minute carry a third of the readings; the
+    pre-aggregated plan still equals the fan-out plan, row for row."""
+    base = dt.datetime(2024, 1, 1, 8, 0, 0)
+    hot = spark.range(3000).select(F.lit("hot").alias("h3_id"), (F.col("id") % 40).cast("int").alias("currentSpeed"),
+                                   F.lit(40).alias("freeFlowSpeed"), F.lit(base).alias("ingest_time"))
+    cold = spark.range(6000).select(F.concat(F.lit("c"), (F.col("id") % 50).cast("string")).alias("h3_id"),
+                                    (F.col("id") % 60).cast("int").alias("currentSpeed"), F.lit(30).alias("freeFlowSpeed"),
+                                    (F.lit(base) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") % 90)).alias("ingest_time"))
+    reads = hot.unionByName(cold)
+    roads = [("hot", str(i), f"R{i % 3}") for i in range(12)] + [(f"c{i}", f"x{i}", f"R{i % 5}") for i in range(50)]
+    xw = spark.createDataFrame(roads, "h3_id string, osm_id string, full_road_name string")
+    a = {(r.road_name, r.window_start): (round(r.avg_congestion_index, 9), r.traffic_status, r.total_observations)
+         for r in gold_from_readings(reads, xw).collect()}
+    b = {(r.road_name, r.window_start): (round(r.avg_congestion_index, 9), r.traffic_status, r.total_observations)
+         for r in congestion_windows(silver_rows(enrich(reads, xw))).collect()}
+    assert a == b
+    assert a[("R0", base)][2] == 3000 * 4 + sum(1 for i in range(6000) if i % 90 == 0 and (i % 50) % 5 == 0)
