@@ -14,6 +14,8 @@ REASON_NO_MATCH = "Map Matching Failed (NULL osm_id)"
 REASON_UNNAMED = "Unnamed Road Segment (NULL name)"
 REASON_SPEED = "Invalid Speed (> 150mph)"
 MAX_SPEED = 150
+# Our own fourth reason, used only when unparsed readings are kept.
+REASON_UNPARSED = "Unparsed Reading (NULL point or speed)"
 
 SILVER_COLUMNS = ("h3_id", "currentSpeed", "freeFlowSpeed", "road_name", "osm_id", "full_road_name", "ingest_time")
 QUARANTINE_COLUMNS = ("h3_id", "currentSpeed", "osm_id", "error_reason", "ingest_time")
@@ -73,11 +75,17 @@ def valid_condition(max_speed: int = MAX_SPEED):
             & F.col("osm_id").isNotNull())
 
 
-def error_reason(max_speed: int = MAX_SPEED):
-    """Quarantine reason, NULL for a valid row. Precedence: no match, unnamed, speed."""
-    return (F.when(F.col("osm_id").isNull(), F.lit(REASON_NO_MATCH))
-            .when(F.col("full_road_name").isNull(), F.lit(REASON_UNNAMED))
-            .when(F.col("currentSpeed") > max_speed, F.lit(REASON_SPEED)))
+def error_reason(max_speed: int = MAX_SPEED, unparsed: bool = False):
+    """Quarantine reason, NULL for a valid row. Precedence: (unparsed,) no
+    match, unnamed, speed."""
+    rules = [(F.col("osm_id").isNull(), REASON_NO_MATCH), (F.col("full_road_name").isNull(), REASON_UNNAMED),
+             (F.col("currentSpeed") > max_speed, REASON_SPEED)]
+    if unparsed:
+        rules.insert(0, (F.col("h3_id").isNull() | F.col("currentSpeed").isNull(), REASON_UNPARSED))
+    out = F.when(rules[0][0], F.lit(rules[0][1]))
+    for cond, reason in rules[1:]:
+        out = out.when(cond, F.lit(reason))
+    return out
 
 
 def silver_rows(enriched: DataFrame, max_speed: int = MAX_SPEED) -> DataFrame:
@@ -86,9 +94,15 @@ def silver_rows(enriched: DataFrame, max_speed: int = MAX_SPEED) -> DataFrame:
             .select(*SILVER_COLUMNS))
 
 
-def quarantine_rows(enriched: DataFrame, max_speed: int = MAX_SPEED) -> DataFrame:
+def quarantine_rows(enriched: DataFrame, max_speed: int = MAX_SPEED, unparsed: bool = False) -> DataFrame:
+    """Rows failing the quality check, with their reason. With ``unparsed``
+    (readings built with ``keep_unparsed=True``), rows without a cell or a
+    speed are kept here too instead of being dropped."""
     bad = (F.col("currentSpeed") > max_speed) | F.col("osm_id").isNull() | F.col("full_road_name").isNull()
-    return enriched.where(bad).withColumn("error_reason", error_reason(max_speed)).select(*QUARANTINE_COLUMNS)
+    if unparsed:
+        bad = bad | F.col("h3_id").isNull() | F.col("currentSpeed").isNull()
+    return (enriched.where(bad).withColumn("error_reason", error_reason(max_speed, unparsed))
+            .select(*QUARANTINE_COLUMNS))
 
 
 def split_quality(enriched: DataFrame, max_speed: int = MAX_SPEED) -> tuple[DataFrame, DataFrame]:

@@ -39,11 +39,15 @@ def reading_cells(readings: DataFrame, cell_col: str = "h3_id") -> DataFrame:
     return readings.select(cell_col).distinct()
 
 
-def traffic_cells(bronze: DataFrame, res: int = DEFAULT_RES, ref_lat: float = DEFAULT_REF_LAT) -> DataFrame:
+def traffic_cells(bronze: DataFrame, res: int = DEFAULT_RES, ref_lat: float = DEFAULT_REF_LAT,
+                  strict: bool = False) -> DataFrame:
     """Distinct cells of every landed reading that has a point (speed or time
-    not needed): only the point paths are parsed."""
-    pts = bronze.select(_first_path(LAT_PATHS).try_cast("double").alias("lat"),
-                        _first_path(LON_PATHS).try_cast("double").alias("lon"))
+    not needed): only the point paths are parsed. ``strict`` reads only the
+    two point-array shapes, as the original crosswalk build did (a single
+    point object then never adds its cell)."""
+    lat_paths, lon_paths = (LAT_PATHS[::2], LON_PATHS[::2]) if strict else (LAT_PATHS, LON_PATHS)
+    pts = bronze.select(_first_path(lat_paths).try_cast("double").alias("lat"),
+                        _first_path(lon_paths).try_cast("double").alias("lon"))
     return add_cell(pts, "lon", "lat", "h3_id", res, ref_lat).select("h3_id").distinct()
 
 

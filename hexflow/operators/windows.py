@@ -71,20 +71,26 @@ def congestion_windows(silver: DataFrame, size: str = "1 minute", slide: str | N
     return agg if keep_window else to_gold(agg)
 
 
-def road_weights(crosswalk: DataFrame) -> DataFrame:
-    """Named, matched roads per (cell, road name): the fan-out weight ``k``."""
+def road_weights(crosswalk: DataFrame, distinct_readings: bool = False) -> DataFrame:
+    """Named, matched roads per (cell, road name): the fan-out weight ``k``
+    (1 when each reading counts once per road name)."""
+    k = F.max(F.lit(1)).cast("long") if distinct_readings else F.count(F.lit(1))
     return (crosswalk.where(F.col("osm_id").isNotNull() & F.col("full_road_name").isNotNull()
                             & F.col("h3_id").isNotNull() & (F.col("h3_id") != F.lit("")))
             .groupBy(F.lower("h3_id").alias("cell"), F.col("full_road_name").alias("road_name"))
-            .agg(F.count(F.lit(1)).alias("k")))
+            .agg(k.alias("k")))
 
 
 def gold_from_readings(reads: DataFrame, crosswalk: DataFrame, size: str = "1 minute",
                        slide: str | None = None, max_speed: int = MAX_SPEED, strategy: str = "auto",
                        max_broadcast_rows: int = MAX_BROADCAST_ROWS, time_col: str = "ingest_time",
-                       keep_window: bool = False) -> DataFrame:
+                       keep_window: bool = False, distinct_readings: bool = False) -> DataFrame:
     """Gold windows straight from readings, equal to
-    ``congestion_windows(silver_rows(enrich(reads, crosswalk)))``."""
+    ``congestion_windows(silver_rows(enrich(reads, crosswalk)))``.
+
+    ``distinct_readings``: count each reading once per road name (pings),
+    instead of once per matched road segment of that name (joined rows, the
+    original's ``total_observations``)."""
     # The key is made non-nullable (a NULL cell becomes '', which no crosswalk
     # cell equals), so the inner join infers no IS NOT NULL filter that would
     # evaluate the cell expression a second time per reading.
@@ -101,7 +107,7 @@ def gold_from_readings(reads: DataFrame, crosswalk: DataFrame, size: str = "1 mi
                     .agg(F.sum("s").alias("s"), F.sum("nci").alias("nci"), F.sum("n").alias("n")))
     else:
         per_cell = r.groupBy(time_window(time_col, size, slide).alias("window"), "cell").agg(*sums)
-    weights, _ = small_side(road_weights(crosswalk), strategy, max_broadcast_rows)
+    weights, _ = small_side(road_weights(crosswalk, distinct_readings), strategy, max_broadcast_rows)
     k = F.col("k")
     agg = (per_cell.join(weights, "cell")
            .groupBy("window", "road_name")

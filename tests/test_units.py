@@ -180,3 +180,35 @@ def test_hot_cell_holding_a_third_of_rows(spark):
          for r in congestion_windows(silver_rows(enrich(reads, xw))).collect()}
     assert a == b
     assert a[("R0", base)][2] == 3000 * 4 + sum(1 for i in range(6000) if i % 90 == 0 and (i % 50) % 5 == 0)
+
+
+def test_unparsed_readings_kept_with_a_fourth_reason(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0, 5)
+    reads = _reads(spark, [("c1", None, 30, t), (None, 10, 30, t), ("c1", 10, 30, t)])
+    xw = spark.createDataFrame([("c1", "1", "Main")], "h3_id string, osm_id string, full_road_name string")
+    e = enrich(reads, xw)
+    # default: a NULL-speed row reaches neither table; a NULL cell finds no road
+    assert [(r.h3_id, r.error_reason) for r in quarantine_rows(e).collect()] == [(None, "Map Matching Failed (NULL osm_id)")]
+    assert silver_rows(e).count() == 1
+    got = sorted((str(r.h3_id), r.error_reason) for r in quarantine_rows(e, unparsed=True).collect())
+    assert got == [("None", "Unparsed Reading (NULL point or speed)"), ("c1", "Unparsed Reading (NULL point or speed)")]
+
+
+def test_distinct_readings_counts_pings(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0, 5)
+    reads = _reads(spark, [("c1", 10, 30, t), ("c1", 20, 30, t)])
+    xw = spark.createDataFrame([("c1", "1", "Main"), ("c1", "2", "Main"), ("c1", "3", "Oak")],
+                               "h3_id string, osm_id string, full_road_name string")
+    joined = {r.road_name: r.total_observations for r in gold_from_readings(reads, xw).collect()}
+    pings = {r.road_name: r.total_observations for r in gold_from_readings(reads, xw, distinct_readings=True).collect()}
+    assert joined == {"Main": 4, "Oak": 2} and pings == {"Main": 2, "Oak": 2}
+
+
+def test_strict_crosswalk_cells_skip_single_point_objects(spark):
+    from hexflow.operators.roads import traffic_cells
+    rows = [(None, None, None, '{"coordinates":{"coordinate":{"latitude":40.72,"longitude":-74.1}}}', None),
+            (None, None, '{"coordinate":[{"latitude":40.73,"longitude":-74.2}]}', None, None)]
+    b = spark.createDataFrame(rows, "currentSpeed string, freeFlowSpeed string, coordinates string, "
+                                    "flowSegmentData string, pulled_at string")
+    assert {r.h3_id for r in traffic_cells(b).collect()} == {cell_of(-74.1, 40.72), cell_of(-74.2, 40.73)}
+    assert {r.h3_id for r in traffic_cells(b, strict=True).collect()} - {None} == {cell_of(-74.2, 40.73)}
