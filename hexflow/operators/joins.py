@@ -45,22 +45,29 @@ def bounded_count(df: DataFrame, bound: int) -> int:
 
 
 def small_side(df: DataFrame, strategy: str = "auto", max_rows: int = MAX_BROADCAST_ROWS,
-               checked: bool = False) -> tuple[DataFrame, str]:
+               checked: bool = False, where=None) -> tuple[DataFrame, str]:
     """Prepare the small side of a join and say which strategy it gets.
 
     ``auto``: materialise, count up to ``max_rows``, broadcast if within, else
     shuffle join. ``broadcast`` is honoured only when the check passes (the
     bound is never skipped). ``merge`` / ``shuffle_hash`` hint as asked.
     ``checked=True`` means the caller already materialised ``df``.
+    ``where`` is applied to the materialised files: a filter on a computed
+    column written on top of the plan would be pushed down and inlined into
+    the computation (even into the scan), evaluating it twice.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy in ("merge", "shuffle_hash"):
-        return df.hint(strategy), strategy
+        side = materialize(df, "small-side") if where is not None and not checked else df
+        side = side.where(where) if where is not None else side
+        return side.hint(strategy), strategy
     if checked:
         side, n = df, bounded_count(df, max_rows)
     else:
         side, n = materialize(df, "small-side", with_count=True)
+    if where is not None:
+        side = side.where(where)     # n stays an upper bound
     if n <= max_rows:
         return F.broadcast(side), "broadcast"
     return side, "shuffle"

@@ -11,6 +11,7 @@ from .joins import MAX_BROADCAST_ROWS, small_side
 
 ROAD_INDEX_COLUMNS = ("osm_id", "full_road_name", "lat", "lon", "h3_id", "ingest_time")
 CROSSWALK_COLUMNS = ("h3_id", "osm_id", "full_road_name")
+NO_CELL = "\u0000"
 
 
 def load_roads(roads: DataFrame) -> DataFrame:
@@ -63,9 +64,11 @@ def build_crosswalk(readings: DataFrame, index: DataFrame, strategy: str = "auto
     scanned once without a shuffle. The final ``distinct`` removes duplicate
     road rows, as the reference's distinct does.
     """
-    cells = reading_cells(readings).where(F.col("h3_id").isNotNull() & (F.col("h3_id") != F.lit("")))
-    cells, _ = small_side(cells.withColumnRenamed("h3_id", "_cell"), strategy, max_broadcast_rows)
-    # Non-nullable key on the road side (NULL -> '', never a traffic cell): no
-    # inferred IS NOT NULL filter re-evaluating the centroid and cell per road.
-    roads = index.select(*CROSSWALK_COLUMNS).withColumn("_cell", F.coalesce(F.col("h3_id"), F.lit("")))
+    cells, _ = small_side(reading_cells(readings).withColumnRenamed("h3_id", "_cell"), strategy, max_broadcast_rows,
+                          where=F.col("_cell").isNotNull())
+    # Non-nullable key on the road side: a road without a cell gets a NUL
+    # sentinel no printable cell id equals. Nothing is left for Catalyst to
+    # infer and push into the centroid / cell computation of every road (a
+    # comparison filter on the cells would be carried across the equi-join).
+    roads = index.select(*CROSSWALK_COLUMNS).withColumn("_cell", F.coalesce(F.col("h3_id"), F.lit(NO_CELL)))
     return roads.join(cells, "_cell").select(*CROSSWALK_COLUMNS).distinct()

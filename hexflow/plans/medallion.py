@@ -53,7 +53,7 @@ def quarantine_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_o
 def gold_of(spark: SparkSession, sf_dir: str, size: str = "1 minute", slide: str | None = None,
             as_of=FIXTURE_AS_OF, keep_window: bool = False) -> DataFrame:
     """Gold windows from bronze without materialising the reading x road fan-out.
-    (The crosswalk is reduced to road weights, which are materialised and
-    size-checked themselves.)"""
-    xw = crosswalk_of(spark, sf_dir, as_of=as_of, materialized=False)
+    (The road weights are computed from the written crosswalk: on top of its
+    plan, their filters would be pushed into the road centroid computation.)"""
+    xw = crosswalk_of(spark, sf_dir, as_of=as_of)
     return gold_from_readings(readings_of(spark, sf_dir, as_of), xw, size, slide, keep_window=keep_window)
