@@ -15,27 +15,39 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-# Default bound on broadcast rows. Dimension rows here are three short
-# strings (~100 bytes), so 2M rows stay well under the 8 GB broadcast limit
-# and the driver's memory even on the largest road network.
+# Default bounds on what is broadcast: rows, and bytes as measured from the
+# data (string bytes + fixed widths), far under Spark's 8 GB broadcast limit
+# and a driver's memory.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
+def row_bytes(df: DataFrame):
+    """Per-row size estimate: UTF-8 bytes of strings plus 8 per other field."""
+    parts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8)
+             for f in df.schema.fields]
+    out = F.lit(16)
+    for p in parts:
+        out = out + p
+    return out
+
+
 def materialize(df: DataFrame, name: str = "stage", with_path: bool = False, with_count: bool = False):
     """Cut the lineage of ``df``: write it once as Parquet under the shared
     checkpoint folder and read it back. Survives the loss of any executor
     (the files are on shared storage), and later jobs re-read files instead
     of recomputing the plan. ``with_path`` also returns the folder, for a
-    caller that removes it once done; ``with_count`` also returns the row
-    count, observed during the write (no extra job)."""
+    caller that removes it once done; ``with_count`` also returns
+    ``(rows, bytes)``, observed during the write (no extra job)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    obs = Observation(f"{name}-rows")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    obs = Observation(f"{name}-size")
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).write.parquet(path)
     out = spark.read.parquet(path)
-    extra = ((path,) if with_path else ()) + ((int(obs.get["rows"]),) if with_count else ())
+    size = (int(obs.get["rows"]), int(obs.get["bytes"] or 0))
+    extra = ((path,) if with_path else ()) + ((size,) if with_count else ())
     return (out, *extra) if extra else out
 
 
@@ -44,12 +56,18 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
+def bounded_size(df: DataFrame, bound: int) -> tuple[int, int]:
+    """``(rows, bytes)`` of at most ``bound + 1`` rows of ``df``."""
+    r = df.limit(bound + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
+    return int(r["rows"]), int(r["bytes"] or 0)
+
+
 def small_side(df: DataFrame, strategy: str = "auto", max_rows: int = MAX_BROADCAST_ROWS,
-               checked: bool = False, where=None) -> tuple[DataFrame, str]:
+               checked: bool = False, where=None, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, str]:
     """Prepare the small side of a join and say which strategy it gets.
 
-    ``auto``: materialise, count up to ``max_rows``, broadcast if within, else
-    shuffle join. ``broadcast`` is honoured only when the check passes (the
+    ``auto``: materialise, measure rows and bytes (observed during the write),
+    broadcast if both are within bounds, else shuffle join. ``broadcast`` is honoured only when the check passes (the
     bound is never skipped). ``merge`` / ``shuffle_hash`` hint as asked.
     ``checked=True`` means the caller already materialised ``df``.
     ``where`` is applied to the materialised files: a filter on a computed
@@ -63,11 +81,11 @@ def small_side(df: DataFrame, strategy: str = "auto", max_rows: int = MAX_BROADC
         side = side.where(where) if where is not None else side
         return side.hint(strategy), strategy
     if checked:
-        side, n = df, bounded_count(df, max_rows)
+        side, (n, size) = df, bounded_size(df, max_rows)
     else:
-        side, n = materialize(df, "small-side", with_count=True)
+        side, (n, size) = materialize(df, "small-side", with_count=True)
     if where is not None:
-        side = side.where(where)     # n stays an upper bound
-    if n <= max_rows:
+        side = side.where(where)     # n and size stay upper bounds
+    if n <= max_rows and size <= max_bytes:
         return F.broadcast(side), "broadcast"
     return side, "shuffle"

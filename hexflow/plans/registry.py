@@ -115,7 +115,7 @@ def geo_cell_q(spark, sf_dir):
     "FROM (SELECT try_strptime(regexp_replace(substring(pulled_at, 5), ' +', ' ', 'g'), '%b %d %H:%M:%S %Y') AS t "
     "FROM bronze)"))
 def bronze_range(spark, sf_dir):
-    """Row count and oldest/newest reading in local time (parsed first, H3)."""
+    """Row count and oldest/newest reading in local time (parsed first, hazard H3 of SURVEY §7.1)."""
     t = parse_ctime("pulled_at")
     return bronze_view(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("total_rows"),

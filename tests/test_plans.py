@@ -41,3 +41,12 @@ def test_gold_plan_aggregates_before_the_join(spark):
     assert join_at > 0
     assert plan.count("HashAggregate") >= 3
 
+
+
+def test_broadcast_refused_past_the_byte_bound(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("name"))
+    _, how = small_side(df, "auto", max_rows=1000, max_bytes=50_000)
+    assert how == "shuffle"           # 100 rows but ~100 KB
+    _, how = small_side(df, "auto", max_rows=1000, max_bytes=1_000_000)
+    assert how == "broadcast"
