@@ -129,7 +129,7 @@ def stage_ctes(as_of: str = AS_OF, max_speed: int = MAX_SPEED) -> str:
   SELECT DISTINCT r.h3_id, r.osm_id, r.full_road_name
   FROM (SELECT DISTINCT h3_id FROM readings_all WHERE h3_id IS NOT NULL) c JOIN road_index r ON c.h3_id = r.h3_id)""",
         """enriched AS (
-  SELECT s.h3_id, s.currentSpeed, s.freeFlowSpeed, m.osm_id, m.full_road_name, s.ingest_time
+  SELECT s.h3_id, s.currentSpeed, s.freeFlowSpeed, m.osm_id, m.full_road_name, s.ingest_time, s.event_id
   FROM readings s LEFT JOIN crosswalk m ON lower(s.h3_id) = lower(m.h3_id))""",
         f"""silver AS (
   SELECT h3_id, currentSpeed, freeFlowSpeed, CAST(NULL AS VARCHAR) AS road_name, osm_id, full_road_name, ingest_time

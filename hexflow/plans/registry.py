@@ -47,6 +47,7 @@ FIRST_BATCH_END, SECOND_RUN = "2024-01-30 12:00:00", "2024-01-30 12:20:00"
 COOLDOWN_RECENCY_MIN = 60
 LOOKUP_CELL = cell_of(-74.1150, 40.7100)   # the traffic point of spot 5
 UPSERT_FIRST_BEFORE, UPSERT_SECOND_FROM = "2024-01-16 00:00:00", "2024-01-10 00:00:00"
+LATE_SPLIT = "2024-01-16 00:00:00"   # landing of run 1: events before; run 2: the rest
 
 
 def register(name: str, sql: str | None = None):
@@ -614,6 +615,36 @@ def crosswalk_incremental(spark, sf_dir):
     return S.read_crosswalk(spark, f"{base}/crosswalk")
 
 
+@register("stream_late_drop", O.with_stages(
+    f"SELECT {GOLD_OUT} FROM gold_k",
+    ("valid_ev AS (SELECT e.full_road_name, e.ingest_time, ev.ts AS ets, "
+     "CASE WHEN 1.0::DOUBLE - e.currentSpeed::DOUBLE / nullif(e.freeFlowSpeed, 0) < 0 THEN 0.0::DOUBLE "
+     "ELSE 1.0::DOUBLE - e.currentSpeed::DOUBLE / nullif(e.freeFlowSpeed, 0) END AS ci "
+     "FROM enriched e JOIN events ev ON ev.event_id = e.event_id "
+     f"WHERE e.currentSpeed <= {MAX_SPEED} AND e.full_road_name IS NOT NULL AND e.osm_id IS NOT NULL)",
+     f"run1 AS (SELECT * FROM valid_ev WHERE ets < {O.ts(LATE_SPLIT)})",
+     "wm AS (SELECT max(ingest_time) - INTERVAL 1 SECOND AS w FROM run1)",
+     f"kept AS (SELECT * FROM run1 UNION ALL SELECT v.* FROM valid_ev v, wm WHERE v.ets >= {O.ts(LATE_SPLIT)} "
+     "AND time_bucket(INTERVAL '1 minute', v.ingest_time) + INTERVAL '1 minute' > wm.w)",
+     O.gold_cte("gold_k").replace("FROM silver_ci", "FROM kept"))))
+def stream_late_drop(spark, sf_dir):
+    """Two scheduled runs of the bronze -> silver -> gold streams over the
+    same checkpoints; run 2 lands the later events. Windows of run 2 that end
+    at or before run 1's watermark (max event time - 1 s) are dropped as late."""
+    base = scratch_path(spark, "late")
+    b = bronze_view(spark, sf_dir, with_event_ts=True)
+    split = F.col("ts") < as_timestamp(LATE_SPLIT).cast("timestamp_ntz")
+    schema = S.landing_schema(["event_id"])
+    xw = M.crosswalk_of(spark, sf_dir)
+    for i, part in enumerate((b.where(split), b.where(~split))):
+        landing_records(part.drop("ts")).repartition(4).write.mode("append").text(f"{base}/landing")
+        S.run_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/ckpt/bronze", schema)
+        S.run_silver(spark, f"{base}/bronze", schema, xw, f"{base}/silver", f"{base}/quarantine",
+                     f"{base}/ckpt/silver", as_of=AS_OF)
+        S.run_gold(spark, f"{base}/silver", f"{base}/gold", f"{base}/ckpt/gold", as_of=AS_OF)
+    return gold_out(spark.read.parquet(f"{base}/gold"))
+
+
 @register("stream_bronze", O.with_stages(
     "SELECT event_id, lat, lon, currentSpeed, freeFlowSpeed, ingest_time FROM parsed"))
 def stream_bronze(spark, sf_dir):

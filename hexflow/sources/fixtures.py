@@ -48,8 +48,9 @@ def _ctime(ts: Column) -> Column:
                     F.date_format(ts, " HH:mm:ss yyyy"))
 
 
-def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed readings: ``event_id`` plus the five all-STRING bronze fields."""
+def bronze_view(spark: SparkSession, sf_dir: str, with_event_ts: bool = False) -> DataFrame:
+    """Landed readings: ``event_id`` plus the five all-STRING bronze fields
+    (and the event's ``ts`` when asked, to split landings by time)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     i = F.col("user_id") % 25
     la = F.concat(F.lit("40."), (F.lit(7000) + i * 20).cast("string"))
@@ -74,6 +75,7 @@ def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(top, F.concat(F.lit('{"coordinate":['), pt, F.lit("]}"))).otherwise(null).alias("coordinates"),
         F.when(~top, nested).otherwise(null).alias("flowSegmentData"),
         pulled.alias("pulled_at"),
+        *([F.col("ts")] if with_event_ts else []),
     )
 
 
