@@ -299,7 +299,7 @@ def road_trend(spark, sf_dir):
 
 @register("kpi_all_time", gsql(
     "SELECT CAST(sum(total_observations) AS BIGINT) AS observations, count(*) AS windows, "
-    f"count_if(traffic_status = 'GRIDLOCK') AS gridlock_windows, {O.rnd('max(avg_congestion_index)', 6)} AS peak_ci "
+    f"CAST(count_if(traffic_status = 'GRIDLOCK') AS BIGINT) AS gridlock_windows, {O.rnd('max(avg_congestion_index)', 6)} AS peak_ci "
     "FROM gold"))
 def kpi_all_time(spark, sf_dir):
     k = D.kpi_all_time(_gold(spark, sf_dir))
@@ -317,7 +317,7 @@ def congestion_trend(spark, sf_dir):
 @register("road_comparison", gsql(
     f"SELECT road_name, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
     f"{O.rnd('max(avg_congestion_index)', 6)} AS max_ci, CAST(sum(total_observations) AS BIGINT) AS observations, "
-    "count_if(traffic_status = 'GRIDLOCK') AS gridlock_windows FROM gold GROUP BY road_name"))
+    "CAST(count_if(traffic_status = 'GRIDLOCK') AS BIGINT) AS gridlock_windows FROM gold GROUP BY road_name"))
 def road_comparison(spark, sf_dir):
     t = D.road_comparison(_gold(spark, sf_dir))
     return t.withColumn("avg_ci", r6("avg_ci")).withColumn("max_ci", r6("max_ci"))
@@ -326,7 +326,7 @@ def road_comparison(spark, sf_dir):
 @register("daily_summary", gsql(
     f"SELECT CAST({loc()} AS DATE) AS day_local, count(*) AS windows, "
     f"CAST(sum(total_observations) AS BIGINT) AS observations, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
-    "count_if(traffic_status = 'GRIDLOCK') AS gridlock_windows, count_if(traffic_status = 'HEAVY') AS heavy_windows "
+    "CAST(count_if(traffic_status = 'GRIDLOCK') AS BIGINT) AS gridlock_windows, CAST(count_if(traffic_status = 'HEAVY') AS BIGINT) AS heavy_windows "
     "FROM gold GROUP BY 1"))
 def daily_summary(spark, sf_dir):
     t = D.daily_summary(_gold(spark, sf_dir))
@@ -341,8 +341,8 @@ _A = O.ts(AS_OF)
     "CAST(sum(CASE WHEN prev THEN total_observations END) AS BIGINT) AS prev_observations, "
     f"{O.rnd('avg(CASE WHEN cur THEN avg_congestion_index END)', 6)} AS cur_avg_ci, "
     f"{O.rnd('avg(CASE WHEN prev THEN avg_congestion_index END)', 6)} AS prev_avg_ci, "
-    "count_if(cur AND traffic_status = 'GRIDLOCK') AS cur_gridlock_windows, "
-    "count_if(prev AND traffic_status = 'GRIDLOCK') AS prev_gridlock_windows, "
+    "CAST(count_if(cur AND traffic_status = 'GRIDLOCK') AS BIGINT) AS cur_gridlock_windows, "
+    "CAST(count_if(prev AND traffic_status = 'GRIDLOCK') AS BIGINT) AS prev_gridlock_windows, "
     f"{O.rnd('avg(CASE WHEN cur THEN avg_congestion_index END) - avg(CASE WHEN prev THEN avg_congestion_index END)', 6)}"
     " AS avg_ci_change "
     f"FROM (SELECT *, window_start > {_A} - INTERVAL 24 HOURS AND window_start <= {_A} AS cur, "
@@ -381,7 +381,7 @@ def street_congestion(spark, sf_dir):
 
 
 @register("heatmap_road_hour", gsql(
-    f"SELECT road_name, hour({loc()}) AS hour_local, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
+    f"SELECT road_name, CAST(hour({loc()}) AS INTEGER) AS hour_local, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
     "count(*) AS windows FROM gold GROUP BY 1, 2"))
 def heatmap_road_hour(spark, sf_dir):
     t = D.heatmap_road_hour(_gold(spark, sf_dir))
@@ -389,7 +389,7 @@ def heatmap_road_hour(spark, sf_dir):
 
 
 @register("hourly_pattern", gsql(
-    f"SELECT hour({loc()}) AS hour_local, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
+    f"SELECT CAST(hour({loc()}) AS INTEGER) AS hour_local, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
     "CAST(sum(total_observations) AS BIGINT) AS observations FROM gold GROUP BY 1"))
 def hourly_pattern(spark, sf_dir):
     t = D.hourly_pattern(_gold(spark, sf_dir))
@@ -413,7 +413,7 @@ def gridlock_history(spark, sf_dir):
 
 
 @register("dow_congestion", gsql(
-    f"SELECT dayofweek({loc()}) + 1 AS dow_local, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
+    f"SELECT CAST(dayofweek({loc()}) + 1 AS INTEGER) AS dow_local, {O.rnd('avg(avg_congestion_index)', 6)} AS avg_ci, "
     "count(*) AS windows FROM gold GROUP BY 1"))
 def dow_congestion(spark, sf_dir):
     t = D.dow_congestion(_gold(spark, sf_dir))
@@ -427,7 +427,7 @@ def dow_congestion(spark, sf_dir):
     "AS rn FROM cells) WHERE rn = 1) w ON c.road_name = w.road_name "
     "JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY road_name ORDER BY avg_ci ASC, dow_local ASC) "
     "AS rn FROM cells) WHERE rn = 1) b ON c.road_name = b.road_name",
-    f"cells AS (SELECT road_name, dayofweek({loc()}) + 1 AS dow_local, "
+    f"cells AS (SELECT road_name, CAST(dayofweek({loc()}) + 1 AS INTEGER) AS dow_local, "
     f"{O.dround('avg(avg_congestion_index)', STATUS_DECIMALS)} AS avg_ci FROM gold GROUP BY 1, 2)"))
 def heatmap_road_day(spark, sf_dir):
     return D.heatmap_road_day(_gold(spark, sf_dir))

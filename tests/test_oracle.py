@@ -7,6 +7,8 @@ from tests.oracle_check import canon, duck
 from tests.plan_report import summary
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "TimestampType()": "TIMESTAMP", "DateType()": "DATE"}
 NAMES = sorted(E.queries())
 
 
@@ -37,4 +39,6 @@ def test_query_matches_duckdb(spark, con, name):
         assert len(rows) >= 1
         return
     rel = con.sql(sql)
+    spark_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert canon(sdf.columns, rows) == canon(rel.columns, rel.fetchall())
