@@ -586,11 +586,15 @@ def range_layout_q(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 def _stream_chain(spark: SparkSession, sf_dir: str, upto: str) -> dict:
-    """Land every reading as JSON, then run the availableNow streams in order."""
+    """Land every reading as JSON, then run the availableNow streams in order
+    (``upto="gold"`` is exactly one ``run_scheduled``)."""
     base = scratch_path(spark, "stream")
-    p = {k: f"{base}/{k}" for k in ("landing", "bronze", "silver", "quarantine", "gold", "alerts", "ckpt")}
+    p = S.scheduled_paths(base)
     landing_records(bronze_view(spark, sf_dir)).repartition(8).write.text(p["landing"])
-    schema = S.infer_landing_schema(spark, p["landing"], f"{base}/_landing_schema")
+    if upto == "gold":
+        S.run_scheduled(spark, base, M.road_index_of(spark, sf_dir), as_of=AS_OF)
+        return p
+    schema = S.infer_landing_schema(spark, p["landing"], p["schema"])
     S.run_bronze(spark, p["landing"], p["bronze"], f"{p['ckpt']}/bronze", schema)
     p["schema"] = schema
     if upto == "bronze":
@@ -598,9 +602,6 @@ def _stream_chain(spark: SparkSession, sf_dir: str, upto: str) -> dict:
     bronze = spark.read.schema(schema).parquet(p["bronze"])
     xw = build_crosswalk(traffic_cells(bronze), M.road_index_of(spark, sf_dir))
     S.run_silver(spark, p["bronze"], schema, xw, p["silver"], p["quarantine"], f"{p['ckpt']}/silver", as_of=AS_OF)
-    if upto == "silver":
-        return p
-    S.run_gold(spark, p["silver"], p["gold"], f"{p['ckpt']}/gold", p["alerts"], as_of=AS_OF)
     return p
 
 
@@ -609,10 +610,9 @@ def crosswalk_incremental(spark, sf_dir):
     """§3.1: the crosswalk kept current by a stream over bronze, new cells only
     (landing split into several files, several micro-batches)."""
     p = _stream_chain(spark, sf_dir, "bronze")
-    base = p["bronze"].rsplit("/", 1)[0]
-    S.run_crosswalk(spark, p["bronze"], p["schema"], M.road_index_of(spark, sf_dir), f"{base}/crosswalk",
-                    f"{base}/cells_seen", f"{p['ckpt']}/crosswalk", max_files=2)
-    return S.read_crosswalk(spark, f"{base}/crosswalk")
+    S.run_crosswalk(spark, p["bronze"], p["schema"], M.road_index_of(spark, sf_dir), p["crosswalk"],
+                    p["cells_seen"], f"{p['ckpt']}/crosswalk", max_files=2)
+    return S.read_crosswalk(spark, p["crosswalk"])
 
 
 @register("stream_late_drop", O.with_stages(

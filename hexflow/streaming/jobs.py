@@ -229,3 +229,35 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, checkpoint:
          .outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _drain(q)
 
+
+
+def scheduled_paths(base: str) -> dict:
+    """Folder layout of one deployment under ``base`` (shared storage)."""
+    names = ("landing", "bronze", "crosswalk", "cells_seen", "silver", "quarantine", "gold", "alerts")
+    p = {k: f"{base.rstrip('/')}/{k}" for k in names}
+    p["schema"] = f"{base.rstrip('/')}/_landing_schema"
+    p["ckpt"] = f"{base.rstrip('/')}/_checkpoints"
+    return p
+
+
+def run_scheduled(spark: SparkSession, base: str, road_index: DataFrame, as_of=None, one_pass: bool = False,
+                  max_files: int | None = None) -> dict:
+    """One scheduled run (every few minutes): every stage drains what is new.
+
+    landing JSON -> bronze; bronze -> crosswalk (new cells only); bronze ->
+    silver + quarantine (stream-static join with the crosswalk as it is now);
+    silver -> gold (upsert) + alerts. Each stage has its own checkpoint, so a
+    run resumes where the previous one stopped, and a failed run is re-run.
+    """
+    p = scheduled_paths(base)
+    schema = infer_landing_schema(spark, p["landing"], p["schema"])
+    run_bronze(spark, p["landing"], p["bronze"], f"{p['ckpt']}/bronze", schema, max_files)
+    run_crosswalk(spark, p["bronze"], schema, road_index, p["crosswalk"], p["cells_seen"], f"{p['ckpt']}/crosswalk",
+                  max_files)
+    crosswalk = read_crosswalk(spark, p["crosswalk"])
+    silver = run_silver_one_pass if one_pass else run_silver
+    kwargs = {"max_files": max_files} if one_pass else {}
+    silver(spark, p["bronze"], schema, crosswalk, p["silver"], p["quarantine"], f"{p['ckpt']}/silver",
+           as_of=as_of, **kwargs)
+    run_gold(spark, p["silver"], p["gold"], f"{p['ckpt']}/gold", p["alerts"], as_of=as_of)
+    return p

@@ -64,3 +64,19 @@ def test_one_pass_silver_equals_two_queries(spark):
         b = spark.read.schema(schema).parquet(f"{base}/{two}")
         assert a.count() == b.count() > 0
         assert a.select(*b.columns).exceptAll(b).count() == 0
+
+
+def test_scheduled_run_twice_without_new_files_changes_nothing(spark):
+    from hexflow.plans import medallion as M
+    from hexflow.sources.fixtures import FIXTURE_AS_OF, bronze_view, landing_records
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "t-sched")
+    p = S.scheduled_paths(base)
+    landing_records(bronze_view(spark, sf)).repartition(3).write.text(p["landing"])
+    idx = M.road_index_of(spark, sf)
+    S.run_scheduled(spark, base, idx, as_of=FIXTURE_AS_OF)
+    first = sorted(tuple(r) for r in spark.read.parquet(p["gold"]).collect())
+    silver_n = spark.read.parquet(p["silver"]).count()
+    S.run_scheduled(spark, base, idx, as_of=FIXTURE_AS_OF)
+    assert sorted(tuple(r) for r in spark.read.parquet(p["gold"]).collect()) == first
+    assert spark.read.parquet(p["silver"]).count() == silver_n > 0
