@@ -80,3 +80,18 @@ def test_scheduled_run_twice_without_new_files_changes_nothing(spark):
     S.run_scheduled(spark, base, idx, as_of=FIXTURE_AS_OF)
     assert sorted(tuple(r) for r in spark.read.parquet(p["gold"]).collect()) == first
     assert spark.read.parquet(p["silver"]).count() == silver_n > 0
+
+
+def test_scheduled_run_one_pass_matches_two_queries(spark):
+    from hexflow.plans import medallion as M
+    from hexflow.sources.fixtures import FIXTURE_AS_OF, bronze_view, landing_records
+    sf = "/root/testdata/sf0.001"
+    idx = M.road_index_of(spark, sf)
+    golds = []
+    for one_pass in (False, True):
+        base = scratch_path(spark, "t-sched-1p")
+        p = S.scheduled_paths(base)
+        landing_records(bronze_view(spark, sf)).repartition(3).write.text(p["landing"])
+        S.run_scheduled(spark, base, idx, as_of=FIXTURE_AS_OF, one_pass=one_pass)
+        golds.append(sorted(tuple(r) for r in spark.read.parquet(p["gold"]).collect()))
+    assert golds[0] == golds[1] and len(golds[0]) > 0
