@@ -212,3 +212,16 @@ def test_strict_crosswalk_cells_skip_single_point_objects(spark):
                                     "flowSegmentData string, pulled_at string")
     assert {r.h3_id for r in traffic_cells(b).collect()} == {cell_of(-74.1, 40.72), cell_of(-74.2, 40.73)}
     assert {r.h3_id for r in traffic_cells(b, strict=True).collect()} - {None} == {cell_of(-74.2, 40.73)}
+
+
+def test_global_filters_compose_onto_dashboards(spark):
+    from hexflow.plans import dashboard as D
+    t = lambda d, h: dt.datetime(2024, 1, d, h, 0)
+    gold = _gold(spark, [("A", t(1, 10), t(1, 10) + dt.timedelta(minutes=1), 0.9, "GRIDLOCK", 2),
+                         ("A", t(5, 10), t(5, 10) + dt.timedelta(minutes=1), 0.5, "HEAVY", 3),
+                         ("B", t(5, 11), t(5, 11) + dt.timedelta(minutes=1), 0.1, "CLEAR", 4)])
+    f = D.apply_filters(gold, roads=["A"], statuses=["HEAVY", "GRIDLOCK"], start="2024-01-02", end="2024-01-06")
+    assert [(r.road_name, r.window_start) for r in f.collect()] == [("A", t(5, 10))]
+    comp = {r.road_name: r.observations for r in D.road_comparison(f).collect()}
+    assert comp == {"A": 3}
+    assert D.apply_filters(gold).count() == 3          # no filter given: unchanged
