@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from hexflow.plans import registry
 from tests.oracle_check import canon, duck
 from tests.plan_report import summary
 
 SF = "/root/testdata/sf0.001"
 SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
                  "StringType()": "VARCHAR", "TimestampType()": "TIMESTAMP", "DateType()": "DATE"}
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
 
 
 def test_every_query_has_a_twin_or_is_rows_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.QUERIES) - set(E.oracle_sql())
     assert missing <= {"table_detail", "table_sizes"}
 
 
