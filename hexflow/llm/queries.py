@@ -3,13 +3,26 @@ applies its operator, with production parameters, to the whole table."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2_quality, op5_exact_dedup, op6_sharding, op10_mixing
+from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op10_mixing
 from .common import documents
 
-W = r"[^\x20\x09-\x0D]+"
+#: Public vocabularies; another folder can be named by HEXFLOW_TOKENIZERS.
+def tokenizer(name: str) -> str:
+    folder = os.environ.get("HEXFLOW_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    return op1_token_counts.token_counts(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +32,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("failed", ",").alias("failed"))
 
 
+def op3_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels outside the held-out fold teach."""
+    return op3_toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BPE ids and decoded text of every document, as digests."""
+    out = op4_bpe.encode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return out.select("doc_id", *op4_bpe.digests(F.col("ids"), F.col("decoded")))
+
+
 def op5_exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates: one row per document with the row that stays."""
     return op5_exact_dedup.dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -36,7 +60,10 @@ def op10_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts_query,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity_query,
+    "op4_bpe": op4_bpe_query,
     "op5_exact_dedup": op5_exact_dedup_query,
     "op6_sharding": op6_sharding_query,
     "op10_mixing": op10_mixing_query,
