@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op10_mixing
+from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op10_mixing
 from .common import documents
 
 #: Public vocabularies; another folder can be named by HEXFLOW_TOKENIZERS.
@@ -54,6 +54,11 @@ def op6_sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data: base spans and those that bootstrapping adds."""
+    return op7_pii.digest(op7_pii.personal_data(documents(spark, sf_dir)))
+
+
 def op10_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights."""
     return op10_mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -66,6 +71,7 @@ QUERIES = {
     "op4_bpe": op4_bpe_query,
     "op5_exact_dedup": op5_exact_dedup_query,
     "op6_sharding": op6_sharding_query,
+    "op7_pii": op7_pii_query,
     "op10_mixing": op10_mixing_query,
 }
 
