@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op10_mixing
+from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op10_mixing
 from .common import documents
 
 #: Public vocabularies; another folder can be named by HEXFLOW_TOKENIZERS.
@@ -59,6 +59,11 @@ def op7_pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_pii.digest(op7_pii.personal_data(documents(spark, sf_dir)))
 
 
+def op8_jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of every document."""
+    return op8_jaccard_join.join(documents(spark, sf_dir))
+
+
 def op10_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights."""
     return op10_mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -72,6 +77,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup_query,
     "op6_sharding": op6_sharding_query,
     "op7_pii": op7_pii_query,
+    "op8_jaccard_join": op8_jaccard_join_query,
     "op10_mixing": op10_mixing_query,
 }
 
