@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op10_mixing
+from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op9_passages, op10_mixing
 from .common import documents
 
 #: Public vocabularies; another folder can be named by HEXFLOW_TOKENIZERS.
@@ -64,6 +64,11 @@ def op8_jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_jaccard_join.join(documents(spark, sf_dir))
 
 
+def op9_passages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages that documents share."""
+    return op9_passages.passages(documents(spark, sf_dir))
+
+
 def op10_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights."""
     return op10_mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -78,6 +83,7 @@ QUERIES = {
     "op6_sharding": op6_sharding_query,
     "op7_pii": op7_pii_query,
     "op8_jaccard_join": op8_jaccard_join_query,
+    "op9_passages": op9_passages_query,
     "op10_mixing": op10_mixing_query,
 }
 
