@@ -3,6 +3,7 @@ bounded-broadcast helper."""
 
 from __future__ import annotations
 
+import os
 import sys
 
 from pyspark import cloudpickle
@@ -21,6 +22,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file; HEXFLOW_TOKENIZERS names another folder."""
+    folder = os.environ.get("HEXFLOW_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def text_of(name: str = "text") -> Column:
     """The text column, NULL read as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

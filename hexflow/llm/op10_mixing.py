@@ -30,12 +30,17 @@ MAX_BROADCAST_SOURCES = 100_000
 LEVEL_BITS, LEVELS = 12, 5     # 5 levels of 12 bits cover the 60-bit hash
 
 
+def place():
+    """The hash that orders a source's documents."""
+    h = F.xxhash64(F.col("doc_id"), F.crc32(text_of().cast("binary")))
+    return F.shiftrightunsigned(h, 64 - LEVEL_BITS * LEVELS)
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and the hash that orders a source's documents."""
-    h = F.xxhash64(F.col("doc_id"), F.crc32(text_of().cast("binary")))
     return docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"),
                        n_words(F.col("text").cast("string")).alias("size"),
-                       F.shiftrightunsigned(h, 64 - LEVEL_BITS * LEVELS).alias("h"))
+                       place().alias("h"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
@@ -91,15 +96,34 @@ def thresholds(rows: DataFrame, goals: DataFrame, n_sources: int) -> DataFrame:
                         (F.col("prefix") + F.when(F.col("rest") * 2 > F.col("edge_size"), 1).otherwise(0)).alias("below"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken, and ``copies``,
-    how often the mix takes it (0, 1, ... most)."""
+def _cuts(docs: DataFrame, weights, budget: float, most: float) -> tuple[DataFrame, DataFrame]:
+    """The sized rows, and one row per source: s, copies, below, target, source_size."""
     rows = written(sized(docs), "mix-sizes")
     goals = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most), "mix-targets")
     n_sources = goals.count()
-    cut = broadcast_below(thresholds(rows, goals, n_sources).withColumnRenamed("source", "s"), n_sources, MAX_BROADCAST_SOURCES)
-    more = F.when((F.col("h") < F.col("below")) & (F.col("copies") < F.lit(int(most))), 1).otherwise(0)
+    cut = thresholds(rows, goals, n_sources).withColumnRenamed("source", "s")
+    return rows, broadcast_below(cut, n_sources, MAX_BROADCAST_SOURCES)
+
+
+def _copies(h, copies, below, most: float):
+    return (copies + F.when((h < below) & (copies < F.lit(int(most))), 1).otherwise(0)).cast("long")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
+    """Per document: doc_id, size, source_size, target, taken, and ``copies``,
+    how often the mix takes it (0, 1, ... most)."""
+    rows, cut = _cuts(docs, weights, budget, most)
     return (rows.join(cut, F.col("source").eqNullSafe(F.col("s")))
-            .withColumn("copies", (F.col("copies") + more).cast("long"))
+            .withColumn("copies", _copies(F.col("h"), F.col("copies"), F.col("below"), most))
             .select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
                     (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"))
+
+
+def taken_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it: the thresholds (one
+    row per source) filter the texts in place. Rows without words aren't taken."""
+    _, cut = _cuts(docs, weights, budget, most)
+    cut = cut.select(F.col("s").alias("_s"), F.col("copies").alias("_copies"), F.col("below").alias("_below"))
+    n = F.when(n_words(F.col("text").cast("string")) > 0, _copies(place(), F.col("_copies"), F.col("_below"), most)).otherwise(0)
+    return (docs.join(cut, F.col("source").cast("string").eqNullSafe(F.col("_s")))
+            .withColumn("_time", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*docs.columns))

@@ -3,21 +3,13 @@ applies its operator, with production parameters, to the whole table."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op9_passages, op10_mixing
-from .common import documents
+import corpus_pipeline
 
-#: Public vocabularies; another folder can be named by HEXFLOW_TOKENIZERS.
-def tokenizer(name: str) -> str:
-    folder = os.environ.get("HEXFLOW_TOKENIZERS")
-    if folder:
-        return os.path.join(folder, name)
-    import public_tokenizers
-    return public_tokenizers.path(name)
+from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op9_passages, op10_mixing
+from .common import documents, tokenizer
 
 
 def op1_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +66,11 @@ def op10_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline, one after another."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts_query,
     "op2_quality_rules": op2_quality_rules,
@@ -85,6 +82,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join_query,
     "op9_passages": op9_passages_query,
     "op10_mixing": op10_mixing_query,
+    "pipeline": pipeline,
 }
 
 ORACLE = {
