@@ -15,6 +15,7 @@ from ..session import scratch_path
 # Fixed patterns: a word is a maximal run of anything but space and 09-0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+ARROW_ROWS = 1_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -36,6 +37,21 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """``row``, all columns of ``docs`` as one struct, beside columns of our own,
+    so that none of theirs can clash; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *more)
+
+
+def in_small_batches(rows: DataFrame) -> DataFrame:
+    """Before mapInArrow over texts: at most ARROW_ROWS rows go to Python at
+    once, which bounds a worker's memory (texts may be long)."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", rows.sparkSession.conf
+    if not 0 < int(conf.get(key, "10000")) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return rows
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: a lambda variable
     of a one-element array, which Catalyst never inlines."""

@@ -3,11 +3,10 @@
 Within a Spark task, the distinct pre-tokens that a run of rows brings are laid
 out as one chain of symbols. An index maps every mergeable pair, named by its
 rank, to all its positions; a heap holds the active ranks. The lowest rank is
-taken, all its positions are merged from left to right, and only the lists of
-the two neighbouring pairs are updated. A merge can give rise to a pair of a
-lower rank; that word's remaining positions then wait until the lower rank is
-done, so every word sees its merges in the order that a merge one at a time
-would. Encodings are kept per task in a table of bounded size.
+taken, its positions are merged together, the leftmost of each word, and only
+the lists of the two neighbouring pairs are updated; a word's further positions
+stay in the list, since a merge may give rise to a lower rank, which then comes
+first. So every word sees its merges in the order of one merge at a time. Encodings are kept per task in a table of bounded size.
 
 The vocabulary file is read once on the driver (its path is a parameter; about
 2 MB whatever the data) and sent to the tasks as a broadcast variable.
@@ -28,21 +27,22 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value
+from .common import by_value, in_small_batches
 
 by_value(__name__)
 
 MAX_KEPT = 400_000             # pre-tokens kept per task
-CHUNK_WORDS = 20_000           # pre-tokens laid out at once
-CHUNK_CHARS = 4_000_000        # text gathered before its pre-tokens are encoded
+RUN_BYTES = 24_000_000         # text gathered before its new pre-tokens are encoded
+OUT_ROWS = 1_000
 
 
 def byte_signs() -> dict[int, str]:
@@ -61,14 +61,14 @@ class Vocabulary:
         ids = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.ranks = {}
-        self.merges = []
-        for a, b in pairs:
-            self.ranks[ids[a], ids[b]] = len(self.merges)
-            self.merges.append((ids[a], ids[b], ids[a + b]))
+        self.merges = [(ids[a], ids[b], ids[a + b]) for a, b in pairs]      # by rank
+        self.width = max(ids.values()) + 1
+        keys = np.array([x * self.width + y for x, y, _ in self.merges], np.int64)
+        self.pair_ranks = np.argsort(keys)
+        self.pair_keys = keys[self.pair_ranks]
         signs = byte_signs()
-        self.first = [ids[signs[b]] for b in range(256)]
-        self.last = [ids[signs[b] + self.end] for b in range(256)]
+        self.first = np.array([ids[signs[b]] for b in range(256)])
+        self.last = np.array([ids[signs[b] + self.end] for b in range(256)])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in ids.items()} | {i: t for t, i in self.special.items()}
         self.special_split = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
@@ -88,73 +88,72 @@ class Vocabulary:
                 out += self.split.findall(part)
         return out
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each pre-token, through one pair occurrence index."""
-        sym: list[int] = []
-        nxt: list[int] = []
-        prv: list[int] = []
-        of: list[int] = []
-        starts = []
-        for w, word in enumerate(words):
-            raw = word.encode()
-            lo, n = len(sym), len(raw)
-            starts.append(lo)
-            sym += [self.first[b] for b in raw[:-1]]
-            sym.append(self.last[raw[-1]])
-            nxt += range(lo + 1, lo + n + 1)
-            nxt[-1] = -1
-            prv += range(lo - 1, lo + n - 1)
-            prv[lo] = -1
-            of += [w] * n
-        ranks, merges = self.ranks, self.merges
-        places: defaultdict[int, list[int]] = defaultdict(list)
-        for p, q in enumerate(nxt):
-            if q >= 0 and (r := ranks.get((sym[p], sym[q]))) is not None:
-                places[r].append(p)
-        active = list(places)
-        heapq.heapify(active)
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, -1 where it has none."""
+        key = left.astype(np.int64) * self.width + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, number of ids per word), through
+        one pair occurrence index."""
+        if not words:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        raw = [w.encode() for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends = np.cumsum(size)
+        sym = self.first[data]
+        sym[ends - 1] = self.last[data[ends - 1]]
+        of = np.repeat(np.arange(len(words)), size)
+        nxt = np.arange(1, len(data) + 1)
+        nxt[ends - 1] = -1
+        prv = np.arange(-1, len(data) - 1)
+        prv[ends - size] = -1
+        # the index: rank of a pair -> places of its left symbols
+        left = np.flatnonzero(nxt >= 0)
+        rank = self.rank_of(sym[left], sym[left + 1])
+        left, rank = left[rank >= 0], rank[rank >= 0]
+        order = np.argsort(rank, kind="stable")
+        left, rank = left[order], rank[order]
+        cuts = np.flatnonzero(np.diff(rank)) + 1
+        places: dict[int, list] = {int(r): p.tolist() for r, p in zip(rank[np.r_[0, cuts]], np.split(left, cuts), strict=True)} if len(rank) else {}
+        active = sorted(places)                     # a sorted list is a heap
         while active:
             r = heapq.heappop(active)
-            a, b, c = merges[r]
-            at = sorted(places.pop(r))
-            waiting, later = -1, []
-            for p in at:
-                q = nxt[p]
-                if sym[p] != a or q < 0 or sym[q] != b:
-                    continue                        # taken by an earlier merge
-                if of[p] == waiting:
-                    later.append(p)
-                    continue
-                after = nxt[q]
-                sym[p], sym[q], nxt[p] = c, -1, after
-                if after >= 0:
-                    prv[after] = p
-                    if (s := ranks.get((c, sym[after]))) is not None:
-                        if s not in places:
-                            heapq.heappush(active, s)
-                        places[s].append(p)
-                        if s < r:
-                            waiting = of[p]
-                before = prv[p]
-                if before >= 0 and (s := ranks.get((sym[before], c))) is not None:
-                    if s not in places:
+            a, b, c = self.merges[r]
+            p = np.array(places.pop(r))
+            p = p[sym[p] == a]
+            q = nxt[p]
+            ok = (q >= 0) & (sym[q] == b)           # the others were taken by earlier merges
+            p = np.unique(p[ok])
+            if not len(p):
+                continue
+            # one place per word at a time: a merge may give rise to a lower rank, which then comes first
+            later = np.zeros(len(p), bool)
+            later[1:] = of[p[1:]] == of[p[:-1]]
+            if later.any():
+                places[r] = p[later].tolist()
+                heapq.heappush(active, r)
+                p = p[~later]
+            q = nxt[p]
+            after = nxt[q]
+            sym[p], sym[q], nxt[p] = c, -1, after
+            has = after >= 0
+            prv[after[has]] = p[has]
+            before = prv[p]
+            start = before >= 0
+            new = np.concatenate([p[has], before[start]])
+            rank = self.rank_of(sym[new], sym[nxt[new]])
+            for s, x in zip(rank.tolist(), new.tolist(), strict=True):
+                if s >= 0:
+                    if s in places:
+                        places[s].append(x)
+                    else:
+                        places[s] = [x]
                         heapq.heappush(active, s)
-                    places[s].append(before)
-                    if s < r:
-                        waiting = of[p]
-            if later:
-                if r not in places:
-                    heapq.heappush(active, r)
-                places[r] += later
-        out = []
-        for lo in starts:
-            ids = []
-            p = lo
-            while p >= 0:
-                ids.append(sym[p])
-                p = nxt[p]
-            out.append(ids)
-        return out
+        kept = sym >= 0
+        return sym[kept].astype(np.int32), np.bincount(of[kept], minlength=len(words))
 
     def decode(self, ids) -> str:
         return " ".join(self.token[i] for i in ids)
@@ -167,50 +166,81 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts one run after another, keeping what it has encoded."""
+    """Encodes runs of texts, keeping the pre-tokens that it has encoded:
+    their ids stand one after another in ``flat``."""
 
     def __init__(self, vocab: Vocabulary, max_kept: int = MAX_KEPT):
         self.vocab, self.max_kept = vocab, max_kept
-        self.ids: dict[str, list[int]] = {}
-        self.strings: dict[str, str] = {}
-
-    def learn(self, words) -> None:
-        new = list(words)
-        for k in range(0, len(new), CHUNK_WORDS):
-            part = new[k:k + CHUNK_WORDS]
-            for w, ids in zip(part, self.vocab.encode_words(part), strict=True):
-                self.ids[w] = ids
-                self.strings[w] = self.vocab.decode(ids)
-
-    def run(self, texts: list[str | None]) -> Iterator[tuple[list[int], str]]:
-        pieces = [self.vocab.pieces(t) if t else [] for t in texts]
-        if len(self.ids) > self.max_kept:
-            self.ids.clear()
-            self.strings.clear()
-        self.learn({w for p in pieces for w in p if isinstance(w, str) and w not in self.ids})
-        for k, i in enumerate(pieces):
-            special = any(isinstance(w, int) for w in i) if texts[k] and "<|" in texts[k] else False
-            if special:
-                ids = [x for w in i for x in ([w] if isinstance(w, int) else self.ids[w])]
-                yield ids, self.vocab.decode(ids)
-            else:
-                ids = []
-                for part in map(self.ids.__getitem__, i):
-                    ids += part
-                yield ids, " ".join(map(self.strings.__getitem__, i))
-
-
-def runs(column: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list]]:
-    """(first row, texts) of consecutive rows that hold about ``limit`` bytes."""
-    lo, size, texts = 0, 0, []
-    for i, t in enumerate(column):
-        texts.append(t.as_py())
-        size += len(texts[-1] or "") + 1
-        if size >= limit:
-            yield lo, texts
-            lo, size, texts = i + 1, 0, []
-    if texts:
-        yield lo, texts
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict = {}
+        self.strings: list[str] = []
+        self.flat = np.empty(0, np.int32)
+        self.start = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
+
+    def learn(self, new: list) -> None:
+        """Encode pre-tokens that come next in ``number``; special ones are ids."""
+        words = [w for w in new if isinstance(w, str)]
+        ids, size = self.vocab.encode_words(words)
+        if len(words) < len(new):
+            at = [i for i, w in enumerate(new) if isinstance(w, int)]
+            whole = np.ones(len(new), np.int64)
+            whole[[i for i, w in enumerate(new) if isinstance(w, str)]] = size
+            starts = np.cumsum(whole) - whole
+            out = np.zeros(int(whole.sum()), np.int32)
+            mask = np.ones(len(out), bool)
+            mask[starts[at]] = False
+            out[mask], out[starts[at]] = ids, [new[i] for i in at]
+            ids, size = out, whole
+        start = len(self.flat) + np.cumsum(size) - size
+        names = list(map(self.vocab.token.__getitem__, ids.tolist()))
+        lo = 0
+        for n in size.tolist():
+            self.strings.append(" ".join(names[lo:lo + n]))
+            lo += n
+        self.flat, self.start, self.size = np.append(self.flat, ids), np.append(self.start, start), np.append(self.size, size)
+
+    def run(self, texts) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(ids of all texts one after another, number of ids per text, decoded texts)."""
+        if len(self.number) > self.max_kept:
+            self.clear()
+        number, new, each = self.number, [], []
+        for t in texts:
+            row = []
+            for w in self.vocab.pieces(t) if t else ():
+                k = number.get(w)
+                if k is None:
+                    k = number[w] = len(number)
+                    new.append(w)
+                row.append(k)
+            each.append(np.array(row, np.int32))
+        self.learn(new)
+        all_words = np.concatenate(each) if each else np.empty(0, np.int32)
+        size = self.size[all_words]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[all_words] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        upto = np.concatenate([[0], ends])[np.cumsum([0, *map(len, each)])]
+        strings = self.strings
+        return ids, np.diff(upto), [" ".join([strings[k] for k in row.tolist()]) for row in each]
+
+
+def runs(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows whose texts hold about ``limit`` bytes, across batches."""
+    held, size = [], 0
+    for batch in batches:
+        lo = 0
+        for i, n in enumerate(pc.binary_length(batch.column(text)).to_pylist()):
+            size += (n or 0) + 1
+            if size >= limit:
+                held.append(batch.slice(lo, i + 1 - lo))
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size, lo = [], 0, i + 1
+        if lo < batch.num_rows:
+            held.append(batch.slice(lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def encode(docs: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
@@ -223,16 +253,18 @@ def encode(docs: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(data.value))
-        for batch in batches:
-            kept = batch.select(list(range(len(keep))))
-            for lo, texts in runs(batch.column(len(keep))):
-                ids, decoded = zip(*encoder.run(texts), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.slice(lo, len(texts)).columns, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
-                    names=[*keep, "ids", "decoded"])
+        for run in runs(batches, len(keep), RUN_BYTES):
+            ids, size, decoded = encoder.run(t.as_py() for t in run.column(len(keep)))
+            for lo in range(0, run.num_rows, OUT_ROWS):             # smaller batches go out
+                hi = min(lo + OUT_ROWS, run.num_rows)
+                offsets = np.concatenate([[0], np.cumsum(size[lo:hi])])
+                first = int(size[:lo].sum())
+                listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[first:first + offsets[-1]], pa.int32()))
+                yield pa.RecordBatch.from_arrays([*run.slice(lo, hi - lo).columns[:len(keep)], listed, pa.array(decoded[lo:hi], pa.string())],
+                                                 names=[*keep, "ids", "decoded"])
 
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", ids array<int>, decoded string"
-    return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(work, schema)
+    return in_small_batches(docs.select(*keep, F.col("text").cast("string").alias("text"))).mapInArrow(work, schema)
 
 
 def digests(ids: Column, decoded: Column) -> list[Column]:
