@@ -8,17 +8,18 @@ share one under every order. ORDERS orders are used:
 1. Equal sets are one node, named by a signature of the set.
 2. The first order puts shingles that many sets hold at the end (found by
    counts within tasks, summed over all; the order steers work, never results).
-   Its prefixes are grouped by shingle; length and position filters apply.
+   Its prefixes are grouped by shingle; length and position filters apply, and
+   a pair must share as many prefix shingles as its sizes ask for.
 3. Candidates of a shingle's bucket aren't written out as all pairs. First
    every member is paired with the bucket's least member; verified links give
-   components. Then only buckets that still span two or more components pair
-   each member outside the bucket's largest component with the members of other
-   components. Pairs within a component can't change it, so no link between
+   components. Buckets that still span two or more components pair their members
+   outside the largest one with another member of it, for STAR_ROUNDS rounds, and
+   at last with all members of other components. Pairs within a component can't change it, so no link between
    components is lost, and a group of thousands of near copies costs a star.
 4. A pair must share a prefix shingle under each further order as well, before
    its sets are joined and intersected exactly.
 
-Sets travel only for nodes that share a bucket. Signatures and shingles are
+Sets are written once, in place; only those of candidate pairs travel. Signatures and shingles are
 64-bit hashes: results are exact but for collisions (odds about n^2 / 2^65).
 
 Edge cases: NULL, empty and blank texts have empty sets, link with nothing and
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, by_value, written
+from .common import broadcast_below, by_value, in_small_batches, written
 from .components import components
 from .shingles import WordHashes, mix, shingle_set, signature
 
@@ -46,9 +47,11 @@ by_value(__name__)
 K, PERCENT = 5, 80
 ORDERS = 3
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
-CHUNK = 4_000_000              # shingles counted together in a task
+CHUNK = 2_000_000              # shingles counted together in a task
 LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 4, 24, 2_000_000
 MAX_BROADCAST_NODES = 4_000_000
+OUT_ROWS = 500
+STAR_ROUNDS = 3
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -64,15 +67,15 @@ def frequent(docs: DataFrame) -> np.ndarray:
     their shingles and report those seen LEAST_LOCAL times; the sums that reach
     a threshold are kept, raised until they fit MAX_HEAVY."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size, seen = WordHashes(), [], 0, set()
+        words, held, size, seen = WordHashes(fold=True), [], 0, set()
 
         def report() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(held), return_counts=True)
             many = n >= LEAST_LOCAL
             return pa.RecordBatch.from_arrays([pa.array(h[many].view(np.int64)), pa.array(n[many].astype(np.int64))], names=["h", "n"])
         for batch in batches:
-            for t in batch.column(0):
-                s = shingle_set(t.as_py(), words)
+            for w in words.texts(batch.column(0)):
+                s = shingle_set(w)
                 name = signature(s)
                 if len(s) and name not in seen:
                     seen.add(name)
@@ -83,7 +86,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
                     held, size, seen = [], 0, set()
         if held:
             yield report()
-    sums = written(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "h long, n long")
+    sums = written(in_small_batches(docs.select(F.col("text").cast("string").alias("text"))).mapInArrow(count, "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_HEAVY), "jaccard-heavy")
     least = LEAST_HEAVY
     while sums.where(F.col("n") >= least).count() > MAX_HEAVY:
@@ -92,58 +95,88 @@ def frequent(docs: DataFrame) -> np.ndarray:
     return np.sort(rows["h"].to_numpy(np.int64).view(np.uint64))
 
 
-def prefixes(docs: DataFrame, heavy) -> DataFrame:
-    """doc_id, sig, n and the first order's prefix; of equal sets in a task only
-    the first one carries its prefix. ``heavy``: a broadcast variable."""
+def sets_of(docs: DataFrame, heavy) -> DataFrame:
+    """doc_id, sig, n, the first order's prefix and the words as 32-bit hashes,
+    from which the set can be made again; of equal sets in a task only the first
+    one carries them. ``heavy``: a broadcast variable."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, often = WordHashes(), set(), heavy.value
+        words, seen, often = WordHashes(fold=True), set(), heavy.value
+        none = np.empty(0, np.int64)
         for batch in batches:
-            sigs, sizes, firsts = [], [], []
-            for t in batch.column(1):
-                s = shingle_set(t.as_py(), words)
-                sig, n = signature(s), len(s)
-                first = np.empty(0, np.int64)
-                if n and sig not in seen:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen.add(sig)
-                    at = np.searchsorted(often, s)
-                    late = often[np.minimum(at, len(often) - 1)] == s if len(often) else np.zeros(n, bool)
-                    first = s[np.lexsort((_order(s, 0), late))[:prefix_length(n)]].view(np.int64)
-                sigs.append(sig)
-                sizes.append(n)
-                firsts.append(first)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
-                                              pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "sig", "n", "prefix"])
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        work, f"doc_id {id_type}, sig long, n long, prefix array<long>")
-
-
-def full_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
-    """sig, n, shingles and the other orders' prefixes of the named nodes."""
+            for lo in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(lo, OUT_ROWS)
+                sigs, sizes, firsts, whole = [], [], [], []
+                for w in words.texts(part.column(1)):
+                    s = shingle_set(w)
+                    sig, n = signature(s), len(s)
+                    first, all_ = none, none.astype(np.int32)
+                    if n and sig not in seen:
+                        if len(seen) > 1_000_000:
+                            seen.clear()
+                        seen.add(sig)
+                        key = _order(s, 0) >> np.uint64(1)
+                        if len(often):
+                            late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
+                            key[late] |= np.uint64(1 << 63)
+                        p = prefix_length(n)
+                        at = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
+                        first, all_ = s[at[np.argsort(key[at])]].view(np.int64), w.astype(np.uint32).view(np.int32)
+                    for column, v in zip((sigs, sizes, firsts, whole), (sig, n, first, all_), strict=True):
+                        column.append(v)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
+                                                  pa.array(firsts, pa.list_(pa.int64())), pa.array(whole, pa.list_(pa.int32()))],
+                                                 names=["doc_id", "sig", "n", "prefix", "words"])
+    return in_small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text"))).mapInArrow(
+        work, f"doc_id {id_type}, sig long, n long, prefix array<long>, words array<int>")
+
+
+def other_orders(rows: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
+    """sig, shingles and the other orders' prefixes of the named nodes."""
     names = [f"p{k}" for k in range(1, ORDERS)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                rows = [s for t in batch.column(0).slice(lo, 500) if len(s := shingle_set(t.as_py(), words))]
-                first = [[s[np.argsort(_order(s, k))[:prefix_length(len(s))]].view(np.int64) for s in rows] for k in range(1, ORDERS)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([signature(s) for s in rows], pa.int64()), pa.array([s.view(np.int64) for s in rows], pa.list_(pa.int64())),
-                     *[pa.array(f, pa.list_(pa.int64())) for f in first]], names=["sig", "shingles", *names])
-    sets = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        work, "sig long, shingles array<long>" + "".join(f", {c} array<long>" for c in names))
-    return sets.join(broadcast_below(nodes, n_nodes, MAX_BROADCAST_NODES), "sig", "left_semi").dropDuplicates(["sig"])
+            for lo in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(lo, OUT_ROWS)
+                sets = [shingle_set(x.values.to_numpy(zero_copy_only=False).view(np.uint32).astype(np.uint64)) for x in part.column(1)]
+                first = [[s[np.argsort(_order(s, k))[:prefix_length(len(s))]].view(np.int64) for s in sets] for k in range(1, ORDERS)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), *[pa.array(f, pa.list_(pa.int64())) for f in first]], names=["sig", "shingles", *names])
+    held = (rows.where(F.size("words") > 0).select("sig", "words")
+            .join(broadcast_below(nodes, n_nodes, MAX_BROADCAST_NODES), "sig", "left_semi").dropDuplicates(["sig"]))
+    return in_small_batches(held).mapInArrow(work, "sig long, shingles array<long>" + "".join(f", {c} array<long>" for c in names))
+
+
+def _possible_sizes(a: str, b: str):
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT
 
 
 def _possible(a: str, b: str):
-    """Length and position filters of two bucket rows."""
+    """Position filter: true at the first shingle that two linked sets share."""
     na, nb, ia, ib = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.i"), F.col(f"{b}.i")
-    return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
-            & ((1 + F.least(na - ia, nb - ib)) * (100 + PERCENT) >= (na + nb) * PERCENT))
+    return (1 + F.least(na - ia, nb - ib)) * (100 + PERCENT) >= (na + nb) * PERCENT
+
+
+def _prefix_share(a: str, b: str):
+    """How many prefix shingles two linked sets share at least, from their
+    sizes: linked sets share o = ceil(0.8 (na + nb) / 1.8) shingles, and the q-th
+    shared one in the order stands at place na - o + q at most."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    o = F.ceil((na + nb) * PERCENT / (100 + PERCENT))
+    prefix = lambda n: n - F.ceil(n * PERCENT / 100) + 1
+    return F.greatest(F.lit(1), F.least(prefix(na) - na + o, prefix(nb) - nb + o))
+
+
+def enough_shared(shared: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (x, y), one row per shared prefix shingle, that share as
+    many as linked sets must."""
+    return (shared.where(_possible_sizes("x", "y"))
+            .select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b"),
+                    _prefix_share("x", "y").alias("least"), _possible("x", "y").cast("int").alias("first"))
+            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("least").alias("least"), F.max("first").alias("first"))
+            .where((F.col("shared") >= F.col("least")) & (F.col("first") == 1)).select("a", "b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -162,39 +195,59 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(shared * 100 >= union * PERCENT).select("a", "b")
 
 
+def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The verified ones of ``pairs``; only their nodes' sets are read."""
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "jaccard-nodes")
+    return verified(pairs, written(other_orders(rows, nodes, nodes.count()), "jaccard-sets"))
+
+
+def _open(rows: DataFrame, label: DataFrame, k: int) -> DataFrame:
+    """The bucket rows of buckets that span components, with the row's label,
+    the bucket's largest component ``main`` and a member of it, the ``hub``
+    (another one for each ``k``, the same for buckets of the same members)."""
+    rows = rows.select("token", "sig", "n", "i")
+    known = rows.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    hub = F.min(F.struct(F.xxhash64(F.lit(k), "sig").alias("h"), F.struct("sig", "n", "i").alias("x")))
+    spans = (known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub"))
+             .groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label", "hub")).alias("top")).where("labels > 1")
+             .select("token", F.col("top.label").alias("main"), F.col("top.hub.x").alias("hub")))
+    return written(known.join(spans, "token"), "jaccard-open")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     heavy = docs.sparkSession.sparkContext.broadcast(frequent(docs))
-    rows = written(prefixes(docs, heavy), "jaccard-rows")
-    tokens = (rows.select("sig", "n", F.posexplode("prefix").alias("i", "token"))
+    rows = written(sets_of(docs, heavy), "jaccard-rows")
+    tokens = (rows.select("sig", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "token"))
               .repartition("token").dropDuplicates(["token", "sig"]).withColumn("i", F.col("i") + 1))
     bucket = Window.partitionBy("token")
-    buckets = written(tokens.withColumn("size", F.count(F.lit(1)).over(bucket))
-                      .withColumn("hub", F.min(F.struct("sig", "n", "i")).over(bucket))
-                      .where("size > 1").drop("size"), "jaccard-buckets")
-    nodes = written(buckets.select("sig").distinct(), "jaccard-nodes")
-    sets = written(full_sets(docs, nodes, nodes.count()), "jaccard-sets")
+    node = F.struct("sig", "n", "i")
+    buckets = written(tokens.withColumn("held", F.count(F.lit(1)).over(bucket)).withColumn("hub", F.min(node).over(bucket))
+                      .where("held > 1").drop("held"), "jaccard-buckets")
 
     # every member with its bucket's least member
-    hubs = buckets.select(F.struct("sig", "n", "i").alias("x"), F.col("hub").alias("y"))
-    stars = written(hubs.where(F.col("x.sig") != F.col("y.sig")).where(_possible("x", "y"))
-                    .select(F.col("y.sig").alias("a"), F.col("x.sig").alias("b")).distinct(), "jaccard-stars")
-    links = written(verified(stars, sets), "jaccard-links")
+    stars = written(enough_shared(buckets.select(node.alias("x"), F.col("hub").alias("y")).where("x.sig != y.sig")), "jaccard-stars")
+    links = written(_linked(stars, rows), "jaccard-links")
     label = components(links)
 
-    # buckets that still span components: members outside the largest one with those of other components
-    known = buckets.drop("hub").join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    spans = (known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("token")
-             .agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label"))["label"].alias("main")).where("labels > 1").drop("labels"))
-    open_rows = written(known.join(spans, "token"), "jaccard-open")
-    x = open_rows.where("label != main").select("token", F.struct("sig", "n", "i", "label").alias("x"))
-    y = open_rows.select("token", F.struct("sig", "n", "i", "label").alias("y"), (F.col("label") == F.col("main")).alias("in_main"))
-    rest = (x.join(y, "token").where((F.col("x.label") != F.col("y.label")) & (F.col("in_main") | (F.col("x.sig") < F.col("y.sig"))))
-            .where(_possible("x", "y"))
-            .select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
-            .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    more = verified(written(rest, "jaccard-rest"), sets)
-    label = components(written(links.unionByName(more), "jaccard-links"))
+    # buckets that still span components: for some rounds their members outside the largest one
+    # meet a member of it, another one each time, which settles nearly all near copies
+    left = buckets.drop("hub")
+    for k in range(STAR_ROUNDS):
+        left = _open(left, label, k)
+        more = enough_shared(left.where("label != main").select(node.alias("x"), F.col("hub").alias("y")))
+        tried = written(more.join(stars, ["a", "b"], "left_anti"), "jaccard-stars")
+        stars = stars.unionByName(tried)
+        links = written(links.unionByName(_linked(tried, rows)), "jaccard-links")
+        label = components(links)
+
+    # then with every member of other components, in every bucket that two of them share
+    left = _open(left, label, STAR_ROUNDS)
+    x = left.where("label != main").select("token", F.struct("sig", "n", "i", "label").alias("x"))
+    y = left.select("token", F.struct("sig", "n", "i", "label").alias("y"), (F.col("label") == F.col("main")).alias("in_main"))
+    rest = enough_shared(x.join(y, "token").where((F.col("x.label") != F.col("y.label")) & (F.col("in_main") | (F.col("x.sig") < F.col("y.sig")))))
+    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "jaccard-rest")
+    label = components(written(links.unionByName(_linked(rest, rows)), "jaccard-links"))
 
     named = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     named = named.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
@@ -206,7 +259,8 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, that of the least doc_id.
-    Only the ids of the others meet the texts."""
+    """``docs`` with one document of each component, that of the least doc_id
+    (and its repeats, if its row repeats). Only the ids of the others meet the
+    texts; rows without a doc_id stay."""
     out = written(join(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "jaccard-gone")
     return docs.join(broadcast_below(out, out.count(), MAX_BROADCAST_NODES), "doc_id", "left_anti").select(*docs.columns)
