@@ -10,7 +10,8 @@ particular to one often copied text is no term. Word starts stand for inflected
 stems. Terms that clean texts hardly use form the lexicon.
 
 Matching: the terms form a trie; the Levenshtein automaton of a token (one edit
-for terms of LONG_TERM letters or more) is intersected with it. The states, sets
+for terms of LONG_TERM letters or more; an extra letter before the first is
+another word, not an edit) is intersected with it. The states, sets
 of (trie node, edits), are made on demand and kept, so a token costs a table
 look-up per letter until its state is empty. Letter-like digits and signs count
 as the letters, and letters drawn out three times or more as one.
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value
+from .common import by_value, in_small_batches
 
 by_value(__name__)
 
@@ -102,7 +103,7 @@ def lexicon(train: DataFrame) -> list[str]:
                     terms, near = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(rows), pa.int32()), pa.array(terms, pa.string()), pa.array(near, pa.int64())],
                                                      names=["toxic", "term", "near"])
-    found = train.select("toxic", "text").mapInArrow(occurrences, "toxic int, term string, near long")
+    found = in_small_batches(train.select("toxic", "text")).mapInArrow(occurrences, "toxic int, term string, near long")
     seen = (found.where("toxic = 1").groupBy("term", "near").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
             .where(F.col("seen") >= LEAST_SEEN))
@@ -240,7 +241,7 @@ class Matcher:
     def _match(self, word: str) -> int:
         hit = self.known.get(word)
         if hit is None:
-            if len(self.known) > 300_000:
+            if len(self.known) > 150_000:
                 self.known.clear()
             plain = bare(word)
             hit = self.automaton.match(plain) if plain else 0
@@ -304,7 +305,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> tup
             toxic = batch.column(0)
             rows = [matcher.features(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([toxic, pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"])
-    rows = sample.mapInArrow(featured, "toxic int, x array<double>").collect()          # at most max_rows short rows
+    rows = in_small_batches(sample).mapInArrow(featured, "toxic int, x array<double>").collect()          # at most max_rows short rows
     y = np.array([r["toxic"] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return terms, None
@@ -327,7 +328,7 @@ def score(docs: DataFrame, model: tuple[list[str], list[float] | None], *keep: s
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(out, pa.float64())], names=[*keep, "score"])
 
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double"
-    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(work, schema)
+    return in_small_batches(docs.select(*keep, F.col("text").cast("string").alias("_text"))).mapInArrow(work, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
