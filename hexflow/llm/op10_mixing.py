@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, n_words, text_of, written
+from .common import broadcast_below, n_words, packed, text_of, written
 
 WEIGHTS = (5.0, 2.0, 1.0)      # repeating, by order of the source name
 BUDGET = 1.5                   # all targets together, as a share of all sizes
@@ -123,7 +123,7 @@ def taken_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: f
     """``docs`` with every row as often as the mix takes it: the thresholds (one
     row per source) filter the texts in place. Rows without words aren't taken."""
     _, cut = _cuts(docs, weights, budget, most)
-    cut = cut.select(F.col("s").alias("_s"), F.col("copies").alias("_copies"), F.col("below").alias("_below"))
-    n = F.when(n_words(F.col("text").cast("string")) > 0, _copies(place(), F.col("_copies"), F.col("_below"), most)).otherwise(0)
-    return (docs.join(cut, F.col("source").cast("string").eqNullSafe(F.col("_s")))
-            .withColumn("_time", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*docs.columns))
+    rows = packed(docs, F.col("source").cast("string").alias("source"), place().alias("h"), n_words(F.col("text").cast("string")).alias("size"))
+    rows = rows.join(cut.select("s", "copies", "below"), F.col("source").eqNullSafe(F.col("s")))
+    times = F.when(F.col("size") > 0, _copies(F.col("h"), F.col("copies"), F.col("below"), most)).otherwise(0).cast("int")
+    return rows.withColumn("time", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, broadcast_below, by_value, text_of, written
+from .common import SPACE, broadcast_below, by_value, packed, text_of, written
 
 by_value(__name__)
 
@@ -113,8 +113,8 @@ def normalised() -> Column:
     return F.regexp_replace(text_of(), SPACE, " ")
 
 
-def digested(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select("doc_id", *more, F.unhex(F.sha2(normalised().cast("binary"), 256)).alias("digest"))
+def digest_of_text() -> Column:
+    return F.unhex(F.sha2(normalised().cast("binary"), 256)).alias("digest")
 
 
 def grouped(rows: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def differing(docs: DataFrame, matched: DataFrame, n: int) -> DataFrame:
     """Those of the ``n`` matched digests under which two texts differ in bytes.
     The smallest and largest text of a digest are found with map-side
     aggregation, so copies don't travel."""
-    rows = docs.select(F.unhex(F.sha2(normalised().cast("binary"), 256)).alias("digest"), normalised().alias("norm"))
+    rows = docs.select(digest_of_text(), normalised().alias("norm"))
     rows = rows.join(broadcast_below(matched.select("digest"), n, MAX_BROADCAST_DIGESTS), "digest", "left_semi")
     return (rows.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
             .where(F.col("low") != F.col("high")).select("digest"))
@@ -162,7 +162,7 @@ def differing(docs: DataFrame, matched: DataFrame, n: int) -> DataFrame:
 def _decided(docs: DataFrame, in_batch: Column | None) -> DataFrame:
     """dedup() with the row ids of this reading of ``docs``."""
     split = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1 if in_batch is None else in_batch
-    rows = written(digested(docs.withColumn("_new", split).withColumn("_rid", F.monotonically_increasing_id()), "_new", "_rid"), "digests")
+    rows = written(docs.select("doc_id", split.alias("_new"), F.monotonically_increasing_id().alias("_rid"), digest_of_text()), "digests")
     snapshot = written(grouped(rows.where(~F.col("_new"))), "snapshot")
     batch = grouped(rows.where("_new"))
     n_buckets = max(1, -(-snapshot.count() // KEYS_PER_BUCKET))
@@ -193,9 +193,19 @@ def dedup(docs: DataFrame, in_batch: Column | None = None) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are superfluous copies. Only the ids and
-    digests of those rows meet the texts; a row goes only where both agree."""
-    gone = written(_decided(docs, None).where(~F.col("kept")).select("_rid", "digest"), "copies")
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id()).withColumn("digest", F.unhex(F.sha2(normalised().cast("binary"), 256)))
-    gone = broadcast_below(gone, gone.count(), MAX_BROADCAST_DIGESTS)
-    return rows.join(gone, ["_rid", "digest"], "left_anti").select(*docs.columns)
+    """``docs`` without superfluous copies. Only doc_id and digest of the rows
+    that go meet the texts; where a row that stays repeats with its doc_id, one
+    of the repeats is left."""
+    each = written(_decided(docs, None).groupBy("digest", "doc_id", "keep_id").agg(F.count(F.lit(1)).alias("n")), "copies")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    gone = each.where(~stays).select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"))
+    twice = each.where(stays & (F.col("n") > 1)).select("digest")
+    rows = packed(docs, F.col("doc_id").alias("id"), digest_of_text())
+    rows = rows.join(broadcast_below(gone, gone.count(), MAX_BROADCAST_DIGESTS),
+                     (F.col("digest") == F.col("gone_digest")) & F.col("id").eqNullSafe(F.col("gone_id")), "left_anti")
+    n = twice.count()
+    if n:
+        twice = broadcast_below(twice, n, MAX_BROADCAST_DIGESTS)
+        rows = rows.join(twice, "digest", "left_anti").select("row").unionByName(
+            rows.join(twice, "digest", "left_semi").dropDuplicates(["digest"]).select("row"))
+    return rows.select("row.*")
