@@ -44,34 +44,40 @@ def _first_path(paths) -> Column:
     return F.coalesce(*[F.get_json_object(F.col(src), path) for src, path in paths])
 
 
+def speed(c: Column) -> Column:
+    """Speed text to INT; decimals round half up, bad text gives NULL."""
+    return F.round(c.try_cast("double")).try_cast("int")
+
+
 def parse_bronze(df: DataFrame, as_of=None, time_col: str = "ingest_time") -> DataFrame:
     """Adds ``lat, lon, currentSpeed, freeFlowSpeed`` and the event time.
 
     * nested payload (``flowSegmentData``) wins over top-level fields
     * a point array yields its first point; a single point object is read as is
-    * speeds are text first, then ``try_cast`` to INT (bad text gives NULL)
+    * speeds are text first, then numbers rounded to INT (bad text gives NULL)
     * an unparseable or missing ``pulled_at`` falls back to ``as_of``
       (processing time when ``as_of`` is None)
     """
     fallback = F.current_timestamp() if as_of is None else as_timestamp(as_of)
-    # Direct JSON paths measured faster than one from_json per payload here:
-    # from_json builds structs and re-serialises nested objects to text.
+    # Direct JSON paths: from_json would build structs and write nested objects
+    # back to text.
     return df.withColumns({
         "lat": _first_path(LAT_PATHS).try_cast("double"),
         "lon": _first_path(LON_PATHS).try_cast("double"),
-        "currentSpeed": F.coalesce(F.get_json_object("flowSegmentData", "$.currentSpeed"),
-                                   F.col("currentSpeed")).try_cast("int"),
-        "freeFlowSpeed": F.coalesce(F.get_json_object("flowSegmentData", "$.freeFlowSpeed"),
-                                    F.col("freeFlowSpeed")).try_cast("int"),
+        "currentSpeed": speed(F.coalesce(F.get_json_object("flowSegmentData", "$.currentSpeed"), F.col("currentSpeed"))),
+        "freeFlowSpeed": speed(F.coalesce(F.get_json_object("flowSegmentData", "$.freeFlowSpeed"), F.col("freeFlowSpeed"))),
         time_col: F.coalesce(parse_ctime("pulled_at"), fallback),
     })
 
 
-def unwrap_flow(raw: DataFrame, as_of, raw_col: str = "raw") -> DataFrame:
-    """API envelope to landing record: keep ``flowSegmentData`` (or ``{}``) and
-    stamp ``pulled_at`` as ctime text of ``as_of``."""
-    body = F.coalesce(F.get_json_object(F.col(raw_col), "$.flowSegmentData"), F.lit("{}"))
+def unwrap_flow(raw: DataFrame, as_of, raw_col: str = "raw", *keep: str) -> DataFrame:
+    """API envelope to landing record: the fields of its ``flowSegmentData`` at
+    top level (NULL where there is none) and ``pulled_at``, ctime text of
+    ``as_of`` (a time, or a column of ``raw``). ``keep`` columns stay in front."""
+    body = F.get_json_object(F.col(raw_col), "$.flowSegmentData")
     ts = as_timestamp(as_of)
     pulled = F.concat(F.date_format(ts, "EEE MMM "), F.lpad(F.dayofmonth(ts).cast("string"), 2, " "),
                       F.date_format(ts, " HH:mm:ss yyyy"))
-    return raw.select(body.alias("flowSegmentData"), pulled.alias("pulled_at"))
+    field = lambda name: F.get_json_object(body, f"$.{name}").alias(name)
+    return raw.select(*keep, field("currentSpeed"), field("freeFlowSpeed"), field("coordinates"),
+                      F.lit(None).cast("string").alias("flowSegmentData"), pulled.alias("pulled_at"))

@@ -42,8 +42,9 @@ def empty_alert_log(spark) -> DataFrame:
 
 
 def read_alert_log(spark, path: str) -> DataFrame:
-    """The alert table (partitioned by ``batch_id``); empty when nothing was written."""
-    return spark.read.schema(ALERT_SCHEMA).parquet(path)
+    """The alert table, partitioned by ``run_id`` (a checkpoint's identity) and
+    ``batch_id``; empty when nothing was written."""
+    return spark.read.schema(f"{ALERT_SCHEMA}, run_id string").parquet(path)
 
 
 def gridlock_alerts(gold: DataFrame, alert_log: DataFrame | None, as_of, batch_id: int = 0,
@@ -61,8 +62,8 @@ def gridlock_alerts(gold: DataFrame, alert_log: DataFrame | None, as_of, batch_i
             .agg(F.max(F.struct("window_start", "avg_congestion_index")).alias("p"))
             .select("road_name", "p.window_start", "p.avg_congestion_index"))
     if alert_log is not None:
-        last = alert_log.groupBy("road_name").agg(F.max("alerted_at").alias("last_alert"))
-        blocked = last.where(F.col("last_alert") >= now - _minutes(cooldown_minutes)).select("road_name")
+        # only alerts young enough to block matter, so older ones are never aggregated
+        blocked = alert_log.where(F.col("alerted_at") >= now - _minutes(cooldown_minutes)).select("road_name").distinct()
         pick = pick.join(blocked, "road_name", "left_anti")
     return pick.select(
         "road_name", "window_start", "avg_congestion_index",
@@ -93,10 +94,14 @@ def replay_alerts(gold: DataFrame, cooldown_minutes: int = COOLDOWN_MINUTES, gri
 
     if (cooldown_minutes * 60) % grid_seconds or chunk_seconds % grid_seconds:
         raise ValueError("cooldown and chunk must be whole multiples of the window grid")
+    # one boundary state must tell the last alert, so a chunk is never shorter than the cooldown
+    chunk_seconds *= max(1, -(-cooldown_minutes * 60 // chunk_seconds))
     c = cooldown_minutes * 60 // grid_seconds        # cooldown in grid steps: alert when gap > c
     d = chunk_seconds // grid_seconds                # grid steps per chunk (day)
     spark = gold.sparkSession
-    u = F.floor(F.unix_seconds(F.col("window_start")) / grid_seconds)
+    t = F.unix_seconds(F.col("window_start"))
+    u = F.when(t % grid_seconds == 0, F.floor(t / grid_seconds)).otherwise(
+        F.raise_error(F.lit("a window does not start on the grid; pass the slide as grid_seconds")).cast("long"))
     g = (gold.where(F.col("traffic_status") == F.lit(GRIDLOCK))
          .select("road_name", u.alias("u"))
          .select("road_name", F.floor(F.col("u") / d).alias("day"), F.pmod(F.col("u"), F.lit(d)).alias("o")))

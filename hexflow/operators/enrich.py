@@ -47,14 +47,14 @@ def readings(bronze: DataFrame, as_of=None, res: int = DEFAULT_RES, ref_lat: flo
 
 
 def join_crosswalk(reads: DataFrame, side: DataFrame) -> DataFrame:
-    """LEFT join on the case-insensitive cell id, with ``side`` used as given
-    (already hinted / broadcast by the caller)."""
-    s, m = reads.alias("stream"), side.alias("map")
-    return (s.join(m, F.lower(F.col("stream.h3_id")) == F.lower(F.col("map.h3_id")), "left")
-            .select(F.col("stream.h3_id").alias("h3_id"), F.col("stream.currentSpeed").alias("currentSpeed"),
-                    F.col("stream.freeFlowSpeed").alias("freeFlowSpeed"), F.col("map.osm_id").alias("osm_id"),
-                    F.col("map.full_road_name").alias("full_road_name"),
-                    F.col("stream.ingest_time").alias("ingest_time")))
+    """Every reading with the roads of its cell (one row with NULL roads where
+    there are none), ``side`` joined as hinted by the caller. Cell ids compare
+    without case; a reading without a speed (kept as unparsed) meets no road,
+    so it stays one row."""
+    roads = side.select(F.lower("h3_id").alias("_cell"), "osm_id", "full_road_name")
+    keyed = reads.withColumn("_cell", F.when(F.col("currentSpeed").isNotNull(), F.lower("h3_id")))
+    return keyed.join(roads, "_cell", "left").select(
+        "h3_id", "currentSpeed", "freeFlowSpeed", "osm_id", "full_road_name", "ingest_time")
 
 
 def enrich(reads: DataFrame, crosswalk: DataFrame, strategy: str = "auto",
@@ -99,8 +99,8 @@ def quarantine_rows(enriched: DataFrame, max_speed: int = MAX_SPEED, unparsed: b
     (readings built with ``keep_unparsed=True``), rows without a cell or a
     speed are kept here too instead of being dropped."""
     bad = (F.col("currentSpeed") > max_speed) | F.col("osm_id").isNull() | F.col("full_road_name").isNull()
-    if unparsed:
-        bad = bad | F.col("h3_id").isNull() | F.col("currentSpeed").isNull()
+    no_speed = F.col("currentSpeed").isNull()
+    bad = bad | F.col("h3_id").isNull() | no_speed if unparsed else bad & ~no_speed
     return (enriched.where(bad).withColumn("error_reason", error_reason(max_speed, unparsed))
             .select(*QUARANTINE_COLUMNS))
 

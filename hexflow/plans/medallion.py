@@ -8,8 +8,9 @@ size check needs them (the crosswalk before it is broadcast).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.enrich import enrich, quarantine_rows, readings, silver_rows
+from ..operators.enrich import MAX_SPEED, enrich, quarantine_rows, readings, silver_rows
 from ..operators.joins import MAX_BROADCAST_ROWS, materialize
 from ..operators.roads import build_crosswalk, road_index, traffic_cells
 from ..operators.windows import gold_from_readings
@@ -37,6 +38,22 @@ def crosswalk_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_of
     return materialize(xw) if materialized else xw
 
 
+def quality_counts_of(spark: SparkSession, sf_dir: str, crosswalk: DataFrame | None = None, as_of=FIXTURE_AS_OF) -> DataFrame:
+    """One row: ``silver, no_match, unnamed, speed``, the rows of the silver
+    table and of each quarantine reason, without building reading x road pairs:
+    readings are counted per (cell, speed in bounds) and multiplied by the
+    cell's named and unnamed roads."""
+    xw = crosswalk if crosswalk is not None else crosswalk_of(spark, sf_dir, as_of=as_of)
+    per_cell = (readings_of(spark, sf_dir, as_of).groupBy("h3_id", (F.col("currentSpeed") <= MAX_SPEED).alias("ok"))
+                .agg(F.count(F.lit(1)).alias("m")))
+    roads = xw.groupBy(F.col("h3_id").alias("cell")).agg(F.count("full_road_name").alias("named"), F.count(F.lit(1)).alias("all"))
+    both = per_cell.join(roads, F.col("h3_id") == F.col("cell"), "left")
+    m, named, unnamed = F.col("m"), F.col("named"), F.col("all") - F.col("named")
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    return both.agg(total(F.when(F.col("ok"), m * named), "silver"), total(F.when(F.col("cell").isNull(), m), "no_match"),
+                    total(m * unnamed, "unnamed"), total(F.when(~F.col("ok"), m * named), "speed"))
+
+
 def enriched_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_of=FIXTURE_AS_OF) -> DataFrame:
     xw = crosswalk_of(spark, sf_dir, as_of=as_of)
     return enrich(readings_of(spark, sf_dir, as_of), xw, strategy, crosswalk_checked=True)

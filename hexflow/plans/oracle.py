@@ -26,8 +26,8 @@ def ts(text: str) -> str:
 BRONZE = """
 bronze_a AS (
   SELECT event_id,
-    concat('40.', CAST(7000 + (user_id % 25) * 20 AS VARCHAR)) AS la,
-    concat('-74.', CAST(1000 + (user_id % 25) * 30 AS VARCHAR)) AS lo,
+    concat('40.', CAST(10000 + (user_id % 400) * 200 AS VARCHAR)) AS la,
+    concat('-74.', CAST(11000 + (user_id // 400) * 300 AS VARCHAR)) AS lo,
     CASE WHEN event_id % 53 = 0 THEN NULL ELSE CAST(CAST(floor(value * 3) AS INTEGER) % 170 AS VARCHAR) END AS cs,
     CASE WHEN event_id % 97 = 0 THEN '0' ELSE CAST(20 + (user_id % 4) * 10 AS VARCHAR) END AS ff,
     CASE WHEN event_id % 71 = 0 THEN 'unknown'
@@ -45,13 +45,13 @@ bronze AS (
   FROM bronze_b)"""
 
 ROADS = """
-roads_a AS (SELECT c_custkey AS k, 5 + c_custkey % 40 AS i, c_nationkey AS n, c_mktsegment AS m FROM customer),
+roads_a AS (SELECT c_custkey AS k, 5 + c_custkey // 10 AS i, c_nationkey AS n, c_mktsegment AS m FROM customer),
 roads AS (
   SELECT CAST(k AS VARCHAR) AS osm_id,
     CASE WHEN k % 13 = 0 THEN NULL ELSE concat('ROAD_', CAST(n AS VARCHAR)) END AS name, m AS fclass,
-    concat('LINESTRING (-74.', CAST(1000 + i * 30 - 2 AS VARCHAR), ' 40.', CAST(7000 + i * 20 AS VARCHAR),
-           ', -74.', CAST(1000 + i * 30 AS VARCHAR), ' 40.', CAST(7000 + i * 20 AS VARCHAR),
-           ', -74.', CAST(1000 + i * 30 + 2 AS VARCHAR), ' 40.', CAST(7000 + i * 20 AS VARCHAR), ')') AS geometry_wkt
+    concat('LINESTRING (-74.', CAST(11000 + (i // 400) * 300 - 20 AS VARCHAR), ' 40.', CAST(10000 + (i % 400) * 200 AS VARCHAR),
+           ', -74.', CAST(11000 + (i // 400) * 300 AS VARCHAR), ' 40.', CAST(10000 + (i % 400) * 200 AS VARCHAR),
+           ', -74.', CAST(11000 + (i // 400) * 300 + 20 AS VARCHAR), ' 40.', CAST(10000 + (i % 400) * 200 AS VARCHAR), ')') AS geometry_wkt
   FROM roads_a)"""
 
 

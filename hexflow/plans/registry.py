@@ -17,7 +17,8 @@ from ..functions.congestion import STATUS_DECIMALS, stable_round
 from ..functions.geo import add_cell, cell_of, wkt_centroid
 from ..functions.parse import as_timestamp, parse_bronze, parse_ctime
 from ..operators.alerts import ALERT_TEXT, gridlock_alerts, replay_alerts
-from ..operators.enrich import MAX_SPEED, valid_condition
+from ..operators.enrich import (MAX_SPEED, REASON_NO_MATCH, REASON_SPEED, REASON_UNNAMED, REASON_UNPARSED,
+                                SILVER_COLUMNS)
 from ..operators.roads import build_crosswalk, reading_cells, traffic_cells
 from ..operators.windows import congestion_windows, gold_from_readings
 from ..session import scratch_path
@@ -45,7 +46,7 @@ ALERT_RECENCY_MIN = 24 * 60          # alerts over the last day of windows
 # at FIRST_BATCH_END; the next batch (all readings) alerts 20 minutes later.
 FIRST_BATCH_END, SECOND_RUN = "2024-01-30 12:00:00", "2024-01-30 12:20:00"
 COOLDOWN_RECENCY_MIN = 60
-LOOKUP_CELL = cell_of(-74.1150, 40.7100)   # the traffic point of spot 5
+LOOKUP_CELL = cell_of(-74.11000, 40.11000)   # the traffic point of spot 5
 UPSERT_FIRST_BEFORE, UPSERT_SECOND_FROM = "2024-01-16 00:00:00", "2024-01-10 00:00:00"
 LATE_SPLIT = "2024-01-16 00:00:00"   # landing of run 1: events before; run 2: the rest
 
@@ -199,17 +200,20 @@ def quarantine(spark, sf_dir):
 @register("quarantine_reasons", O.with_stages(
     "SELECT error_reason, count(*) AS row_count FROM quarantine GROUP BY error_reason"))
 def quarantine_reasons(spark, sf_dir):
-    return M.quarantine_of(spark, sf_dir).groupBy("error_reason").agg(F.count(F.lit(1)).alias("row_count"))
+    """rows per reason, from counts per cell (no pairs are built)."""
+    c = M.quality_counts_of(spark, sf_dir)
+    names = ((REASON_NO_MATCH, "no_match"), (REASON_UNNAMED, "unnamed"), (REASON_SPEED, "speed"))
+    rows = F.array(*[F.struct(F.lit(r).alias("error_reason"), F.col(n).alias("row_count")) for r, n in names])
+    return c.select(F.inline(rows)).where("row_count > 0")
 
 
 @register("data_quality_summary", O.with_stages(
     "SELECT 'Silver Data' AS source_table, count(*) AS row_count FROM silver UNION ALL "
     "SELECT 'Quarantined Errors' AS source_table, count(*) AS row_count FROM quarantine"))
 def data_quality_summary(spark, sf_dir):
-    """Silver vs quarantine counts, from one pass over the enriched rows."""
-    e = M.enriched_of(spark, sf_dir)
-    bad = (F.col("currentSpeed") > MAX_SPEED) | F.col("osm_id").isNull() | F.col("full_road_name").isNull()
-    counts = e.agg(F.count_if(valid_condition()).alias("v"), F.count_if(bad).alias("q"))
+    """Silver vs quarantine counts, from counts per cell (no pairs are built).
+    The two labels are fixed values."""
+    counts = M.quality_counts_of(spark, sf_dir).select(F.col("silver").alias("v"), F.expr("no_match + unnamed + speed").alias("q"))
     return counts.select(F.expr("stack(2, 'Silver Data', v, 'Quarantined Errors', q) AS (source_table, row_count)"))
 
 
@@ -231,15 +235,14 @@ def silver_preview(spark, sf_dir):
     "SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'quarantine', count(*) FROM quarantine UNION ALL "
     "SELECT 'gold', count(*) FROM gold", (O.gold_cte("gold"),)))
 def table_counts(spark, sf_dir):
-    """Row count of every stage."""
-    parts = {"bronze": bronze_view(spark, sf_dir), "roads": roads_view(spark, sf_dir),
-             "crosswalk": M.crosswalk_of(spark, sf_dir), "silver": M.silver_of(spark, sf_dir),
-             "quarantine": M.quarantine_of(spark, sf_dir), "gold": _gold(spark, sf_dir)}
-    out = None
-    for name, df in parts.items():
-        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Row count of every stage: one crosswalk, silver and quarantine
+    from counts per cell."""
+    xw = M.crosswalk_of(spark, sf_dir)
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+    quality = M.quality_counts_of(spark, sf_dir, xw).select(F.expr(
+        "stack(2, 'silver', silver, 'quarantine', no_match + unnamed + speed) AS (table_name, row_count)"))
+    return (one(bronze_view(spark, sf_dir), "bronze").unionByName(one(roads_view(spark, sf_dir), "roads"))
+            .unionByName(one(xw, "crosswalk")).unionByName(quality).unionByName(one(_gold(spark, sf_dir), "gold")))
 
 
 # ---------------------------------------------------------------- gold
@@ -680,4 +683,126 @@ def stream_alerts(spark, sf_dir):
     """T11-T13 inside the gold micro-batch (30-minute recency at the fixture's now)."""
     p = _stream_chain(spark, sf_dir, "gold")
     from ..operators.alerts import read_alert_log
-    return _alert_out(read_alert_log(spark, p["alerts"]))
+    return _alert_out(read_alert_log(spark, p["alerts"]).drop("run_id"))
+
+
+# ------------------------------------------------- runs that repeat, widen, replay
+
+def _two_landings(spark, sf_dir, base):
+    """The readings' JSON in two parts, by event time."""
+    b = bronze_view(spark, sf_dir, with_event_ts=True)
+    split = F.col("ts") < as_timestamp(LATE_SPLIT).cast("timestamp_ntz")
+    for part in (b.where(split), b.where(~split)):
+        yield landing_records(part.drop("ts")).repartition(4)
+
+
+def _replayed(spark, sf_dir, from_stage: str, one_pass: bool) -> dict:
+    """A run over the first landing, then more landed files, then a replay with
+    new checkpoints and another batch size."""
+    base = scratch_path(spark, "replay")
+    p, idx = S.scheduled_paths(base), M.road_index_of(spark, sf_dir)
+    first, second = _two_landings(spark, sf_dir, base)
+    first.write.mode("append").text(p["landing"])
+    S.run_scheduled(spark, base, idx, as_of=AS_OF, one_pass=one_pass)
+    second.write.mode("append").text(p["landing"])
+    S.replay(spark, base, idx, from_stage, as_of=AS_OF, one_pass=one_pass, max_files=2)
+    return p
+
+
+@register("stream_replay_bronze", O.with_stages(
+    "SELECT event_id, lat, lon, currentSpeed, freeFlowSpeed, ingest_time FROM parsed"))
+def stream_replay_bronze(spark, sf_dir):
+    """Bronze after a replay holds every landed record once."""
+    p = _replayed(spark, sf_dir, "bronze", False)
+    return parse_bronze(spark.read.parquet(p["bronze"]), as_of=AS_OF).select(
+        F.col("event_id").cast("long").alias("event_id"), "lat", "lon", "currentSpeed", "freeFlowSpeed", "ingest_time")
+
+
+@register("stream_replay_silver", O.with_stages("SELECT * FROM silver"))
+def stream_replay_silver(spark, sf_dir):
+    """Silver after a replay of silver in one pass with other batches."""
+    p = _replayed(spark, sf_dir, "silver", True)
+    return spark.read.parquet(p["silver"]).select(*SILVER_COLUMNS)
+
+
+@register("stream_replay_gold", gsql(f"SELECT {GOLD_OUT} FROM gold"))
+def stream_replay_gold(spark, sf_dir):
+    """Gold after a full replay equals the batch result; no window is late."""
+    return gold_out(spark.read.parquet(_replayed(spark, sf_dir, "bronze", False)["gold"]))
+
+
+@register("stream_schema_widen", "SELECT event_id, CASE WHEN event_id < 50 THEN 'f' || CAST(event_id AS VARCHAR) END AS rare FROM events")
+def stream_schema_widen(spark, sf_dir):
+    """A field of only the oldest files, in a sub-folder, keeps its column."""
+    base = scratch_path(spark, "widen")
+    p = S.scheduled_paths(base)
+    b = bronze_view(spark, sf_dir)
+    rare = F.concat(F.regexp_replace("value", r"\}$", ""), F.lit(',"rare":"f'), F.get_json_object("value", "$.event_id"), F.lit('"}'))
+    landing_records(b.where("event_id < 50")).select(rare.alias("value")).coalesce(1).write.text(f"{p['landing']}/old")
+    landing_records(b.where("event_id >= 50")).repartition(6).write.mode("append").text(f"{p['landing']}/new")
+    schema = S.infer_landing_schema(spark, p["landing"], p["schema"])
+    S.run_bronze(spark, p["landing"], p["bronze"], f"{p['ckpt']}/bronze", schema, 2)
+    return spark.read.parquet(p["bronze"]).select(F.col("event_id").cast("long").alias("event_id"), "rare")
+
+
+@register("stream_unparsed", O.with_stages(
+    "SELECT 'landed' AS kind, count(*) AS n FROM bronze UNION ALL "
+    "SELECT 'unparsed', count(*) FROM parsed WHERE lon IS NULL OR lat IS NULL OR currentSpeed IS NULL UNION ALL "
+    "SELECT 'silver', count(*) FROM silver"))
+def stream_unparsed(spark, sf_dir):
+    """With keep_unparsed, readings without a point or speed reach quarantine."""
+    base = scratch_path(spark, "unparsed")
+    p = S.scheduled_paths(base)
+    landing_records(bronze_view(spark, sf_dir)).repartition(4).write.text(p["landing"])
+    S.run_scheduled(spark, base, M.road_index_of(spark, sf_dir), as_of=AS_OF, keep_unparsed=True, max_files=2)
+    one = lambda df, k: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n")
+    unparsed = spark.read.parquet(p["quarantine"]).where(F.col("error_reason") == F.lit(REASON_UNPARSED))
+    return (one(spark.read.parquet(p["bronze"]), "landed").unionByName(one(unparsed, "unparsed"))
+            .unionByName(one(spark.read.parquet(p["silver"]), "silver")))
+
+
+@register("gold_merge_duplicates", gsql(f"SELECT {GOLD_OUT} FROM gold"))
+def gold_merge_duplicates(spark, sf_dir):
+    """K9: every key twice in the batch, and a batch applied twice, leave one row a key."""
+    target = scratch_path(spark, "merge-dup")
+    g = _gold(spark, sf_dir)
+    upsert(spark, target, g.unionByName(g))
+    upsert(spark, target, g)
+    return gold_out(spark.read.parquet(target))
+
+
+@register("delete_null_partition", gsql("SELECT * FROM (SELECT " + GOLD_OUT + " FROM gold) WHERE minute(window_start) % 3 <> 0 AND traffic_status <> 'GRIDLOCK'"))
+def delete_null_partition(spark, sf_dir):
+    """Rows of the NULL partition are upserted beside old ones and deleted."""
+    target = scratch_path(spark, "null-part")
+    day = F.when(F.minute("window_start") % 2 == 0, F.to_date("window_start"))
+    g = _gold(spark, sf_dir).withColumn("window_date", day)
+    upsert(spark, target, g.where("minute(window_start) < 30"))
+    upsert(spark, target, g.where("minute(window_start) >= 30"))
+    delete_where(spark, target, "minute(window_start) % 3 = 0")
+    delete_where(spark, target, "traffic_status = 'GRIDLOCK'")
+    return gold_out(spark.read.parquet(target))
+
+
+@register("crosswalk_new_roads", O.with_stages("SELECT h3_id, osm_id, full_road_name FROM crosswalk"))
+def crosswalk_new_roads(spark, sf_dir):
+    """Roads arrive in two runs: the second run adds those of cells already seen."""
+    base = scratch_path(spark, "new-roads")
+    p, idx = S.scheduled_paths(base), M.road_index_of(spark, sf_dir)
+    landing_records(bronze_view(spark, sf_dir)).repartition(4).write.text(p["landing"])
+    S.run_scheduled(spark, base, idx.where("osm_id % 2 = 0"), as_of=AS_OF)
+    S.run_scheduled(spark, base, idx, as_of=AS_OF)
+    return S.read_crosswalk(spark, p["crosswalk"])
+
+
+@register("unwrap_flow", O.with_stages(
+    "SELECT event_id, json_extract_string(flowSegmentData, '$.currentSpeed') AS currentSpeed, "
+    "json_extract_string(flowSegmentData, '$.freeFlowSpeed') AS freeFlowSpeed, "
+    "json_extract(flowSegmentData, '$.coordinates')::VARCHAR AS coordinates, "
+    "'Wed Jan 31 00:00:00 2024' AS pulled_at FROM bronze WHERE flowSegmentData IS NOT NULL"))
+def unwrap_flow_q(spark, sf_dir):
+    """API envelopes to landing records, the flow's fields at top level."""
+    from ..functions.parse import unwrap_flow
+    raw = bronze_view(spark, sf_dir).where("flowSegmentData IS NOT NULL").select(
+        "event_id", F.concat(F.lit('{"flowSegmentData":'), F.col("flowSegmentData"), F.lit("}")).alias("raw"))
+    return unwrap_flow(raw, AS_OF, "raw", "event_id").drop("flowSegmentData")

@@ -8,6 +8,7 @@ a folder of our own is set only when it is unset on a local master (tests).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -80,14 +81,37 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not sc.master.startswith("local"):
+    if not sc.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
     root = tempfile.mkdtemp(prefix="hexflow-ckpt-")
     sc.setCheckpointDir(root)
     return root
 
 
+_OWNERS: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder under the shared checkpoint root, removed with
+    the innermost ``owned_scratch`` around, if there is one."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/hexflow/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/hexflow/{name}-{uuid.uuid4().hex[:12]}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def owned_scratch(spark: SparkSession):
+    """Removes the scratch folders made within, once the block ends. For jobs
+    whose results are written elsewhere by then, not for lazy results."""
+    mine: list[str] = []
+    _OWNERS.append(mine)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(mine)
+        jvm = spark.sparkContext._jvm
+        for path in mine:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -6,15 +6,17 @@ segment with WKT geometry. No row is dropped or capped: the work of every
 query grows with the given tables.
 
 Mapping (fixed values shared with the DuckDB oracle):
-  * point index ``user_id % 25``: latitude text ``40.(7000 + 20*i)``,
-    longitude text ``-74.(1000 + 30*i)``
+  * point index ``i = user_id``: latitude text ``40.(10000 + 200*(i % 400))``,
+    longitude text ``-74.(11000 + 300*(i div 400))``; points grow with the data
+    on two axes (five digits for up to 120,000 points)
   * speed text ``floor(value*3) % 170``, NULL on every 53rd event
   * free-flow text ``20 + 10*(user_id % 4)``, ``0`` on every 97th event
   * ``pulled_at`` ctime text of ``ts``, ``unknown`` on every 71st event
   * payload shape by ``event_id % 4``: 0 nested with a point array, 1 nested
     with a single point object, 2 and 3 top level
-  * road spot ``5 + c_custkey % 40``, a three-point LINESTRING centred on the
-    spot, name ``ROAD_<nationkey>``, NULL on every 13th road
+  * road spot ``5 + c_custkey div 10``, a three-point LINESTRING centred on the
+    spot, name ``ROAD_<nationkey>``, NULL on every 13th road: ten roads per
+    cell at every scale, so readings x roads grows as the readings do
 """
 
 from __future__ import annotations
@@ -48,13 +50,19 @@ def _ctime(ts: Column) -> Column:
                     F.date_format(ts, " HH:mm:ss yyyy"))
 
 
+def _lat(i: Column) -> Column:
+    return F.concat(F.lit("40."), (F.lit(10000) + (i % 400) * 200).cast("string"))
+
+
+def _lon(i: Column, off: int = 0) -> Column:
+    return F.concat(F.lit("-74."), (F.lit(11000 + off) + F.floor(i / 400) * 300).cast("string"))
+
+
 def bronze_view(spark: SparkSession, sf_dir: str, with_event_ts: bool = False) -> DataFrame:
     """Landed readings: ``event_id`` plus the five all-STRING bronze fields
     (and the event's ``ts`` when asked, to split landings by time)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    i = F.col("user_id") % 25
-    la = F.concat(F.lit("40."), (F.lit(7000) + i * 20).cast("string"))
-    lo = F.concat(F.lit("-74."), (F.lit(1000) + i * 30).cast("string"))
+    la, lo = _lat(F.col("user_id")), _lon(F.col("user_id"))
     cs = F.when(F.col("event_id") % 53 == 0, F.lit(None).cast("string")).otherwise(
         (F.floor(F.col("value") * 3).cast("int") % 170).cast("string"))
     ff = F.when(F.col("event_id") % 97 == 0, F.lit("0")).otherwise(
@@ -83,14 +91,10 @@ def roads_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Road segments: ``osm_id, name, fclass, geometry_wkt`` (one per customer)."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     k = F.col("c_custkey")
-    i = F.lit(5) + k % 40
-
-    def lon(off: int) -> Column:
-        return F.concat(F.lit("-74."), (F.lit(1000) + i * 30 + off).cast("string"))
-
-    lat = F.concat(F.lit("40."), (F.lit(7000) + i * 20).cast("string"))
-    wkt = F.concat(F.lit("LINESTRING ("), lon(-2), F.lit(" "), lat, F.lit(", "), lon(0), F.lit(" "), lat,
-                   F.lit(", "), lon(2), F.lit(" "), lat, F.lit(")"))
+    i = F.lit(5) + F.floor(k / 10)
+    lat = _lat(i)
+    wkt = F.concat(F.lit("LINESTRING ("), _lon(i, -20), F.lit(" "), lat, F.lit(", "), _lon(i), F.lit(" "), lat,
+                   F.lit(", "), _lon(i, 20), F.lit(" "), lat, F.lit(")"))
     return c.select(
         k.cast("string").alias("osm_id"),
         F.when(k % 13 == 0, F.lit(None).cast("string"))

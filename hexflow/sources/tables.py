@@ -18,6 +18,8 @@ across them (each partition is replaced whole).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -76,7 +78,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -86,58 +88,73 @@ def with_window_date(df: DataFrame, partition_col: str = "window_date") -> DataF
     return df.withColumn(partition_col, F.to_date("window_start"))
 
 
+def _in_partitions(col: str, values: list):
+    """Rows of the given partitions; None names the NULL partition."""
+    some = [v for v in values if v is not None]
+    cond = F.col(col).isin(some) if some else F.lit(False)
+    return cond | F.col(col).isNull() if None in values else cond
+
+
 def upsert(spark: SparkSession, target: str, updates: DataFrame, keys=("road_name", "window_start"),
            partition_col: str = "window_date", order_col: str | None = None) -> int:
     """MERGE semantics: a matched key is replaced by the update row, a new key
-    is inserted. Keys repeated within ``updates`` keep one row (the greatest
-    ``order_col`` when given). Returns the number of partitions rewritten."""
+    is inserted. NULL keys match NULL keys. Keys repeated within ``updates`` keep
+    one row: the greatest ``order_col`` when given, and the greatest of the
+    other columns among equals. Returns the number of partitions rewritten."""
     keys = list(keys)
     if partition_col not in updates.columns:
         updates = with_window_date(updates, partition_col)
-    if order_col:
-        # Bounded: only duplicates of one key compete, never a whole road.
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-        updates = updates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    # Stage the batch once; the touched days are observed during that write
+    # Bounded: only duplicates of one key compete, never a whole road.
+    first = [order_col] if order_col else []
+    rest = [c for c in updates.columns if c not in keys and c != order_col]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in first + rest] or [F.lit(1)])
+    updates = updates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    # Stage the batch once; the touched partitions are observed during that write
     # (a set bounded by the days one batch spans), not by another job.
     staged = scratch_path(spark, "upsert-batch")
     obs = Observation("upsert-days")
-    updates.observe(obs, F.collect_set(partition_col).alias("days")).write.parquet(staged)
+    updates.observe(obs, F.collect_set(partition_col).alias("days"),
+                    F.count_if(F.col(partition_col).isNull()).alias("none")).write.parquet(staged)
     updates = spark.read.parquet(staged)
-    dates = list(obs.get["days"] or [])
+    touched = [*(obs.get["days"] or []), *([None] if obs.get["none"] else [])]
     scratch = [staged]
-    if dates:
+    if touched:
         merged = updates
         if path_exists(spark, target):
-            old = spark.read.parquet(target).where(F.col(partition_col).isin(dates))
-            kept = old.join(updates.select(*keys), keys, "left_anti")
+            old = spark.read.parquet(target).where(_in_partitions(partition_col, touched)).alias("old")
+            new = updates.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"_{k}")) for k in keys])
+            kept = old.join(new, same, "left_anti")
             merged = kept.unionByName(updates.select(*old.columns))
         merged, path = materialize(merged, "upsert-merged", with_path=True)
         scratch.append(path)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # rebalanced: a day comes in files of the advisory size, a large day in several
+        (merged.hint("rebalance", F.col(partition_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(target))
     for path in scratch:   # staged copies are only needed until the target is rewritten
-        _delete_path(spark, path)
-    return len(dates)
+        delete_path(spark, path)
+    return len(touched)
 
 
 def delete_where(spark: SparkSession, target: str, predicate: str, partition_col: str = "window_date") -> int:
     """DELETE FROM target WHERE predicate; returns the number of rows deleted."""
     table = spark.read.parquet(target)
     cond = F.coalesce(F.expr(predicate), F.lit(False))
-    hit = table.where(cond)
-    counts = hit.groupBy(partition_col).count().collect()  # one row per touched day
-    deleted = sum(r["count"] for r in counts)
+    # one row per touched partition, with its folder as Spark wrote it (escaped, or the NULL folder)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    counts = (table.withColumn("_folder", folder).where(cond).groupBy(partition_col)
+              .agg(F.count(F.lit(1)).alias("n"), F.first("_folder").alias("folder")).collect())
+    deleted = sum(r["n"] for r in counts)
     if not deleted:
         return 0
-    dates = [r[partition_col] for r in counts]
-    rest, staged = materialize(table.where(F.col(partition_col).isin(dates) & ~cond), "delete-rest", with_path=True)
-    keep_dates = {r[0] for r in rest.select(partition_col).distinct().collect()}
-    if keep_dates:
-        (rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    touched = _in_partitions(partition_col, [r[partition_col] for r in counts])
+    rest, staged = materialize(table.where(touched & ~cond), "delete-rest", with_path=True)
+    keep = {r[0] for r in rest.select(partition_col).distinct().collect()}     # touched partitions that keep rows
+    if keep:
+        (rest.hint("rebalance", F.col(partition_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(target))
-    for d in dates:
-        if d not in keep_dates:
-            _delete_path(spark, f"{target.rstrip('/')}/{partition_col}={d}")
-    _delete_path(spark, staged)
+    for r in counts:
+        if r[partition_col] not in keep:
+            delete_path(spark, r["folder"])
+    delete_path(spark, staged)
     return deleted

@@ -95,3 +95,47 @@ def test_scheduled_run_one_pass_matches_two_queries(spark):
         S.run_scheduled(spark, base, idx, as_of=FIXTURE_AS_OF, one_pass=one_pass)
         golds.append(sorted(tuple(r) for r in spark.read.parquet(p["gold"]).collect()))
     assert golds[0] == golds[1] and len(golds[0]) > 0
+
+
+def test_new_checkpoint_on_written_table_is_refused(spark):
+    import pytest
+    base = scratch_path(spark, "t-refuse")
+    spark.createDataFrame([('{"currentSpeed": 4}',)], "v string").write.text(f"{base}/landing")
+    S.run_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/c1")
+    S.run_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/c1")
+    with pytest.raises(RuntimeError):
+        S.run_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/c2")
+
+
+def test_malformed_line_keeps_its_text_and_options_reach_the_reader(spark):
+    base = scratch_path(spark, "t-corrupt")
+    spark.createDataFrame([('{"currentSpeed": 27.5}',), ('{"currentSpeed": ',)], "v string").coalesce(1).write.text(f"{base}/landing/day=1")
+    S.run_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/c1", None, 1, pathGlobFilter="*.txt")
+    rows = spark.read.parquet(f"{base}/bronze").collect()
+    assert sorted(str(r._corrupt_record) for r in rows) == ["None", '{"currentSpeed": ']
+
+
+def test_scheduled_run_removes_its_scratch(spark):
+    import os
+    from hexflow.plans import medallion as M
+    from hexflow.session import checkpoint_root
+    from hexflow.sources.fixtures import FIXTURE_AS_OF, bronze_view, landing_records
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "t-own")
+    landing_records(bronze_view(spark, sf)).repartition(3).write.text(S.scheduled_paths(base)["landing"])
+    idx = M.road_index_of(spark, sf)
+    root = f"{checkpoint_root(spark).removeprefix('file://')}/hexflow"
+    before = set(os.listdir(root))
+    S.run_scheduled(spark, base, idx, as_of=FIXTURE_AS_OF)
+    assert set(os.listdir(root)) == before
+
+
+def test_alert_log_survives_a_new_checkpoint(spark):
+    base = scratch_path(spark, "t-alerts")
+    silver, gold = f"{base}/silver", f"{base}/gold"
+    rows = [("c1", 1, 50, None, "1", "Main", dt.datetime(2024, 1, 1, 10, 5, 0))]
+    spark.createDataFrame(rows, SILVER_SCHEMA).write.parquet(silver)
+    S.run_gold(spark, silver, gold, f"{base}/c1", f"{base}/alerts", as_of="2024-01-01 10:06:00")
+    first = {(r.road_name, r.alerted_at) for r in spark.read.parquet(f"{base}/alerts").collect()}
+    S.run_gold(spark, silver, gold, f"{base}/c2", f"{base}/alerts", as_of="2024-01-01 10:10:00")
+    assert {(r.road_name, r.alerted_at) for r in spark.read.parquet(f"{base}/alerts").collect()} == first and len(first) == 1

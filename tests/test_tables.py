@@ -104,3 +104,37 @@ def test_reduction_percent():
     from hexflow.plans.maintenance import reduction
     assert reduction(29, 1) == (29 - 1) * 100.0 / 29
     assert reduction(0, 0) == 0.0
+
+
+def test_upsert_keeps_one_row_per_key_and_null_partitions(spark):
+    target = scratch_path(spark, "t-upsert-null")
+    schema = "road_name string, window_start timestamp, v int, window_date date"
+    t = dt.datetime(2024, 1, 1)
+    df = lambda rows: spark.createDataFrame(rows, schema)
+    upsert(spark, target, df([("A", t, 1, None), ("B", t, 2, None), ("C", t, 3, t.date())]))
+    upsert(spark, target, df([("C", t, 4, t.date()), ("C", t, 5, t.date()), ("D", t, 6, None), (None, t, 7, None)]))
+    upsert(spark, target, df([(None, t, 8, None)]))
+    rows = sorted((str(r.road_name), r.v) for r in spark.read.parquet(target).collect())
+    assert rows == [("A", 1), ("B", 2), ("C", 5), ("D", 6), ("None", 8)]
+    assert delete_where(spark, target, "v <> 5") == 4
+    assert [r.road_name for r in spark.read.parquet(target).collect()] == ["C"]
+
+
+def test_compact_splits_a_large_day_and_refuses_stream_sinks(spark):
+    import pytest
+    from hexflow.plans.maintenance import recover_compaction
+    from hexflow.plans import maintenance as MT
+    target = scratch_path(spark, "t-compact-day")
+    big = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x"),
+                                     F.when(F.col("id") < 59_000, "d1").otherwise("d2").alias("day"))
+    big.repartition(12).write.partitionBy("day").parquet(target)
+    res = compact(spark, target, target_bytes=500_000, partition_col="day")
+    files = {r.day: r["count"] for r in spark.read.parquet(target).select("day", F.col("_metadata.file_path").alias("f")).distinct().groupBy("day").count().collect()}
+    assert files["d1"] >= 4 and files["d2"] == 1 and res["files_after"] < res["files_before"]
+    assert spark.read.parquet(target).count() == 60_000
+    MT._rename(spark, target, MT._old(target))          # a crash between the two renames
+    recover_compaction(spark, target)
+    assert spark.read.parquet(target).count() == 60_000
+    spark.createDataFrame([("x",)], "v string").write.text(f"{target}/_spark_metadata")
+    with pytest.raises(ValueError):
+        compact(spark, target)
