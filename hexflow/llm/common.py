@@ -3,9 +3,13 @@ bounded-broadcast helper."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import sys
 
+import pyarrow
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +56,18 @@ def in_small_batches(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def trimmed(work):
+    """``work`` for mapInArrow, giving its memory back at the end of a task: the
+    Python worker lives on and waits for the next one."""
+    def run(batches):
+        yield from work(batches)
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+    return run
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: a lambda variable
     of a one-element array, which Catalyst never inlines."""
@@ -83,3 +99,6 @@ def by_value(module_name: str) -> None:
     """Send a module's functions to the Python workers by value, so executors
     need not have this package installed."""
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+by_value(__name__)

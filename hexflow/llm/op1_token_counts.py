@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, in_small_batches
+from .common import by_value, in_small_batches, trimmed
 
 by_value(__name__)
 
@@ -127,4 +127,4 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
                                              names=["doc_id", "n_words", "n_tokens"])
 
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return in_small_batches(rows).mapInArrow(work, f"doc_id {id_type}, n_words long, n_tokens long")
+    return in_small_batches(rows).mapInArrow(trimmed(work), f"doc_id {id_type}, n_words long, n_tokens long")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, in_small_batches
+from .common import by_value, in_small_batches, trimmed
 
 by_value(__name__)
 
@@ -103,7 +103,7 @@ def lexicon(train: DataFrame) -> list[str]:
                     terms, near = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(rows), pa.int32()), pa.array(terms, pa.string()), pa.array(near, pa.int64())],
                                                      names=["toxic", "term", "near"])
-    found = in_small_batches(train.select("toxic", "text")).mapInArrow(occurrences, "toxic int, term string, near long")
+    found = in_small_batches(train.select("toxic", "text")).mapInArrow(trimmed(occurrences), "toxic int, term string, near long")
     seen = (found.where("toxic = 1").groupBy("term", "near").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
             .where(F.col("seen") >= LEAST_SEEN))
@@ -305,7 +305,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> tup
             toxic = batch.column(0)
             rows = [matcher.features(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([toxic, pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"])
-    rows = in_small_batches(sample).mapInArrow(featured, "toxic int, x array<double>").collect()          # at most max_rows short rows
+    rows = in_small_batches(sample).mapInArrow(trimmed(featured), "toxic int, x array<double>").collect()          # at most max_rows short rows
     y = np.array([r["toxic"] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return terms, None
@@ -328,7 +328,7 @@ def score(docs: DataFrame, model: tuple[list[str], list[float] | None], *keep: s
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(out, pa.float64())], names=[*keep, "score"])
 
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double"
-    return in_small_batches(docs.select(*keep, F.col("text").cast("string").alias("_text"))).mapInArrow(work, schema)
+    return in_small_batches(docs.select(*keep, F.col("text").cast("string").alias("_text"))).mapInArrow(trimmed(work), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

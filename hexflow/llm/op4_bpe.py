@@ -36,12 +36,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, in_small_batches
+from .common import by_value, in_small_batches, trimmed
 
 by_value(__name__)
 
 MAX_KEPT = 400_000             # pre-tokens kept per task
-RUN_BYTES = 24_000_000         # text gathered before its new pre-tokens are encoded
+RUN_BYTES = 10_000_000         # text gathered before its new pre-tokens are encoded
 OUT_ROWS = 1_000
 
 
@@ -264,7 +264,7 @@ def encode(docs: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
                                                  names=[*keep, "ids", "decoded"])
 
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", ids array<int>, decoded string"
-    return in_small_batches(docs.select(*keep, F.col("text").cast("string").alias("text"))).mapInArrow(work, schema)
+    return in_small_batches(docs.select(*keep, F.col("text").cast("string").alias("text"))).mapInArrow(trimmed(work), schema)
 
 
 def digests(ids: Column, decoded: Column) -> list[Column]:

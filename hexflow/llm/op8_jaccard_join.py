@@ -11,8 +11,8 @@ share one under every order. ORDERS orders are used:
    Its prefixes are grouped by shingle; length and position filters apply, and
    a pair must share as many prefix shingles as its sizes ask for.
 3. Candidates of a shingle's bucket aren't written out as all pairs. First
-   every member is paired with the bucket's least member; verified links give
-   components. Buckets that still span two or more components pair their members
+   every member is paired with the bucket's weightiest member, the one whose
+   shingles most others share; verified links give components. Buckets that still span two or more components pair their members
    outside the largest one with another member of it, for STAR_ROUNDS rounds, and
    at last with all members of other components. Pairs within a component can't change it, so no link between
    components is lost, and a group of thousands of near copies costs a star.
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, by_value, in_small_batches, written
+from .common import broadcast_below, by_value, in_small_batches, written, trimmed
 from .components import components
 from .shingles import WordHashes, mix, shingle_set, signature
 
@@ -47,11 +47,11 @@ by_value(__name__)
 K, PERCENT = 5, 80
 ORDERS = 3
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
-CHUNK = 2_000_000              # shingles counted together in a task
+CHUNK = 1_000_000              # shingles counted together in a task
 LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 4, 24, 2_000_000
 MAX_BROADCAST_NODES = 4_000_000
 OUT_ROWS = 500
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -86,7 +86,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
                     held, size, seen = [], 0, set()
         if held:
             yield report()
-    sums = written(in_small_batches(docs.select(F.col("text").cast("string").alias("text"))).mapInArrow(count, "h long, n long")
+    sums = written(in_small_batches(docs.select(F.col("text").cast("string").alias("text"))).mapInArrow(trimmed(count), "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_HEAVY), "jaccard-heavy")
     least = LEAST_HEAVY
     while sums.where(F.col("n") >= least).count() > MAX_HEAVY:
@@ -129,7 +129,7 @@ def sets_of(docs: DataFrame, heavy) -> DataFrame:
                                                   pa.array(firsts, pa.list_(pa.int64())), pa.array(whole, pa.list_(pa.int32()))],
                                                  names=["doc_id", "sig", "n", "prefix", "words"])
     return in_small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text"))).mapInArrow(
-        work, f"doc_id {id_type}, sig long, n long, prefix array<long>, words array<int>")
+        trimmed(work), f"doc_id {id_type}, sig long, n long, prefix array<long>, words array<int>")
 
 
 def other_orders(rows: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
@@ -145,7 +145,7 @@ def other_orders(rows: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), *[pa.array(f, pa.list_(pa.int64())) for f in first]], names=["sig", "shingles", *names])
     held = (rows.where(F.size("words") > 0).select("sig", "words")
             .join(broadcast_below(nodes, n_nodes, MAX_BROADCAST_NODES), "sig", "left_semi").dropDuplicates(["sig"]))
-    return in_small_batches(held).mapInArrow(work, "sig long, shingles array<long>" + "".join(f", {c} array<long>" for c in names))
+    return in_small_batches(held).mapInArrow(trimmed(work), "sig long, shingles array<long>" + "".join(f", {c} array<long>" for c in names))
 
 
 def _possible_sizes(a: str, b: str):
@@ -222,21 +222,27 @@ def join(docs: DataFrame) -> DataFrame:
               .repartition("token").dropDuplicates(["token", "sig"]).withColumn("i", F.col("i") + 1))
     bucket = Window.partitionBy("token")
     node = F.struct("sig", "n", "i")
-    buckets = written(tokens.withColumn("held", F.count(F.lit(1)).over(bucket)).withColumn("hub", F.min(node).over(bucket))
-                      .where("held > 1").drop("held"), "jaccard-buckets")
-
-    # every member with its bucket's least member
+    held = written(tokens.withColumn("held", F.count(F.lit(1)).over(bucket)).where("held > 1"), "jaccard-held")
+    # a text that others were copied from shares all its shingles with many; its weight tells how many on average
+    weight = held.groupBy("sig").agg(F.sum("held").alias("all_held"))
+    weighed = held.drop("held").join(weight, "sig").withColumn(
+        "w", F.floor(F.col("all_held") * 1000 / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1))).drop("all_held")
+    buckets = written(weighed.withColumn("hub", F.max(F.struct("w", "sig", "n", "i")).over(bucket)), "jaccard-buckets")
+
+    # every member with its bucket's weightiest member
     stars = written(enough_shared(buckets.select(node.alias("x"), F.col("hub").alias("y")).where("x.sig != y.sig")), "jaccard-stars")
     links = written(_linked(stars, rows), "jaccard-links")
     label = components(links)
 
     # buckets that still span components: for some rounds their members outside the largest one
     # meet a member of it, another one each time, which settles nearly all near copies
-    left = buckets.drop("hub")
+    left = buckets.drop("hub", "w")
     for k in range(STAR_ROUNDS):
         left = _open(left, label, k)
         more = enough_shared(left.where("label != main").select(node.alias("x"), F.col("hub").alias("y")))
         tried = written(more.join(stars, ["a", "b"], "left_anti"), "jaccard-stars")
+        if tried.isEmpty():
+            break
         stars = stars.unionByName(tried)
         links = written(links.unionByName(_linked(tried, rows)), "jaccard-links")
         label = components(links)
@@ -247,7 +253,8 @@ def join(docs: DataFrame) -> DataFrame:
     y = left.select("token", F.struct("sig", "n", "i", "label").alias("y"), (F.col("label") == F.col("main")).alias("in_main"))
     rest = enough_shared(x.join(y, "token").where((F.col("x.label") != F.col("y.label")) & (F.col("in_main") | (F.col("x.sig") < F.col("y.sig")))))
     rest = written(rest.join(stars, ["a", "b"], "left_anti"), "jaccard-rest")
-    label = components(written(links.unionByName(_linked(rest, rows)), "jaccard-links"))
+    if not rest.isEmpty():
+        label = components(written(links.unionByName(_linked(rest, rows)), "jaccard-links"))
 
     named = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     named = named.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
