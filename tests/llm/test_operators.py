@@ -349,6 +349,44 @@ def test_chains_against_all_orders():
         assert all(xp[a] < xp[b] and yp[a] < yp[b] for c in got for a, b in zip(c, c[1:], strict=False))
 
 
+@pytest.mark.parametrize("first,between", [(55, (10, 10)), (55, (30, 30)), (55, (60, 60)), (55, (100, 100)), (55, (200, 200)), (55, (400, 400)), (55, (100, 0)), (20, (20, 20)), (20, (40, 40))])
+def test_passages_of_one_chain_stand_alone(first, between):
+    """Two passages, or a stray line and a passage, with other text between."""
+    import numpy as np
+    r = np.random.default_rng(first + between[0])
+    for turn in range(20):
+        other = lambda n: r.integers(0, 2**62, n, dtype=np.uint64)
+        a, b = other(first), other(55)
+        x, y = (np.concatenate([other(70), a, other(n), b, other(70)]) for n in between)
+        line_after = first == 20 and turn % 2
+        if line_after:
+            x, y = x[::-1].copy(), y[::-1].copy()
+        (ax, sx), (ay, sy) = op9_passages.seeds_of(x), op9_passages.seeds_of(y)
+        met = [(int(i), int(j)) for i, s in zip(ax, sx, strict=True) for j, t in zip(ay, sy, strict=True) if s == t]
+        xp, yp = (np.array(v) for v in zip(*met, strict=True))
+        got = [p for c in op9_passages.chains(xp, yp) for p in op9_passages.align(x, y, xp[c], yp[c])]
+        covered = {k for p in got for k in range(p[0], p[1])}
+        second = 70 if line_after else 70 + first + between[0]
+        for a0, n in ((70, first), (second, 55)) if first >= 50 else ((second, 55),):
+            assert covered >= set(range(a0, a0 + n))
+        for p in got:
+            assert min(p[1] - p[0], p[3] - p[2]) >= 50 and p[4] >= 0.8 * max(p[1] - p[0], p[3] - p[2])
+
+
+def test_gap_equal_is_the_longest_common_subsequence():
+    import numpy as np
+    r = random.Random(12)
+    for _ in range(300):
+        a, b = ([r.randint(0, 4) for _ in range(r.randint(0, 12))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for v in a:
+            new = [0]
+            for j, w in enumerate(b):
+                new.append(row[j] + 1 if v == w else max(new[-1], row[j + 1]))
+            row = new
+        assert op9_passages._gap_equal(np.array(a, np.int64), np.array(b, np.int64)) == row[-1]
+
+
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 10, "c": 10}, {"a": 1, "b": 100, None: 50}, {"a": 0, "b": 0}, {"x": 7}])
 def test_mixing_targets(spark, sizes):
     df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
