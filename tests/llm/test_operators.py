@@ -336,6 +336,22 @@ def test_passages(spark, odd, none):
     assert (8, 7) in members or (7, 8) in members
 
 
+def test_passages_of_a_repeated_line_have_their_whole_length(spark):
+    """A line of up to 14 words over and over: the passage is the whole shared run,
+    also where the run is longer in one text or other text goes before it."""
+    cases = [(1, 300, 300), (3, 500, 200), (12, 60, 60), (14, 50, 40)]
+    rows, want = [], {}
+    for k, (n, a, b) in enumerate(cases):
+        line = " ".join(f"case{k}w{i}" for i in range(n))
+        rows += [(2 * k, " ".join([prose(700 + k, 90), *[line] * a, prose(720 + k, 30)])), (2 * k + 1, " ".join([prose(740 + k, 20), *[line] * b, prose(760 + k, 200)]))]
+        want[k] = n * min(a, b)
+    out = op9_passages.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    for k, n in want.items():
+        found = [r for r in out if {r.doc_id, r.other_id} == {2 * k, 2 * k + 1}]
+        assert max((r.end - r.start for r in found), default=0) >= n, (k, found)
+        assert all(r.n_equal >= 0.8 * max(r.end - r.start, r.other_end - r.other_start) for r in found)
+
+
 def test_chains_against_all_orders():
     """The best chain's score equals that of a quadratic dynamic program."""
     import numpy as np
