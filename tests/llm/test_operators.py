@@ -389,6 +389,26 @@ def test_passages_of_one_chain_stand_alone(first, between):
             assert min(p[1] - p[0], p[3] - p[2]) >= 50 and p[4] >= 0.8 * max(p[1] - p[0], p[3] - p[2])
 
 
+@pytest.mark.parametrize("n,every,least", [(60, 5, 80), (60, 6, 90), (100, 6, 90), (60, 8, 95), (60, 10, 95), (60, 20, 100)])
+def test_passages_with_many_edits_share_seeds(n, every, least):
+    """Passages of 80 to 95 % equal words, one word edited in every few."""
+    import numpy as np
+    r, found = np.random.default_rng(every), 0
+    other = lambda n: r.integers(0, 2**62, n, dtype=np.uint64)
+    for _ in range(100):
+        a = other(n)
+        b = a.copy()
+        b[every - 1::every] = other(len(b[every - 1::every]))
+        x, y = np.concatenate([other(70), a, other(70)]), np.concatenate([other(40), b, other(90)])
+        (ax, sx), (ay, sy) = op9_passages.seeds_of(x), op9_passages.seeds_of(y)
+        met = [(int(i), int(j)) for i, s in zip(ax, sx, strict=True) for j, t in zip(ay, sy, strict=True) if s == t]
+        if met:
+            xp, yp = (np.array(v) for v in zip(*met, strict=True))
+            got = [p for c in op9_passages.chains(xp, yp) for p in op9_passages.align(x, y, xp[c], yp[c])]
+            found += any(min(p[1], 70 + n) - max(p[0], 70) >= 0.8 * n for p in got)
+    assert found >= least
+
+
 def test_gap_equal_is_the_longest_common_subsequence():
     import numpy as np
     r = random.Random(12)
