@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, by_value, in_small_batches, written, trimmed
+from .common import broadcast_below, by_value, in_small_batches, packed, written, trimmed
 from .components import components
 from .shingles import WordHashes, mix, shingle_set, signature
 
@@ -267,7 +267,14 @@ def join(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, that of the least doc_id
-    (and its repeats, if its row repeats). Only the ids of the others meet the
-    texts; rows without a doc_id stay."""
-    out = written(join(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "jaccard-gone")
-    return docs.join(broadcast_below(out, out.count(), MAX_BROADCAST_NODES), "doc_id", "left_anti").select(*docs.columns)
+    (and its repeats, if its row repeats). Only ids and text digests of the others
+    meet the texts, so another text under the same doc_id stays; rows without a
+    doc_id stay."""
+    text = F.col("text").cast("string")
+    digest = F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest")
+    each = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", digest).alias("doc_id"), text.alias("text"))
+    out = written(join(each).where(F.col("doc_id.doc_id") != F.col("component_id.doc_id"))
+                  .select(F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.digest").alias("gone_digest")).distinct(), "jaccard-gone")
+    rows = packed(docs, F.col("doc_id").alias("id"), digest)
+    return rows.join(broadcast_below(out, out.count(), MAX_BROADCAST_NODES),
+                     (F.col("id") == F.col("gone_id")) & (F.col("digest") == F.col("gone_digest")), "left_anti").select("row.*")

@@ -315,6 +315,14 @@ def test_passages(spark, odd, none):
     passage = prose(50, 70).split()
     fuzzy = list(passage)
     fuzzy[30:31] = ["other", "words"]
+def test_one_of_each_keeps_other_texts_of_an_id(spark):
+    """Only the near copy of a doc_id goes, its clean text stays; also beside NULL ids."""
+    base = prose(800, 100)
+    rows = [(1, base), (2, base + " tail"), (2, prose(801, 100)), (2, prose(801, 100)), (3, prose(802, 50)), (None, base), (2, None)]
+    left = op8_jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert collections.Counter(map(tuple, left)) == collections.Counter(r for r in rows if r != (2, base + " tail"))
+
+
     fuzzy[50] = "else"
     rows = [(1, prose(51, 100) + " " + " ".join(passage) + " " + prose(52, 30)), (2, " ".join(fuzzy) + " " + prose(53, 200)),
             (3, prose(54, 300)), (4, prose(55, 80) + " " + " ".join(passage[:35])), (5, prose(56, 40) + " " + " ".join(passage)),
