@@ -164,8 +164,8 @@ def _decided(docs: DataFrame, in_batch: Column | None) -> DataFrame:
     split = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1 if in_batch is None else in_batch
     rows = written(docs.select("doc_id", split.alias("_new"), F.monotonically_increasing_id().alias("_rid"), digest_of_text()), "digests")
     snapshot = written(grouped(rows.where(~F.col("_new"))), "snapshot")
-    batch = grouped(rows.where("_new"))
-    n_buckets = max(1, -(-snapshot.count() // KEYS_PER_BUCKET))
+    batch = written(grouped(rows.where("_new")), "batch")
+    n_buckets = max(1, -(-max(snapshot.count(), batch.count()) // KEYS_PER_BUCKET))
     screened = written(screen(batch, filters(snapshot, n_buckets), n_buckets), "screened")
     exact = snapshot.select("digest", F.col("first").alias("s_first"), F.col("n").alias("s_n"))
     matched = written(screened.where("maybe").join(exact, "digest"), "matched")

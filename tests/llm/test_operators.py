@@ -217,6 +217,19 @@ def test_exact_dedup(odd, none, docs):
     assert row["_rid"] == 3 and row["digest"] == "y"
 
 
+@pytest.mark.parametrize("old", [0, 1])
+def test_exact_dedup_of_a_first_load_has_buckets(spark, monkeypatch, old):
+    """With an empty or tiny snapshot, the batch's size deals out the buckets."""
+    from pyspark.sql import functions as F
+    buckets, screen = [], op5_exact_dedup.screen
+    monkeypatch.setattr(op5_exact_dedup, "KEYS_PER_BUCKET", 10)
+    monkeypatch.setattr(op5_exact_dedup, "screen", lambda batch, fuses, n: buckets.append(n) or screen(batch, fuses, n))
+    data = [(i, f"text {i % 90}") for i in range(180)]
+    out = op5_exact_dedup.dedup(spark.createDataFrame(data, "doc_id long, text string"), in_batch=F.col("doc_id") >= old).collect()
+    assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in out) == collections.Counter(brute.exact_groups(data))
+    assert buckets == [9]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 1000, 50_000])
 def test_fuse_filter(n):
     import numpy as np
@@ -302,6 +315,14 @@ def test_jaccard_join(spark, docs, rows, none, monkeypatch):
     assert op8_jaccard_join.join(none).count() == 0
 
 
+def test_one_of_each_keeps_other_texts_of_an_id(spark):
+    """Only the near copy of a doc_id goes, its clean text stays; also beside NULL ids."""
+    base = prose(800, 100)
+    rows = [(1, base), (2, base + " tail"), (2, prose(801, 100)), (2, prose(801, 100)), (3, prose(802, 50)), (None, base), (2, None)]
+    left = op8_jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert collections.Counter(map(tuple, left)) == collections.Counter(r for r in rows if r != (2, base + " tail"))
+
+
 def test_jaccard_join_odd_rows(odd):
     out = op8_jaccard_join.join(odd).collect()
     assert len(out) == len(ODD)
@@ -315,14 +336,6 @@ def test_passages(spark, odd, none):
     passage = prose(50, 70).split()
     fuzzy = list(passage)
     fuzzy[30:31] = ["other", "words"]
-def test_one_of_each_keeps_other_texts_of_an_id(spark):
-    """Only the near copy of a doc_id goes, its clean text stays; also beside NULL ids."""
-    base = prose(800, 100)
-    rows = [(1, base), (2, base + " tail"), (2, prose(801, 100)), (2, prose(801, 100)), (3, prose(802, 50)), (None, base), (2, None)]
-    left = op8_jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
-    assert collections.Counter(map(tuple, left)) == collections.Counter(r for r in rows if r != (2, base + " tail"))
-
-
     fuzzy[50] = "else"
     rows = [(1, prose(51, 100) + " " + " ".join(passage) + " " + prose(52, 30)), (2, " ".join(fuzzy) + " " + prose(53, 200)),
             (3, prose(54, 300)), (4, prose(55, 80) + " " + " ".join(passage[:35])), (5, prose(56, 40) + " " + " ".join(passage)),
