@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_below, by_value, in_small_batches, packed, written, trimmed
@@ -219,15 +219,18 @@ def join(docs: DataFrame) -> DataFrame:
     heavy = docs.sparkSession.sparkContext.broadcast(frequent(docs))
     rows = written(sets_of(docs, heavy), "jaccard-rows")
     tokens = (rows.select("sig", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "token"))
-              .repartition("token").dropDuplicates(["token", "sig"]).withColumn("i", F.col("i") + 1))
-    bucket = Window.partitionBy("token")
+              .dropDuplicates(["token", "sig"]).withColumn("i", F.col("i") + 1))
+    # counts and hubs per token are combined map-side and written, so that the joins back may be split at a hot token
     node = F.struct("sig", "n", "i")
-    held = written(tokens.withColumn("held", F.count(F.lit(1)).over(bucket)).where("held > 1"), "jaccard-held")
+    tokens = written(tokens, "jaccard-tokens")
+    many = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "jaccard-many")
+    held = written(tokens.join(many, "token"), "jaccard-held")
     # a text that others were copied from shares all its shingles with many; its weight tells how many on average
     weight = held.groupBy("sig").agg(F.sum("held").alias("all_held"))
-    weighed = held.drop("held").join(weight, "sig").withColumn(
-        "w", F.floor(F.col("all_held") * 1000 / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1))).drop("all_held")
-    buckets = written(weighed.withColumn("hub", F.max(F.struct("w", "sig", "n", "i")).over(bucket)), "jaccard-buckets")
+    weighed = written(held.drop("held").join(weight, "sig").withColumn(
+        "w", F.floor(F.col("all_held") * 1000 / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1))).drop("all_held"), "jaccard-weighed")
+    hubs = written(weighed.groupBy("token").agg(F.max(F.struct("w", "sig", "n", "i")).alias("hub")), "jaccard-hubs")
+    buckets = written(weighed.join(hubs, "token"), "jaccard-buckets")
 
     # every member with its bucket's weightiest member
     stars = written(enough_shared(buckets.select(node.alias("x"), F.col("hub").alias("y")).where("x.sig != y.sig")), "jaccard-stars")

@@ -315,6 +315,17 @@ def test_jaccard_join(spark, docs, rows, none, monkeypatch):
     assert op8_jaccard_join.join(none).count() == 0
 
 
+def test_jaccard_join_has_no_task_per_token(docs, monkeypatch):
+    """No step sorts a token's bucket in one task: no window, no dealing by token alone before an aggregate."""
+    plans, write = [], op8_jaccard_join.written
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(df, name)
+    monkeypatch.setattr(op8_jaccard_join, "written", seen)
+    op8_jaccard_join.join(docs)
+    assert plans and not any("Window" in p or "RepartitionByExpression" in p for p in plans)
+
+
 def test_one_of_each_keeps_other_texts_of_an_id(spark):
     """Only the near copy of a doc_id goes, its clean text stays; also beside NULL ids."""
     base = prose(800, 100)
