@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op9_passages, op10_mixing
+from . import (op1_token_counts, op2_quality, op3_toxicity, op4_bpe, op5_exact_dedup, op6_sharding, op7_pii, op8_jaccard_join, op9_passages,
+               op10_mixing, op11_codes, op12_search, op13_minhash)
 from .common import documents, tokenizer
 
 
@@ -66,6 +67,22 @@ def op10_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_codes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, by ball k-means."""
+    out = op11_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return out.select("vec_id", op11_codes.hex_code(F.col("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op12_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return op12_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return op13_minhash.edited(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline, one after another."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -82,6 +99,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join_query,
     "op9_passages": op9_passages_query,
     "op10_mixing": op10_mixing_query,
+    "op11_codes": op11_codes_query,
+    "op12_search": op12_search_query,
+    "op13_minhash": op13_minhash_query,
     "pipeline": pipeline,
 }
 
@@ -91,5 +111,59 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op11_codes": r"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT r, vec_id, label, p, v[(p * (len(v) // 16) + 1):((p + 1) * (len(v) // 16))] AS x FROM kept, range(16) AS ps(p)),
+firsts AS (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept ORDER BY vec_id, v LIMIT 64),
+c0 AS MATERIALIZED (SELECT p, e, x AS c FROM parts JOIN firsts USING (r)),
+a0 AS MATERIALIZED (
+  SELECT r, p, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + e) % 64 AS e
+  FROM parts JOIN c0 USING (p) GROUP BY r, p),
+m0 AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, floor(sum(x[i]) / count(*))::BIGINT AS m FROM parts JOIN a0 USING (r, p), range(1, 257) AS ix(i) WHERE i <= len(x) GROUP BY p, e, i)
+  GROUP BY p, e),
+c1 AS MATERIALIZED (SELECT p, e, coalesce(m0.c, c0.c) AS c FROM c0 LEFT JOIN m0 USING (p, e)),
+a1 AS MATERIALIZED (
+  SELECT r, p, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + e) % 64 AS e
+  FROM parts JOIN c1 USING (p) GROUP BY r, p),
+m1 AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, floor(sum(x[i]) / count(*))::BIGINT AS m FROM parts JOIN a1 USING (r, p), range(1, 257) AS ix(i) WHERE i <= len(x) GROUP BY p, e, i)
+  GROUP BY p, e),
+c2 AS MATERIALIZED (SELECT p, e, coalesce(m1.c, c1.c) AS c FROM c1 LEFT JOIN m1 USING (p, e)),
+a2 AS MATERIALIZED (
+  SELECT r, vec_id, label, p, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + e) AS d
+  FROM parts JOIN c2 USING (p) GROUP BY r, vec_id, label, p),
+coded AS (
+  SELECT r, vec_id, label, string_agg(lower(printf('%02x', d % 64)), '' ORDER BY p) AS code, sum(d // 64)::BIGINT AS error
+  FROM a2 GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256
+FROM coded
+""",
+    "op12_search": r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+s AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM n),
+q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+f AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY term),
+i AS (
+  SELECT f.doc_id, f.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))) AS impact
+  FROM f JOIN w USING (term) JOIN n USING (doc_id), s),
+r AS (SELECT item_id, doc_id, sum(times * impact)::BIGINT AS score FROM q JOIN i USING (term) GROUP BY item_id, doc_id)
+SELECT * FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM r WHERE score > 0)
+WHERE rank <= 20
 """,
 }
