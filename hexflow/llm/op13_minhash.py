@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_value, in_small_batches, text_of, trimmed, written
@@ -105,10 +105,15 @@ class MinHash:
         return self.minima(x, number), number
 
 
-def named(minima: np.ndarray, number: np.ndarray) -> list[str]:
-    """Fingerprints as lowercase hex, four digits a place; without shingles the empty string."""
+def packed_places(minima: np.ndarray, number: np.ndarray) -> pa.Array:
+    """Fingerprints, two bytes a place; without shingles none."""
     rows = minima.astype(">u2")
-    return [r.tobytes().hex() if n else "" for r, n in zip(rows, number.tolist(), strict=True)]
+    return pa.array([r.tobytes() if n else b"" for r, n in zip(rows, number.tolist(), strict=True)], pa.binary())
+
+
+def named(fingerprint: str) -> Column:
+    """A fingerprint as lowercase hex, four digits a place."""
+    return F.lower(F.hex(fingerprint)).alias(fingerprint)
 
 
 def likeness(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -129,11 +134,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mh = MinHash()
         for ids, texts in _pieces(batches):
-            yield pa.RecordBatch.from_arrays([ids, pa.array(named(*mh.of(texts)), pa.string())], names=["doc_id", "fingerprint"])
-    return in_small_batches(docs.select("doc_id", text_of().alias("text"))).mapInArrow(trimmed(work), f"doc_id {id_type}, fingerprint string")
+            yield pa.RecordBatch.from_arrays([ids, packed_places(*mh.of(texts))], names=["doc_id", "fingerprint"])
+    return in_small_batches(docs.select("doc_id", text_of().alias("text"))).mapInArrow(trimmed(work), f"doc_id {id_type}, fingerprint binary").select("doc_id", named("fingerprint"))
 
 
-DONE = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+DONE = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _compared(mh: MinHash, texts: list[str], following: list[str], whole: tuple, after: tuple) -> list[pa.Array]:
@@ -141,7 +146,7 @@ def _compared(mh: MinHash, texts: list[str], following: list[str], whole: tuple,
     changed = [edit(t, f) for t, f in zip(texts, following, strict=True)]
     other = mh.of(changed)
     return [pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
-            pa.array(named(*whole), pa.string()), pa.array(named(*other), pa.string()),
+            packed_places(*whole), packed_places(*other),
             pa.array(likeness(*whole, *other), pa.float64()), pa.array(likeness(*whole, *after), pa.float64())]
 
 
@@ -156,7 +161,7 @@ def edited(docs: DataFrame) -> DataFrame:
         mh, held, part = MinHash(), None, TaskContext.get().partitionId()
 
         def end(kind: str, ids: pa.Array, text: str) -> pa.RecordBatch:
-            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
             return pa.RecordBatch.from_arrays([ids, *empty, pa.array([kind]), pa.array([part], pa.int32()), pa.array([text], pa.string())], names=[*names, "kind", "part", "text"])
 
         for ids, texts in _pieces(batches):
@@ -198,7 +203,7 @@ def edited(docs: DataFrame) -> DataFrame:
     after = parts.select(F.col("part").alias("of"), F.coalesce("then", "least").alias("part")).join(first, "part").drop("part")
     last = out.where("kind = 'last'").join(after, F.col("part") == F.col("of")).select("doc_id", "text", "following")
     ends = in_small_batches(last).mapInArrow(trimmed(join_ends), f"doc_id {id_type}, {DONE}")
-    return out.where("kind IS NULL").select(*names).unionByName(ends)
+    return out.where("kind IS NULL").select(*names).unionByName(ends).withColumns({c: named(c) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:

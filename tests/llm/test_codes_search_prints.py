@@ -203,7 +203,7 @@ def test_minima_of_many_texts_at_once(monkeypatch):
         assert each == m.tolist()
     monkeypatch.setattr(op13_minhash, "CHUNK", 97)
     assert (mh.of(texts)[0] == minima).all()
-    assert (minima[1] == minima[4]).all() and op13_minhash.named(minima, number)[0] == ""
+    assert (minima[1] == minima[4]).all() and op13_minhash.packed_places(minima, number)[0].as_py() == b""
 
 
 def test_likeness_estimates_jaccard():
