@@ -19,7 +19,7 @@ from ..session import scratch_path
 # Fixed patterns: a word is a maximal run of anything but space and 09-0D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-ARROW_ROWS = 1_000
+ARROW_ROWS, ARROW_BYTES = 1_000, 4_000_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -48,11 +48,14 @@ def packed(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def in_small_batches(rows: DataFrame) -> DataFrame:
-    """Before mapInArrow over texts: at most ARROW_ROWS rows go to Python at
-    once, which bounds a worker's memory (texts may be long)."""
-    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", rows.sparkSession.conf
-    if not 0 < int(conf.get(key, "10000")) <= ARROW_ROWS:
-        conf.set(key, str(ARROW_ROWS))
+    """Before mapInArrow over texts: at most ARROW_ROWS rows and about ARROW_BYTES
+    go to Python at once, which bounds a worker's memory (texts may be long)."""
+    conf = rows.sparkSession.conf
+    for name, most in (("Records", ARROW_ROWS), ("Bytes", ARROW_BYTES)):
+        key = f"spark.sql.execution.arrow.max{name}PerBatch"
+        now = conf.get(key).rstrip("bB")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(key, str(most))
     return rows
 
 

@@ -3,6 +3,7 @@ nulls, blanks, long texts, ties, repeats and columns with clashing names."""
 
 import collections
 import random
+import time
 import zlib
 
 import pytest
@@ -202,6 +203,29 @@ def test_bpe_random_and_round_trip():
         assert vocab.words_of(mine).replace(" ", "") == "".join(x for x in vocab.pieces(t) if isinstance(x, str))
 
 
+def test_bpe_of_long_words_and_of_all_signs():
+    tokenizers = pytest.importorskip("tokenizers")
+    file = tokenizer("word_bpe_49k.json")
+    tok = tokenizers.Tokenizer.from_file(file)
+    with open(file, "rb") as f:
+        vocab = op4_bpe.Vocabulary(f.read(), op4_bpe.library_signs(file))
+    r = random.Random(8)
+    texts = ["x" * n for n in (127, 128, 129, 1000)] + ["".join(r.choice("abé") for _ in range(n)) for n in (100, 500, 3000)]
+    texts += ["short " + "ab" * 300 + " words " + "é" * 200 + " <|endoftext|> " + "c" * 129, "9" * 300]
+    step = 3000
+    for lo in range(0, 0x110000, step):
+        texts.append(" ".join(f"a{chr(c)}a!{chr(c)}!" for c in range(lo, min(lo + step, 0x110000)) if not 0xD800 <= c < 0xE000))
+    ids, size, _ = op4_bpe.Encoder(vocab).run(texts)
+    lo = 0
+    for t, n in zip(texts, size.tolist(), strict=True):
+        assert ids[lo:lo + n].tolist() == tok.encode(t, add_special_tokens=False).ids
+        lo += n
+    for word in ("x" * 100_000, "ab" * 50_000):
+        began = time.process_time()
+        assert vocab.encode_words([word])[0].tolist() == tok.encode(word, add_special_tokens=False).ids
+        assert time.process_time() - began < 3
+
+
 def test_exact_dedup(odd, none, docs):
     for df in (docs, odd):
         want = collections.Counter(brute.exact_groups([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]))
