@@ -2,14 +2,15 @@
 
 Seeds are the spans of four fixed patterns (mail addresses, IPv4 addresses, card
 numbers that pass Luhn's test, telephone numbers). Every seed and every other
-token that looks like an identifier is an instance (its string); the words before
-it and its shape (runs of letters and digits with their lengths) are its lexical
-patterns. The graph of distinct (pattern, instance) pairs is scored for ROUNDS
-rounds: a pattern's confidence is the trusted weight of its instances over all
-its instances, given LEAST_SEEDS trusted ones and log-weighted support; an
-instance's confidence is that of the best two of its patterns combined
-(1 - product of the doubts); instances that reach TRUST join the trusted ones.
-Occurrences of instances found that way are added with kind ``id``; seeds stay.
+token that looks like an identifier is an instance (its string); the two words before
+it (as far as the second hit of the same kind of search) and its shape (runs of letters and digits with their lengths) are its lexical
+patterns. The graph of distinct (pattern, instance) pairs is scored in rounds: a pattern's
+confidence is the trusted weight of its instances over all its instances, given
+LEAST_SEEDS trusted ones and log-weighted support; an instance's confidence is
+that of all its trusted patterns combined (1 - product of the doubts); instances
+that reach TRUST join the trusted ones. A weight never falls, so the rounds come
+to a fixed point: they end when the weights no longer move. Occurrences of
+instances found that way are added with kind ``id``; seeds stay.
 
 One pass over the texts writes spans and instances, without texts, to the shared
 folder; graph and scores work on that table. Pairs are made distinct with
@@ -29,27 +30,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, let, text_of, written
+from .common import BLANKS, SPACE, let, text_of, written
 
 # The base patterns, with the bounds in the functions below.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone", "id")
 CANDIDATE = r"[A-Za-z0-9][A-Za-z0-9@._%+()/:-]{4,}(?<=[A-Za-z0-9])"
 LEAST_DIGITS = 4
 BLOCK = 64
-LEFT = 40                  # signs of the gap before a hit that its words are read from
-ROUNDS, LEAST_SEEDS, PATTERN_TRUST, TRUST = 3, 5, 0.5, 0.8
-MAX_BROADCAST_PATTERNS, MAX_BROADCAST_FOUND = 500_000, 1_000_000
+LONG_WORD = 64             # longer words of a context go by their digest
+LEAST_SEEDS, PATTERN_TRUST, TRUST, STILL = 5, 0.5, 0.8, 1e-6
+MAX_BROADCAST_BYTES = 64_000_000
 
-SPAN = "array<struct<start:int,end:int,hit:string,left:string>>"
+SPAN = "array<struct<start:int,end:int,hit:string,left:array<string>>>"
 
 
-def spans(text: Column, pattern: str, only_if: Column) -> Column:
-    """array of (start, end, hit, left) of the pattern's matches, in order."""
+def last_words(gap: Column) -> Column:
+    """The last two words of a gap, whole, in lower case (fewer if it has fewer)."""
+    return let(F.btrim(gap, F.lit(BLANKS)), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(
+        F.transform(let(F.split(F.lower(t), SPACE), lambda w: F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), F.lit(2))),
+                    lambda w: F.when(F.length(w) > LONG_WORD, F.concat(F.lit("#"), F.sha2(w.cast("binary"), 256))).otherwise(w))))
+
+
+def spans(text: Column, pattern: str, only_if: Column, wanted=lambda hit: F.lit(True)) -> Column:
+    """array of (start, end, hit, left) of the pattern's matches, in order;
+    ``left``: the two words before, of ``wanted`` hits."""
     none = F.array().cast(SPAN)
 
     def placed(steps: Column) -> Column:
@@ -67,8 +76,12 @@ def spans(text: Column, pattern: str, only_if: Column) -> Column:
         return F.flatten(let(offsets, lambda o: F.transform(o, block)))
 
     def stepped(gaps: Column, hits: Column) -> Column:
-        steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(
-            F.length(g).alias("g"), F.length(h).alias("h"), h.alias("hit"), F.right(g, F.lit(LEFT)).alias("left")))
+        # the words before a hit are read from the second hit before it on
+        at = lambda parts, i: F.coalesce(F.get(parts, i), F.lit(""))
+        before = lambda i: F.concat(at(hits, i - 2), F.when(i > 0, at(gaps, i - 1)).otherwise(""), at(hits, i - 1), at(gaps, i))
+        steps = F.transform(hits, lambda h, i: F.struct(
+            F.length(at(gaps, i)).alias("g"), F.length(h).alias("h"), h.alias("hit"),
+            F.when(wanted(h), last_words(before(i))).otherwise(F.array().cast("array<string>")).alias("left")))
         return F.when(F.size(hits) == 0, none).otherwise(let(steps, placed))
 
     found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
@@ -105,11 +118,10 @@ def shape(hit: Column) -> Column:
 def instances(kind: str, found: Column) -> Column:
     """(inst, kind, start, end, patterns) of spans: two words before, one word before, shape."""
     def one(s: Column) -> Column:
-        words = F.filter(F.split(F.lower(s["left"]), r"[\x20\x09-\x0D]+"), lambda w: w.rlike(r"[^\x20\x09-\x0D]"))
-        return let(words, lambda w: F.struct(
+        return let(s["left"], lambda w: F.struct(
             s["hit"].alias("inst"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
             F.array_compact(F.array(
-                F.when(F.size(w) >= 2, F.concat(F.lit("2:"), F.array_join(F.slice(w, -2, 2), " "))),
+                F.when(F.size(w) >= 2, F.concat(F.lit("2:"), F.array_join(w, " "))),
                 F.when(F.size(w) >= 1, F.concat(F.lit("1:"), F.element_at(w, -1))),
                 F.concat(F.lit("s:"), shape(s["hit"])))).alias("patterns")))
     return F.transform(found, one)
@@ -120,31 +132,55 @@ def observed(docs: DataFrame) -> DataFrame:
     t = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_of().alias("t"))
     t = t.withColumns({f"s_{k}": c for k, c in base_spans(F.col("t")).items()})
     seeds = F.concat(*[instances(k, F.col(f"s_{k}")) for k in KINDS[:4]])
-    free = lambda s: (F.length(F.regexp_replace(s["hit"], "[^0-9]", "")) >= LEAST_DIGITS) & ~F.exists(
-        F.col("seeds"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     t = t.withColumn("seeds", seeds)
-    return t.select("rid", "doc_id", "seeds",
-                    instances("id", F.filter(spans(F.col("t"), CANDIDATE, F.col("t").rlike("[0-9]")), free)).alias("others"))
+    digits = lambda hit: hit.rlike("(?:[0-9][^0-9]*+){%d}" % LEAST_DIGITS)
+    found = F.filter(spans(F.col("t"), CANDIDATE, F.col("t").rlike("[0-9]"), digits), lambda s: digits(s["hit"]))
+    others = let(found, lambda c: without_overlap(c, F.col("seeds"), F.length("t")))
+    return t.select("rid", "doc_id", "seeds", instances("id", others).alias("others"))
+
+
+def without_overlap(found: Column, seeds: Column, length: Column) -> Column:
+    """The spans ``found`` that touch no seed. The text is cut into as many blocks
+    as the root of the number of spans, and a span meets the seeds of its blocks only."""
+    def free(width: Column, blocks: Column) -> Column:
+        def touched(s: Column) -> Column:
+            first = F.floor(s["start"] / width).cast("int")
+            last = F.floor((s["end"] - 1) / width).cast("int")
+            return F.exists(F.slice(blocks, first + 1, last - first + 1), lambda b: F.exists(b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"])))
+        return F.filter(found, lambda s: ~touched(s))
+
+    def cut(n: Column) -> Column:
+        return let(F.greatest(F.ceil(length / n), F.lit(1)).cast("int"), lambda width: let(
+            F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.filter(seeds, lambda x: (x["start"] < (b + 1) * width) & (x["end"] > b * width))),
+            lambda blocks: free(width, blocks)))
+    return F.when((F.size(found) == 0) | (F.size(seeds) == 0), found).otherwise(let(F.ceil(F.sqrt(F.size(found))).cast("int"), cut))
+
+
+def broadcast_small(df: DataFrame, name: str) -> DataFrame:
+    """``df`` hinted for broadcast if its strings ``name`` and numbers, measured, are few bytes."""
+    size = df.agg(F.sum(F.octet_length(name) + 32)).first()[0] or 0
+    return F.broadcast(df) if size <= MAX_BROADCAST_BYTES else df
 
 
-def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(edges: DataFrame) -> DataFrame:
     """inst, score of the instances found. ``edges``: distinct (pattern, inst, seed)."""
     nodes = written(edges.groupBy("inst").agg(F.max(F.col("seed").cast("double")).alias("weight")), "pii-nodes")
-    first = nodes
-    for _ in range(rounds):
+    first, total = nodes, None
+    size = written(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_SEEDS), "pii-sizes")
+    while True:
+        now = nodes.agg(F.sum("weight")).first()[0] or 0.0
+        if total is not None and now - total <= STILL:
+            break
+        total = now
         known = nodes.where("weight > 0")
-        size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
         trust = (edges.join(known, "inst").groupBy("pattern").agg(F.sum("weight").alias("known"))
                  .where(F.col("known") >= LEAST_SEEDS).join(size, "pattern")
                  .select("pattern", (F.col("known") / F.col("n") * (1 - 1 / F.log2(F.col("known") + 1) / 4)).alias("conf"))
                  .where(F.col("conf") >= PATTERN_TRUST))
-        trust = written(trust, "pii-patterns")
-        trust = broadcast_below(trust, trust.count(), MAX_BROADCAST_PATTERNS)
-        best = (edges.join(trust, "pattern").groupBy("inst")
-                .agg(F.max("conf").alias("top"), F.sum(F.log1p(-F.least("conf", F.lit(0.99)))).alias("doubt")))
-        nodes = written(first.join(best, "inst", "left").select("inst", F.when(F.col("weight") == 1, 1.0).otherwise(
-            F.when(F.col("top").isNull(), 0.0).otherwise(1 - F.exp(F.col("doubt")))).alias("weight"))
-            .withColumn("weight", F.when(F.col("weight") >= TRUST, F.col("weight")).otherwise(0.0)), "pii-nodes")
+        trust = broadcast_small(written(trust, "pii-patterns"), "pattern")
+        best = (edges.join(trust, "pattern").groupBy("inst").agg((1 - F.exp(F.sum(F.log1p(-F.least("conf", F.lit(0.99)))))).alias("found"))
+                .where(F.col("found") >= TRUST))
+        nodes = written(nodes.join(best, "inst", "left").select("inst", F.greatest("weight", F.coalesce("found", F.lit(0.0))).alias("weight")), "pii-nodes")
     return nodes.join(first.where("weight = 0").select("inst"), "inst").where(F.col("weight") >= TRUST).withColumnRenamed("weight", "score")
 
 
@@ -163,8 +199,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
                     F.transform("others", lambda s: F.struct(s["inst"].alias("inst"), s["patterns"].alias("patterns"), F.lit(False).alias("seed"))))
     edges = (rows.select(F.explode(both).alias("e")).select(F.explode("e.patterns").alias("pattern"), "e.inst", "e.seed")
              .groupBy("pattern", "inst").agg(F.max("seed").alias("seed")))
-    found = bootstrap(written(edges, "pii-edges"))
-    found = broadcast_below(found, found.count(), MAX_BROADCAST_FOUND)
+    found = broadcast_small(written(bootstrap(written(edges, "pii-edges")), "pii-found"), "inst")
     hits = (rows.select("rid", F.explode("others").alias("s")).join(found, F.col("s.inst") == F.col("inst"))
             .groupBy("rid").agg(F.collect_list(F.struct(F.col("s.kind").alias("kind"), F.col("s.start").alias("start"),
                                                         F.col("s.end").alias("end"), F.col("s.inst").alias("inst"), "score")).alias("found")))

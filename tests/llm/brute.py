@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -112,3 +113,60 @@ def targets(sizes, weights=(5, 2, 1), budget=1.5, most=2.0):
             left -= out[s]
         open_ -= full
     return out
+
+
+CANDIDATE = re.compile(r"[A-Za-z0-9][A-Za-z0-9@._%+()/:-]{4,}(?<=[A-Za-z0-9])")
+
+
+def _shape(hit):
+    flat = "".join("9" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c for c in hit)
+    return re.sub(r"(a)\1{3,}", "a+", flat)
+
+
+def found_identifiers(rows, least=5, pattern_trust=0.5, trust=0.8):
+    """(doc_id, text) of short words -> per row the spans that bootstrapping adds, by comparing everything with everything."""
+    seen, edges, seeds = [], collections.defaultdict(set), set()
+
+    def learn(text, m, before):
+        w = [x.lower() for x in words(text[before:m.start()])][-2:]
+        for p in (*([f"2:{w[0]} {w[1]}"] if len(w) == 2 else []), *([f"1:{w[-1]}"] if w else []), "s:" + _shape(m.group())):
+            edges[p].add(m.group())
+    for _, text in rows:
+        text = text or ""
+        base = [(k, int(a), int(e)) for k, a, e in (x.split(":") for x in base_spans(text).split(",") if x)]
+        for kind, pattern in (("email", EMAIL), ("ip", IP), ("card", CARD), ("phone", PHONE)):
+            for m, before in _with_context(pattern, text):
+                if (kind, m.start(), m.end()) in base:
+                    seeds.add(m.group())
+                    learn(text, m, before)
+        mine = []
+        for m, before in _with_context(CANDIDATE, text):
+            if sum(c in "0123456789" for c in m.group()) >= 4 and not any(a < m.end() and m.start() < e for _, a, e in base):
+                mine.append((m.start(), m.end(), m.group()))
+                learn(text, m, before)
+        seen.append(mine)
+    weight = dict.fromkeys(seeds, 1.0)
+    while True:
+        conf = {}
+        for p, insts in edges.items():
+            known = sum(weight.get(i, 0) for i in insts)
+            if known >= least:
+                c = known / len(insts) * (1 - 1 / math.log2(known + 1) / 4)
+                if c >= pattern_trust:
+                    conf[p] = c
+        new = dict(weight)
+        for i in {i for p in conf for i in edges[p]}:
+            s = 1 - math.prod(1 - min(conf[p], 0.99) for p in conf if i in edges[p])
+            if s >= trust:
+                new[i] = max(new.get(i, 0), s)
+        if sum(new.values()) - sum(weight.values()) <= 1e-6:
+            return [[(a, e) for a, e, i in mine if weight.get(i, 0) >= trust and i not in seeds] for mine in seen]
+        weight = new
+
+
+def _with_context(pattern, text):
+    """Matches, each with the start of the second match before it."""
+    starts = []
+    for m in pattern.finditer(text):
+        yield m, starts[-2] if len(starts) > 1 else 0
+        starts.append(m.start())

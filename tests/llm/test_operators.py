@@ -28,6 +28,7 @@ ODD = [
     (6, "one two three", "c"), (7, LONG, "c"), (8, LONG + " tail", None), (9, "Mail a.b+c@d-e.f.gh, 1.2.3.4 and 256.1.1.1 or 1.2.3.4.5.6.7.8", "a"),
     (10, "Card 4111 1111 1111 1111 or 4111-1111-1111-1112 call +1 (017) 555-7713", "a"), (11, "é ΣΑΣ <|endoftext|> 'll ſt ﬁ 😀😀 x\u0085y", "b"),
     (12, "same line\nsame line\n\nsame line\r\n" * 30, "b"), (13, "w " * 400, "b"), (None, "one two three", "z"), (14, "a@b@c.d@e.f", "z"),
+    (18, "10.0.0.1, 127.0.0.1 192.168.0.7; 0.0.0.0 000.00.0.00 00025.0255.0256.1 1.2.3.00255 0.0.0.0256 256.0.0.0", "z"),
     (15, "1" * 5000 + "." + "2.3.4", "z"), (16, "x" * 100_000, "z"), (17, "x@" + "y." * 20_000 + "z", "z"),
 ]
 CLASH = {"words": 1, "t": 2, "h": "x", "digest": "y", "_rid": 3, "label": 4, "row": 5, "n": 6, "size": 7, "bucket": 8, "score": 9.0, "token": "q", "sig": 1,
@@ -307,6 +308,33 @@ def test_personal_data_finds_unseen_identifiers(spark):
     assert all(out[i] == "card:26:42" for i in range(len(good)))
 
 
+def test_personal_data_added_spans(spark, docs):
+    """All added spans against brute force, chains of discoveries included."""
+    r, rows = random.Random(5), [(x.doc_id, x.text) for x in docs.select("doc_id", "text").collect() if x.text and len(x.text) < 3000]
+    # mail addresses teach "mail", codes seen with it teach "badge", codes seen with that "desk"
+    rows += [(10_000 + i, f"his mail u{i}@x.org and " + prose(i, 5)) for i in range(120)]
+    codes = [[f"{chr(97 + k) * 2}{r.randint(10_000, 99_999)}" for _ in range(n)] for k, n in enumerate((36, 12, 4))]
+    for k, (a, b) in enumerate((("mail", "badge"), ("badge", "desk"), ("desk", "shelf"))):
+        for i, code in enumerate(codes[k]):
+            rows += [(20_000 + 100 * k + i, f"his {a} {code} there"), (30_000 + 100 * k + i, f"his {b} {code} here")]
+    want = brute.found_identifiers(rows)
+    out = op7_pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "found").collect()
+    got = {x.doc_id: sorted((s.start, s.end) for s in x.found) for x in out}
+    assert got == {i: w for (i, _), w in zip(rows, want, strict=True)}
+    assert all(got[30_000 + 100 * k] for k in range(3))
+
+
+def test_personal_data_of_one_text_full_of_identifiers(spark):
+    def took(n):
+        text = " ".join(f"user{i}@host{i % 7}.org code{i:07d}" for i in range(n))
+        began = time.time()
+        out = op7_pii.personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).selectExpr("size(seeds) AS n").first()
+        assert out.n == n
+        return time.time() - began
+    took(100)
+    assert took(16_000) < 15
+
+
 def planted(seed=3):
     """Groups of near copies, chains, passages shared by many, and odd rows."""
     r = random.Random(seed)
