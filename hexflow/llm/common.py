@@ -89,7 +89,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     back: cuts the lineage, and survives the loss of any executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables of ``written`` that nothing will read any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_below(df: DataFrame, rows: int, max_rows: int) -> DataFrame:

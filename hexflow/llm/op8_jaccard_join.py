@@ -12,11 +12,20 @@ share one under every order. ORDERS orders are used:
    a pair must share as many prefix shingles as its sizes ask for.
 3. Candidates of a shingle's bucket aren't written out as all pairs. First
    every member is paired with the bucket's weightiest member, the one whose
-   shingles most others share; verified links give components. Buckets that still span two or more components pair their members
-   outside the largest one with another member of it, for STAR_ROUNDS rounds, and
-   at last with all members of other components. Pairs within a component can't change it, so no link between
-   components is lost, and a group of thousands of near copies costs a star.
-4. A pair must share a prefix shingle under each further order as well, before
+   shingles most others share; verified links give components, and a group of
+   thousands of near copies costs a star. Then, in buckets that still span two or
+   more components, members of different components are paired. A shared shingle
+   at place i of a set of n can be the first one that two linked sets share only
+   if the other set has at most (n + 1 - i) * 1.8 / 0.8 - n shingles. So the join is on
+   (shingle, size band): a set probes the bands of smaller sets that its place
+   allows, and is indexed under its own band only with the places that larger sets
+   allow. Hubs come first here, too: in the first round only members that a hash
+   picks (one in HUB_STEP^k) meet the others, HUB_STEP times as many in the next, all in
+   the last, and links of a round join components before the next one.
+   Pairs within a component can't change it, so no link between
+   components is lost.
+4. A pair must share as many prefix shingles as its sizes ask for, and one
+   under each further order as well, before
    its sets are joined and intersected exactly.
 
 Sets are written once, in place; only those of candidate pairs travel. Signatures and shingles are
@@ -38,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, by_value, in_small_batches, packed, written, trimmed
+from .common import broadcast_below, by_value, dropped, in_small_batches, packed, trimmed, written
 from .components import components
 from .shingles import WordHashes, mix, shingle_set, signature
 
@@ -51,7 +60,8 @@ CHUNK = 1_000_000              # shingles counted together in a task
 LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 4, 24, 2_000_000
 MAX_BROADCAST_NODES = 4_000_000
 OUT_ROWS = 500
-STAR_ROUNDS = 1
+BAND = 1.05                    # ratio of the bounds of a size band
+HUB_BITS, HUB_STEP = 3, 8      # a round has 2^3 times as many hubs as the one before
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -197,27 +207,66 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The verified ones of ``pairs``; only their nodes' sets are read."""
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "jaccard-nodes")
-    return verified(pairs, written(other_orders(rows, nodes, nodes.count()), "jaccard-sets"))
+    nodes = _nodes(pairs)
+    sets = written(other_orders(rows, nodes, nodes.count()), "jaccard-sets")
+    out = written(verified(pairs, sets), "jaccard-linked")
+    dropped(sets, nodes)
+    return out
 
 
-def _open(rows: DataFrame, label: DataFrame, k: int) -> DataFrame:
-    """The bucket rows of buckets that span components, with the row's label,
-    the bucket's largest component ``main`` and a member of it, the ``hub``
-    (another one for each ``k``, the same for buckets of the same members)."""
-    rows = rows.select("token", "sig", "n", "i")
+def _open(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """The bucket rows (token, sig, n, i, level) of buckets that span components, with the row's label."""
+    rows = rows.select("token", "sig", "n", "i", "level")
     known = rows.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    hub = F.min(F.struct(F.xxhash64(F.lit(k), "sig").alias("h"), F.struct("sig", "n", "i").alias("x")))
-    spans = (known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub"))
-             .groupBy("token").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label", "hub")).alias("top")).where("labels > 1")
-             .select("token", F.col("top.label").alias("main"), F.col("top.hub.x").alias("hub")))
+    spans = known.groupBy("token").agg((F.min("label") != F.max("label")).alias("spans")).where("spans").select("token")
     return written(known.join(spans, "token"), "jaccard-open")
 
 
+def _band(n):
+    return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
+
+
+def banded(left: DataFrame, level: int, above: int) -> DataFrame:
+    """The pairs (a, b) of different components that may link by their sizes and
+    the place of a shared shingle, with a hub of at least ``level`` on one side and none of ``above``."""
+    member = F.struct("sig", "n", "i", "label", "level")
+    n, i, o = F.col("n"), F.col("i"), PERCENT / (100 + PERCENT)
+    most = F.least(n.cast("double"), (n + 1 - i) / o - n)                   # size of a smaller set that may link
+    left = left.where(F.col("level") < above)
+    probe = left.where(most >= n * (PERCENT / 100) - 1).select(
+        "token", F.explode(F.sequence(_band(F.greatest(n * (PERCENT / 100) - 1, F.lit(1.0))), _band(F.greatest(most + 1, F.lit(1.0))))).alias("band"), member.alias("x"))
+    index = left.where(i <= n + 2 - 2 * o * n).select("token", _band(n).alias("band"), member.alias("y"))
+    larger = (F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig"))
+    fits = larger & (F.col("x.label") != F.col("y.label")) & _possible_sizes("x", "y") & _possible("x", "y")
+    hubs = probe.where(F.col("x.level") >= level).join(index, ["token", "band"]).where(fits)
+    others = probe.where(F.col("x.level") < level).join(index.where(F.col("y.level") >= level), ["token", "band"]).where(fits)
+    return hubs.unionByName(others).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "jaccard-nodes")
+
+
+def sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b), a the lesser one, of the ``pairs`` that share as many prefix shingles
+    as linked sets must. Only prefixes of their nodes travel."""
+    nodes = _nodes(pairs)
+    prefixes = rows.where(F.size("prefix") > 0).select("sig", "prefix").join(broadcast_below(nodes, nodes.count(), MAX_BROADCAST_NODES), "sig", "left_semi")
+    prefixes = written(prefixes.dropDuplicates(["sig"]), "jaccard-prefixes")
+    both = (pairs.join(prefixes.select(F.col("sig").alias("a"), F.col("prefix").alias("p")), "a")
+            .join(prefixes.select(F.col("sig").alias("b"), F.col("prefix").alias("q")), "b"))
+    x, y = F.struct(F.col("na").alias("n")), F.struct(F.col("nb").alias("n"))
+    out = written(both.select("*", x.alias("x"), y.alias("y")).where(F.size(F.array_intersect("p", "q")) >= _prefix_share("x", "y"))
+                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "jaccard-sharing")
+    dropped(nodes, prefixes)
+    return out
+
+
 def join(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     heavy = docs.sparkSession.sparkContext.broadcast(frequent(docs))
     rows = written(sets_of(docs, heavy), "jaccard-rows")
+    heavy.destroy()
     tokens = (rows.select("sig", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "token"))
               .dropDuplicates(["token", "sig"]).withColumn("i", F.col("i") + 1))
     # counts and hubs per token are combined map-side and written, so that the joins back may be split at a hot token
@@ -225,39 +274,39 @@ def join(docs: DataFrame) -> DataFrame:
     tokens = written(tokens, "jaccard-tokens")
     many = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "jaccard-many")
     held = written(tokens.join(many, "token"), "jaccard-held")
+    dropped(tokens)
     # a text that others were copied from shares all its shingles with many; its weight tells how many on average
     weight = held.groupBy("sig").agg(F.sum("held").alias("all_held"))
     weighed = written(held.drop("held").join(weight, "sig").withColumn(
         "w", F.floor(F.col("all_held") * 1000 / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1))).drop("all_held"), "jaccard-weighed")
+    largest = many.agg(F.max("held")).first()[0] or 0
+    dropped(held, many)
     hubs = written(weighed.groupBy("token").agg(F.max(F.struct("w", "sig", "n", "i")).alias("hub")), "jaccard-hubs")
-    buckets = written(weighed.join(hubs, "token"), "jaccard-buckets")
 
     # every member with its bucket's weightiest member
+    buckets = weighed.join(hubs, "token")
     stars = written(enough_shared(buckets.select(node.alias("x"), F.col("hub").alias("y")).where("x.sig != y.sig")), "jaccard-stars")
+    dropped(hubs)
     links = written(_linked(stars, rows), "jaccard-links")
     label = components(links)
 
-    # buckets that still span components: for some rounds their members outside the largest one
-    # meet a member of it, another one each time, which settles nearly all near copies
-    left = buckets.drop("hub", "w")
-    for k in range(STAR_ROUNDS):
-        left = _open(left, label, k)
-        more = enough_shared(left.where("label != main").select(node.alias("x"), F.col("hub").alias("y")))
-        tried = written(more.join(stars, ["a", "b"], "left_anti"), "jaccard-stars")
-        if tried.isEmpty():
-            break
-        stars = stars.unionByName(tried)
-        links = written(links.unionByName(_linked(tried, rows)), "jaccard-links")
-        label = components(links)
-
-    # then with every member of other components, in every bucket that two of them share
-    left = _open(left, label, STAR_ROUNDS)
-    x = left.where("label != main").select("token", F.struct("sig", "n", "i", "label").alias("x"))
-    y = left.select("token", F.struct("sig", "n", "i", "label").alias("y"), (F.col("label") == F.col("main")).alias("in_main"))
-    rest = enough_shared(x.join(y, "token").where((F.col("x.label") != F.col("y.label")) & (F.col("in_main") | (F.col("x.sig") < F.col("y.sig")))))
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "jaccard-rest")
-    if not rest.isEmpty():
-        label = components(written(links.unionByName(_linked(rest, rows)), "jaccard-links"))
+    # then members of different components, in rounds of more and more hubs
+    zeros = F.length(F.regexp_extract(F.bin(F.xxhash64(F.lit(8), "sig")), "(0*)$", 1))
+    left = weighed.drop("w").withColumn("level", F.floor(zeros / HUB_BITS).cast("int"))
+    level, above, old = 0, 1_000, weighed
+    while HUB_STEP ** (level + 1) < largest:
+        level += 1
+    while level >= 0:
+        left = _open(left, label)
+        dropped(old)
+        found = written(banded(left, level, above), "jaccard-found")
+        tried = written(sharing(found, rows).join(stars, ["a", "b"], "left_anti"), "jaccard-tried")
+        if not tried.isEmpty():
+            more = _linked(tried, rows)
+            if not more.isEmpty():
+                links = written(links.unionByName(more), "jaccard-links")
+                label = components(links)
+        old, left, level, above = left, left.drop("label"), level - 1, level
 
     named = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     named = named.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
