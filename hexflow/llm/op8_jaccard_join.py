@@ -44,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +61,8 @@ CHUNK = 1_000_000              # shingles counted together in a task
 LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 4, 24, 2_000_000
 MAX_BROADCAST_NODES = 4_000_000
 OUT_ROWS = 500
-BAND = 1.05                    # ratio of the bounds of a size band
-HUB_BITS, HUB_STEP = 3, 8      # a round has 2^3 times as many hubs as the one before
+BAND = 1.12                    # ratio of the bounds of a size band
+HUB_BITS, HUB_STEP = 8, 256    # a round has 2^8 times as many hubs as the one before
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -106,13 +107,14 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, heavy) -> DataFrame:
-    """doc_id, sig, n, the first order's prefix and the words as 32-bit hashes,
+    """rid, doc_id, sig, n, the first order's prefix and the words as 32-bit hashes,
     from which the set can be made again; of equal sets in a task only the first
     one carries them. ``heavy``: a broadcast variable."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen, often = WordHashes(fold=True), set(), heavy.value
+        rid = TaskContext.get().partitionId() << 40
         none = np.empty(0, np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, OUT_ROWS):
@@ -135,11 +137,12 @@ def sets_of(docs: DataFrame, heavy) -> DataFrame:
                         first, all_ = s[at[np.argsort(key[at])]].view(np.int64), w.astype(np.uint32).view(np.int32)
                     for column, v in zip((sigs, sizes, firsts, whole), (sig, n, first, all_), strict=True):
                         column.append(v)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(rid, rid + part.num_rows)), part.column(0), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
                                                   pa.array(firsts, pa.list_(pa.int64())), pa.array(whole, pa.list_(pa.int32()))],
-                                                 names=["doc_id", "sig", "n", "prefix", "words"])
+                                                 names=["rid", "doc_id", "sig", "n", "prefix", "words"])
+                rid += part.num_rows
     return in_small_batches(docs.select("doc_id", F.col("text").cast("string").alias("text"))).mapInArrow(
-        trimmed(work), f"doc_id {id_type}, sig long, n long, prefix array<long>, words array<int>")
+        trimmed(work), f"rid long, doc_id {id_type}, sig long, n long, prefix array<long>, words array<int>")
 
 
 def other_orders(rows: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
@@ -238,9 +241,10 @@ def banded(left: DataFrame, level: int, above: int) -> DataFrame:
     index = left.where(i <= n + 2 - 2 * o * n).select("token", _band(n).alias("band"), member.alias("y"))
     larger = (F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig"))
     fits = larger & (F.col("x.label") != F.col("y.label")) & _possible_sizes("x", "y") & _possible("x", "y")
-    hubs = probe.where(F.col("x.level") >= level).join(index, ["token", "band"]).where(fits)
-    others = probe.where(F.col("x.level") < level).join(index.where(F.col("y.level") >= level), ["token", "band"]).where(fits)
-    return hubs.unionByName(others).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
+    met = probe.where(F.col("x.level") >= level).join(index, ["token", "band"]).where(fits)
+    if level:
+        met = met.unionByName(probe.where(F.col("x.level") < level).join(index.where(F.col("y.level") >= level), ["token", "band"]).where(fits))
+    return met.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -249,14 +253,16 @@ def _nodes(pairs: DataFrame) -> DataFrame:
 
 def sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """(a, b), a the lesser one, of the ``pairs`` that share as many prefix shingles
-    as linked sets must. Only prefixes of their nodes travel."""
+    as linked sets must. Only prefixes of their nodes travel, 16 bits a shingle:
+    what falls together that way is added to the count, so no pair is lost."""
     nodes = _nodes(pairs)
     prefixes = rows.where(F.size("prefix") > 0).select("sig", "prefix").join(broadcast_below(nodes, nodes.count(), MAX_BROADCAST_NODES), "sig", "left_semi")
-    prefixes = written(prefixes.dropDuplicates(["sig"]), "jaccard-prefixes")
-    both = (pairs.join(prefixes.select(F.col("sig").alias("a"), F.col("prefix").alias("p")), "a")
-            .join(prefixes.select(F.col("sig").alias("b"), F.col("prefix").alias("q")), "b"))
+    short = F.array_distinct(F.transform("prefix", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint")))
+    prefixes = written(prefixes.dropDuplicates(["sig"]).select("sig", short.alias("p"), (F.size("prefix") - F.size(short)).alias("lost")), "jaccard-prefixes")
+    both = (pairs.join(prefixes.select(F.col("sig").alias("a"), "p", "lost"), "a")
+            .join(prefixes.select(F.col("sig").alias("b"), F.col("p").alias("q")), "b"))
     x, y = F.struct(F.col("na").alias("n")), F.struct(F.col("nb").alias("n"))
-    out = written(both.select("*", x.alias("x"), y.alias("y")).where(F.size(F.array_intersect("p", "q")) >= _prefix_share("x", "y"))
+    out = written(both.select("*", x.alias("x"), y.alias("y")).where(F.size(F.array_intersect("p", "q")) + F.col("lost") >= _prefix_share("x", "y"))
                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "jaccard-sharing")
     dropped(nodes, prefixes)
     return out
@@ -267,8 +273,12 @@ def join(docs: DataFrame) -> DataFrame:
     heavy = docs.sparkSession.sparkContext.broadcast(frequent(docs))
     rows = written(sets_of(docs, heavy), "jaccard-rows")
     heavy.destroy()
-    tokens = (rows.select("sig", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "token"))
-              .dropDuplicates(["token", "sig"]).withColumn("i", F.col("i") + 1))
+    # of the rows that carry a set in different tasks, the first one stands for it
+    carried = rows.where(F.size("prefix") > 0)
+    firsts = carried.groupBy("sig").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    again = written(carried.select("sig", "rid").join(firsts, "sig").where("rid > first").select("rid"), "jaccard-again")
+    tokens = (carried.join(broadcast_below(again, again.count(), MAX_BROADCAST_NODES), "rid", "left_anti")
+              .select("sig", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("i", "token")).withColumn("i", F.col("i") + 1))
     # counts and hubs per token are combined map-side and written, so that the joins back may be split at a hot token
     node = F.struct("sig", "n", "i")
     tokens = written(tokens, "jaccard-tokens")
