@@ -33,8 +33,10 @@ def recent_gridlocks(gold: DataFrame, as_of, recency_minutes: int = RECENCY_MINU
     """GRIDLOCK windows not older than ``recency_minutes`` at ``as_of``
     (an event exactly that old is kept; only older ones are skipped)."""
     now = as_timestamp(as_of)
-    return gold.where((F.col("traffic_status") == F.lit(GRIDLOCK))
-                      & (F.col("window_start") >= now - _minutes(recency_minutes)))
+    since = now - _minutes(recency_minutes)
+    if "window_date" in gold.columns:               # opens the days it may lie in only
+        gold = gold.where(F.col("window_date") >= F.to_date(since))
+    return gold.where((F.col("traffic_status") == F.lit(GRIDLOCK)) & (F.col("window_start") >= since))
 
 
 def empty_alert_log(spark) -> DataFrame:

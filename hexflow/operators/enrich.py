@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import DEFAULT_REF_LAT, DEFAULT_RES, add_cell
 from ..functions.parse import parse_bronze
-from .joins import MAX_BROADCAST_ROWS, small_side
+from .joins import MAX_BROADCAST_ROWS, materialize, small_side
 
 # Quarantine reasons, in precedence order, and the speed limit.
 REASON_NO_MATCH = "Map Matching Failed (NULL osm_id)"
@@ -57,17 +57,46 @@ def join_crosswalk(reads: DataFrame, side: DataFrame) -> DataFrame:
         "h3_id", "currentSpeed", "freeFlowSpeed", "osm_id", "full_road_name", "ingest_time")
 
 
+def hot_cells(reads: DataFrame, slots: int) -> dict[str, int]:
+    """Cells that hold more than a slot's share of the readings, with the slices
+    that cut them down to it: at most ``slots`` cells, counted map-side."""
+    counts = reads.groupBy(F.lower("h3_id").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.where("cell IS NOT NULL"), "cell-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return {r["cell"]: -(-r["n"] * slots // total) for r in counts.where(F.col("n") * slots > total).collect()}
+
+
+def join_crosswalk_salted(reads: DataFrame, side: DataFrame, slots: int | None = None) -> DataFrame:
+    """``join_crosswalk`` for a crosswalk too large to broadcast: readings of a hot
+    cell are dealt over slices by a running number, and the roads of that cell alone
+    are copied to each slice, so no task takes more than about a slot's share."""
+    slots = slots or int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_cells(reads, slots)
+    if not hot:
+        return join_crosswalk(reads, side)
+    slices = F.create_map(*[x for c, n in hot.items() for x in (F.lit(c), F.lit(n))])
+    of = lambda cell: F.coalesce(F.element_at(slices, cell), F.lit(1))
+    keyed = (reads.withColumn("_cell", F.when(F.col("currentSpeed").isNotNull(), F.lower("h3_id")))
+             .withColumn("_slice", F.pmod(F.monotonically_increasing_id(), of(F.coalesce("_cell", F.lit("")))).cast("int")))
+    roads = side.select(F.lower("h3_id").alias("_cell"), "osm_id", "full_road_name")
+    roads = roads.withColumn("_slice", F.explode(F.sequence(F.lit(0), of(F.coalesce("_cell", F.lit(""))) - 1)))
+    return keyed.join(roads, ["_cell", "_slice"], "left").select(
+        "h3_id", "currentSpeed", "freeFlowSpeed", "osm_id", "full_road_name", "ingest_time")
+
+
 def enrich(reads: DataFrame, crosswalk: DataFrame, strategy: str = "auto",
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS, crosswalk_checked: bool = False) -> DataFrame:
+           max_broadcast_rows: int = MAX_BROADCAST_ROWS, crosswalk_checked: bool = False,
+           size: tuple[int, int] | None = None) -> DataFrame:
     """LEFT join of readings to every road of their cell (case-insensitive cell id).
 
     One reading matches every road in its cell, so a reading yields one row
     per matched road (or one row with NULL road columns). The crosswalk is
-    broadcast only after its row count is measured within the bound.
+    broadcast only after its row count is measured within the bound; beyond
+    it hot cells are salted.
     """
-    side, _ = small_side(crosswalk.select("h3_id", "osm_id", "full_road_name"), strategy,
-                         max_broadcast_rows, checked=crosswalk_checked)
-    return join_crosswalk(reads, side)
+    side, chosen = small_side(crosswalk.select("h3_id", "osm_id", "full_road_name"), strategy,
+                              max_broadcast_rows, checked=crosswalk_checked, size=size)
+    return join_crosswalk_salted(reads, side) if chosen == "shuffle" else join_crosswalk(reads, side)
 
 
 def valid_condition(max_speed: int = MAX_SPEED):
@@ -88,10 +117,11 @@ def error_reason(max_speed: int = MAX_SPEED, unparsed: bool = False):
     return out
 
 
-def silver_rows(enriched: DataFrame, max_speed: int = MAX_SPEED) -> DataFrame:
+def silver_rows(enriched: DataFrame, max_speed: int = MAX_SPEED, more: dict | None = None) -> DataFrame:
+    """Valid rows; ``more`` (name -> expression over the enriched row) columns follow the fixed ones."""
     return (enriched.where(valid_condition(max_speed))
             .withColumn("road_name", F.lit(None).cast("string"))
-            .select(*SILVER_COLUMNS))
+            .select(*SILVER_COLUMNS, *[c.alias(n) for n, c in (more or {}).items()]))
 
 
 def quarantine_rows(enriched: DataFrame, max_speed: int = MAX_SPEED, unparsed: bool = False) -> DataFrame:

@@ -51,25 +51,22 @@ def materialize(df: DataFrame, name: str = "stage", with_path: bool = False, wit
     return (out, *extra) if extra else out
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count, stopping once it exceeds ``bound`` (returns at most bound+1)."""
-    return df.limit(bound + 1).count()
-
-
 def bounded_size(df: DataFrame, bound: int) -> tuple[int, int]:
-    """``(rows, bytes)`` of at most ``bound + 1`` rows of ``df``."""
-    r = df.limit(bound + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
+    """``(rows, bytes)`` of ``df``, summed in its tasks; ``bound`` is what the caller compares with."""
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
     return int(r["rows"]), int(r["bytes"] or 0)
 
 
 def small_side(df: DataFrame, strategy: str = "auto", max_rows: int = MAX_BROADCAST_ROWS,
-               checked: bool = False, where=None, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, str]:
+               checked: bool = False, where=None, max_bytes: int = MAX_BROADCAST_BYTES,
+               size: tuple[int, int] | None = None) -> tuple[DataFrame, str]:
     """Prepare the small side of a join and say which strategy it gets.
 
     ``auto``: materialise, measure rows and bytes (observed during the write),
     broadcast if both are within bounds, else shuffle join. ``broadcast`` is honoured only when the check passes (the
     bound is never skipped). ``merge`` / ``shuffle_hash`` hint as asked.
-    ``checked=True`` means the caller already materialised ``df``.
+    ``checked=True`` means the caller already materialised ``df``, ``size`` the
+    (rows, bytes) it observed doing so.
     ``where`` is applied to the materialised files: a filter on a computed
     column written on top of the plan would be pushed down and inlined into
     the computation (even into the scan), evaluating it twice.
@@ -81,7 +78,7 @@ def small_side(df: DataFrame, strategy: str = "auto", max_rows: int = MAX_BROADC
         side = side.where(where) if where is not None else side
         return side.hint(strategy), strategy
     if checked:
-        side, (n, size) = df, bounded_size(df, max_rows)
+        side, (n, size) = df, size or bounded_size(df, max_rows)
     else:
         side, (n, size) = materialize(df, "small-side", with_count=True)
     if where is not None:

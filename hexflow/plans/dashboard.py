@@ -74,6 +74,17 @@ def daily_summary(gold: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
                  F.count_if(_is(HEAVY)).alias("heavy_windows")))
 
 
+def days(gold: DataFrame, after=None, until=None) -> DataFrame:
+    """``gold`` with bounds on its partition column, which follow from bounds on
+    ``window_start``, so that a scan opens those days only. As it is where the
+    rows do not carry the column."""
+    if "window_date" not in gold.columns:
+        return gold
+    if after is not None:
+        gold = gold.where(F.col("window_date") >= F.to_date(after))
+    return gold if until is None else gold.where(F.col("window_date") <= F.to_date(until))
+
+
 def kpi_24h_pop(gold: DataFrame, as_of, hours: int = 24) -> DataFrame:
     """Last ``hours`` against the ``hours`` before, in one pass of conditional aggregates."""
     now = as_timestamp(as_of)
@@ -81,7 +92,7 @@ def kpi_24h_pop(gold: DataFrame, as_of, hours: int = 24) -> DataFrame:
     cur = (F.col("window_start") > now - span) & (F.col("window_start") <= now)
     prev = (F.col("window_start") > now - span - span) & (F.col("window_start") <= now - span)
     ci = F.col("avg_congestion_index")
-    out = gold.where(F.col("window_start") > now - span - span).agg(
+    out = days(gold, now - span - span).where(F.col("window_start") > now - span - span).agg(
         F.sum(F.when(cur, F.col("total_observations"))).alias("cur_observations"),
         F.sum(F.when(prev, F.col("total_observations"))).alias("prev_observations"),
         F.avg(F.when(cur, ci)).alias("cur_avg_ci"), F.avg(F.when(prev, ci)).alias("prev_avg_ci"),
@@ -93,8 +104,8 @@ def kpi_24h_pop(gold: DataFrame, as_of, hours: int = 24) -> DataFrame:
 def active_gridlocks(gold: DataFrame, as_of, minutes: int = 60) -> DataFrame:
     """Roads with a GRIDLOCK window in the last ``minutes``; red when any."""
     now = as_timestamp(as_of)
-    recent = gold.where(_is(GRIDLOCK) & (F.col("window_start") > now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)))
-                        & (F.col("window_start") <= now))
+    since = now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    recent = days(gold, since, now).where(_is(GRIDLOCK) & (F.col("window_start") > since) & (F.col("window_start") <= now))
     return (recent.agg(F.count_distinct("road_name").alias("active_gridlocks"))
             .withColumn("indicator", F.when(F.col("active_gridlocks") > 0, F.lit("red")).otherwise(F.lit("green"))))
 
@@ -170,8 +181,8 @@ def heatmap_road_day(gold: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
 def avg_ci_last_2h(gold: DataFrame, as_of, hours: int = 2) -> DataFrame:
     """Per road average of window CIs over the last ``hours`` (strictly after)."""
     now = as_timestamp(as_of)
-    return (gold.where((F.col("window_start") > now - F.make_dt_interval(F.lit(0), F.lit(hours)))
-                       & F.col("road_name").isNotNull())
+    since = now - F.make_dt_interval(F.lit(0), F.lit(hours))
+    return (days(gold, since).where((F.col("window_start") > since) & F.col("road_name").isNotNull())
             .groupBy("road_name")
             .agg(stable_round(F.avg("avg_congestion_index"), 4).alias("avg_ci"), F.count(F.lit(1)).alias("windows"))
             .orderBy(F.col("avg_ci").desc(), "road_name"))

@@ -1,7 +1,7 @@
 """Layout and maintenance as Spark jobs: table detail, compaction, range layout.
 
-* ``table_detail``: files and bytes of a Parquet table from the scan's
-  ``_metadata`` columns (no data column is read).
+* ``table_detail``: files and bytes of a Parquet table from a listing, rows from
+  the footers (no data column is read).
 * ``compact``: rewrites a table into files of about ``target_bytes`` in a new
   folder, then swaps the folders; a crash between is recoverable.
 * ``range_layout``: range-partition and sort on the lookup columns, so the
@@ -17,20 +17,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.layout import range_layout  # noqa: F401
 from ..sources.tables import delete_path, path_exists
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 
 
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path, file_size`` of every data file, those without rows included: a
+    listing by Spark's binary file source, of which only path and length are read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+            .select(F.col("path").alias("file_path"), F.col("length").alias("file_size")))
+
+
 def table_detail(spark: SparkSession, path: str) -> DataFrame:
-    """One row: ``num_files, size_in_bytes, num_rows`` (files holding at least
-    one row), from one pass over the file metadata columns."""
-    files = (spark.read.parquet(path)
-             .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
-             .groupBy("file_path").agg(F.max("file_size").alias("file_size"), F.count(F.lit(1)).alias("rows")))
-    return files.agg(F.count(F.lit(1)).alias("num_files"),
-                     F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("size_in_bytes"),
-                     F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("num_rows"))
+    """One row: ``num_files, size_in_bytes, num_rows``; rows are counted from the files' footers."""
+    files = table_files(spark, path).select(F.lit(1).alias("f"), F.col("file_size").alias("b"), F.lit(0).cast("long").alias("r"))
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("r")).select(F.lit(0).alias("f"), F.lit(0).cast("long").alias("b"), "r")
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    return files.unionByName(rows).agg(total("f", "num_files"), total("b", "size_in_bytes"), total("r", "num_rows"))
 
 
 def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
@@ -102,12 +107,6 @@ def compact(spark: SparkSession, path: str, target_bytes: int = DEFAULT_TARGET_B
             "bytes_before": before["size_in_bytes"], "bytes_after": after["size_in_bytes"]}
 
 
-def range_layout(df: DataFrame, cols, num_files: int) -> DataFrame:
-    """Range-partition on ``cols`` into ``num_files`` partitions, sorted within each."""
-    cols = [cols] if isinstance(cols, str) else list(cols)
-    return df.repartitionByRange(num_files, *cols).sortWithinPartitions(*cols)
-
-
 def reduction(before: float, after: float) -> float:
     """Percent reduction from ``before`` to ``after`` (M6)."""
     return 0.0 if not before else (before - after) * 100.0 / before

@@ -30,12 +30,12 @@ def road_index_of(spark: SparkSession, sf_dir: str, as_of=FIXTURE_AS_OF) -> Data
 
 
 def crosswalk_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_of=FIXTURE_AS_OF,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS, materialized: bool = True) -> DataFrame:
+                 max_broadcast_rows: int = MAX_BROADCAST_ROWS, materialized: bool = True, with_size: bool = False):
     """The crosswalk, materialised in the checkpoint folder (it is read by
     every later stage and its size decides the enrichment join)."""
     xw = build_crosswalk(traffic_cells(bronze_view(spark, sf_dir)), road_index_of(spark, sf_dir, as_of),
                          strategy, max_broadcast_rows)
-    return materialize(xw) if materialized else xw
+    return materialize(xw, with_count=with_size) if materialized else xw
 
 
 def quality_counts_of(spark: SparkSession, sf_dir: str, crosswalk: DataFrame | None = None, as_of=FIXTURE_AS_OF) -> DataFrame:
@@ -55,8 +55,8 @@ def quality_counts_of(spark: SparkSession, sf_dir: str, crosswalk: DataFrame | N
 
 
 def enriched_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_of=FIXTURE_AS_OF) -> DataFrame:
-    xw = crosswalk_of(spark, sf_dir, as_of=as_of)
-    return enrich(readings_of(spark, sf_dir, as_of), xw, strategy, crosswalk_checked=True)
+    xw, size = crosswalk_of(spark, sf_dir, as_of=as_of, with_size=True)
+    return enrich(readings_of(spark, sf_dir, as_of), xw, strategy, crosswalk_checked=True, size=size)
 
 
 def silver_of(spark: SparkSession, sf_dir: str, strategy: str = "auto", as_of=FIXTURE_AS_OF) -> DataFrame:

@@ -553,19 +553,26 @@ def compact_q(spark, sf_dir):
     return gold_out(spark.read.parquet(target))
 
 
-@register("table_detail")
+@register("table_detail", gsql("SELECT count(*) AS num_rows, count(DISTINCT CAST(window_start AS DATE)) AS days, TRUE AS a_file_a_day, TRUE AS sized FROM gold"))
 def table_detail_q(spark, sf_dir):
-    """M4/M5: files and bytes of the gold table as written (rows-only check)."""
+    """M4: the gold table as written: rows and days; files (listed, also those
+    without rows) and bytes as bounds, since their numbers are the writer's."""
     target = scratch_path(spark, "gold_detail")
     from ..sources.tables import with_window_date
     with_window_date(_gold(spark, sf_dir)).write.partitionBy("window_date").parquet(target)
-    return MT.table_detail(spark, target)
+    d = MT.table_detail(spark, target).withColumn("k", F.lit(1))
+    days = spark.read.parquet(target).agg(F.count_distinct("window_date").alias("days"), F.lit(1).alias("k"))
+    return d.join(F.broadcast(days), "k").select(
+        "num_rows", "days", (F.col("num_files") >= F.col("days")).alias("a_file_a_day"), (F.col("size_in_bytes") > F.col("num_files")).alias("sized"))
 
 
-@register("table_sizes")
+@register("table_sizes", O.with_stages(
+    "SELECT 'crosswalk' AS table_name, count(*) AS num_rows, TRUE AS has_files FROM crosswalk UNION ALL "
+    "SELECT 'silver', count(*), TRUE FROM silver UNION ALL SELECT 'quarantine', count(*), TRUE FROM quarantine UNION ALL "
+    "SELECT 'gold', count(*), TRUE FROM gold", (O.gold_cte("gold"),)))
 def table_sizes_q(spark, sf_dir):
-    """M5: files, bytes and rows of the crosswalk, silver, quarantine and gold
-    tables as written (rows-only check)."""
+    """M5: rows of the crosswalk, silver, quarantine and gold tables as written,
+    and whether files and bytes were listed for them."""
     from ..sources.tables import with_window_date
     base = scratch_path(spark, "tables")
     paths = {n: f"{base}/{n}" for n in ("crosswalk", "silver", "quarantine", "gold")}
@@ -573,7 +580,8 @@ def table_sizes_q(spark, sf_dir):
     M.silver_of(spark, sf_dir).write.parquet(paths["silver"])
     M.quarantine_of(spark, sf_dir).write.parquet(paths["quarantine"])
     with_window_date(_gold(spark, sf_dir)).write.partitionBy("window_date").parquet(paths["gold"])
-    return MT.table_sizes(spark, paths)
+    return MT.table_sizes(spark, paths).select(
+        "table_name", "num_rows", ((F.col("num_files") > 0) & (F.col("size_in_bytes") > 0)).alias("has_files"))
 
 
 @register("range_layout", O.with_stages(
@@ -799,10 +807,14 @@ def crosswalk_new_roads(spark, sf_dir):
     "SELECT event_id, json_extract_string(flowSegmentData, '$.currentSpeed') AS currentSpeed, "
     "json_extract_string(flowSegmentData, '$.freeFlowSpeed') AS freeFlowSpeed, "
     "json_extract(flowSegmentData, '$.coordinates')::VARCHAR AS coordinates, "
-    "'Wed Jan 31 00:00:00 2024' AS pulled_at FROM bronze WHERE flowSegmentData IS NOT NULL"))
+    "'Wed Jan 31 00:00:00 2024' AS pulled_at FROM bronze"))
 def unwrap_flow_q(spark, sf_dir):
-    """API envelopes to landing records, the flow's fields at top level."""
+    """API envelopes to landing records, the flow's fields at top level; an
+    envelope without a flow gives a record without fields."""
     from ..functions.parse import unwrap_flow
-    raw = bronze_view(spark, sf_dir).where("flowSegmentData IS NOT NULL").select(
-        "event_id", F.concat(F.lit('{"flowSegmentData":'), F.col("flowSegmentData"), F.lit("}")).alias("raw"))
+    envelope = F.concat(F.lit("{"), F.coalesce(F.concat(F.lit('"flowSegmentData":'), F.col("flowSegmentData")), F.lit("")), F.lit("}"))
+    raw = bronze_view(spark, sf_dir).select("event_id", envelope.alias("raw"))
     return unwrap_flow(raw, AS_OF, "raw", "event_id").drop("flowSegmentData")
+
+
+from . import registry_jobs  # noqa: E402,F401  registers the queries over tables and jobs

@@ -36,7 +36,10 @@ ROAD_INDEX_SCHEMA = ("osm_id string, full_road_name string, lat double, lon doub
                      "ingest_time timestamp")
 CROSSWALK_SCHEMA = "h3_id string, osm_id string, full_road_name string"
 
+BRONZE_SCHEMA = "currentSpeed string, freeFlowSpeed string, coordinates string, flowSegmentData string, pulled_at string"
+
 TABLE_DDL = {
+    "bronze_traffic": BRONZE_SCHEMA,
     "silver_osm_enriched": ROAD_INDEX_SCHEMA,
     "silver_road_crosswalk": CROSSWALK_SCHEMA,
     "silver_traffic": SILVER_SCHEMA,
@@ -57,14 +60,6 @@ def ensure_tables(spark: SparkSession, database: str | None = None) -> list[str]
     return made
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Batch overwrite (replaces the schema too)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet table whose appends widened the schema (K2): columns
     missing from older files come back NULL."""
@@ -96,11 +91,13 @@ def _in_partitions(col: str, values: list):
 
 
 def upsert(spark: SparkSession, target: str, updates: DataFrame, keys=("road_name", "window_start"),
-           partition_col: str = "window_date", order_col: str | None = None) -> int:
+           partition_col: str = "window_date", order_col: str | None = None, stored: DataFrame | None = None) -> int:
     """MERGE semantics: a matched key is replaced by the update row, a new key
     is inserted. NULL keys match NULL keys. Keys repeated within ``updates`` keep
     one row: the greatest ``order_col`` when given, and the greatest of the
-    other columns among equals. Returns the number of partitions rewritten."""
+    other columns among equals. ``stored``: the target's rows where they aren't
+    read from its path (a catalog table, empty perhaps). Returns the number of
+    partitions rewritten."""
     keys = list(keys)
     if partition_col not in updates.columns:
         updates = with_window_date(updates, partition_col)
@@ -120,8 +117,8 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys=("road_nam
     scratch = [staged]
     if touched:
         merged = updates
-        if path_exists(spark, target):
-            old = spark.read.parquet(target).where(_in_partitions(partition_col, touched)).alias("old")
+        if stored is not None or path_exists(spark, target):
+            old = (spark.read.parquet(target) if stored is None else stored).where(_in_partitions(partition_col, touched)).alias("old")
             new = updates.select(*[F.col(k).alias(f"_{k}") for k in keys])
             same = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"_{k}")) for k in keys])
             kept = old.join(new, same, "left_anti")
@@ -158,3 +155,24 @@ def delete_where(spark: SparkSession, target: str, predicate: str, partition_col
             delete_path(spark, r["folder"])
     delete_path(spark, staged)
     return deleted
+
+
+def delete_matching(spark: SparkSession, target: str, rows: DataFrame, keys, partition_col: str, schema: str) -> int:
+    """DELETE the rows of ``target`` whose keys (NULLs equal) stand in ``rows``; the
+    number of partitions rewritten. Only partitions that hold such a row are."""
+    table = spark.read.schema(schema).parquet(target).alias("t")
+    same = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys])
+    found = table.join(rows.select(*keys).distinct().alias("d"), same, "left_semi")
+    touched = [r[0] for r in found.select(partition_col).distinct().collect()]      # partitions, not rows
+    if not touched:
+        return 0
+    part = table.where(_in_partitions(partition_col, touched))
+    rest, staged = materialize(part.join(rows.select(*keys).distinct().alias("d"), same, "left_anti").select("t.*"), "delete-rest", with_path=True)
+    keep = {r[0] for r in rest.select(partition_col).distinct().collect()}
+    if keep:
+        (rest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target))
+    for value in touched:
+        if value not in keep:
+            delete_path(spark, f"{target.rstrip('/')}/{partition_col}={value}")
+    delete_path(spark, staged)
+    return len(touched)

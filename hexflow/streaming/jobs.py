@@ -29,7 +29,8 @@ from ..operators.joins import MAX_BROADCAST_ROWS, materialize, small_side
 from ..operators.roads import build_crosswalk, traffic_cells
 from ..operators.windows import congestion_windows, to_gold
 from ..session import owned_scratch
-from ..sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMA, delete_path, path_exists, upsert  # noqa: F401
+from ..sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMA, delete_matching, delete_path, path_exists, upsert  # noqa: F401
+from .sums import run_gold_sums
 
 # Fields every landing record may carry (read as text; absent ones are NULL).
 LANDING_FIELDS = ("currentSpeed", "freeFlowSpeed", "coordinates", "flowSegmentData", "pulled_at")
@@ -105,6 +106,24 @@ def refuse_new_checkpoint(spark: SparkSession, path: str, checkpoint: str) -> No
         raise RuntimeError(f"{path} was written from another checkpoint than {checkpoint}; use replay()")
 
 
+def _mark(path: str, checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-tables/{path.rstrip('/').rsplit('/', 1)[-1]}"
+
+
+def refuse_lost_table(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """A checkpoint whose table is gone would go on after the lost rows without an error."""
+    if path_exists(spark, _mark(path, checkpoint)) and not path_exists(spark, path):
+        raise RuntimeError(f"{path}, written from checkpoint {checkpoint}, is gone; use replay()")
+
+
+def mark_table(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Note beside the checkpoint that it has written the table."""
+    if path_exists(spark, path):
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(_mark(path, checkpoint))
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def _drain(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -114,11 +133,13 @@ def _drain(query) -> None:
 def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> None:
     """Append to a Parquet table, exactly once, draining what is available."""
     refuse_new_checkpoint(df.sparkSession, path, checkpoint)
+    refuse_lost_table(df.sparkSession, path, checkpoint)
     w = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(partition_by)
     _drain(w.start(path))
+    mark_table(df.sparkSession, path, checkpoint)
 
 
 def run_bronze(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
@@ -157,6 +178,7 @@ def run_silver_one_pass(spark: SparkSession, bronze_path: str, bronze_schema, cr
     side, _ = small_side(crosswalk.select("h3_id", "osm_id", "full_road_name"), strategy, max_broadcast_rows)
     for path in (silver_path, quarantine_path):
         refuse_new_checkpoint(spark, path, checkpoint)
+        refuse_lost_table(spark, path, checkpoint)
     enriched = join_crosswalk(readings(stream_table(spark, bronze_path, bronze_schema, max_files), as_of=as_of,
                                        keep_unparsed=keep_unparsed), side)
 
@@ -173,6 +195,8 @@ def run_silver_one_pass(spark: SparkSession, bronze_path: str, bronze_schema, cr
     q = (enriched.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _drain(q)
+    for path in (silver_path, quarantine_path):
+        mark_table(spark, path, checkpoint)
 
 
 def crosswalk_batch_writer(road_index: DataFrame, crosswalk_path: str, seen_path: str,
@@ -205,24 +229,75 @@ def run_crosswalk(spark: SparkSession, bronze_path: str, bronze_schema, road_ind
                   crosswalk_path: str, seen_path: str, checkpoint: str, max_files: int | None = None) -> None:
     """Incremental crosswalk: only the new bronze files of each run are read."""
     refuse_new_checkpoint(spark, seen_path, checkpoint)
+    for path in (seen_path, crosswalk_path):
+        refuse_lost_table(spark, path, checkpoint)
     q = (stream_table(spark, bronze_path, bronze_schema, max_files).writeStream.foreachBatch(crosswalk_batch_writer(road_index, crosswalk_path, seen_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _drain(q)
-
-
-def refresh_crosswalk(spark: SparkSession, road_index: DataFrame, crosswalk_path: str, seen_path: str) -> None:
-    """Add the roads of seen cells that the crosswalk lacks: roads that came
-    after their cell. They go to a partition of their own (-1, -2, ...)."""
-    if not path_exists(spark, seen_path):
-        return
-    seen = spark.read.schema("h3_id string, batch_id long").parquet(seen_path).select("h3_id").distinct()
-    have = spark.read.schema("h3_id string, osm_id string, full_road_name string, batch_id long").parquet(crosswalk_path)
-    names = ("h3_id", "osm_id", "full_road_name")
-    same = [F.col(f"new.{c}").eqNullSafe(F.col(f"have.{c}")) for c in names]
-    new = build_crosswalk(seen, road_index).alias("new").join(have.alias("have"), same, "left_anti")
-    least = have.agg(F.least(F.min("batch_id"), F.lit(0))).first()[0] or 0
-    (materialize(new, "crosswalk-new-roads").withColumn("batch_id", F.lit(int(least) - 1).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(crosswalk_path))
+    for path in (seen_path, crosswalk_path):
+        mark_table(spark, path, checkpoint)
+
+
+ROAD_KEY = ("h3_id", "osm_id", "full_road_name")
+
+
+def _without(left: DataFrame, right: DataFrame, columns=ROAD_KEY) -> DataFrame:
+    """Rows of ``left`` that ``right`` lacks; NULLs are equal."""
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns]
+    return left.alias("l").join(right.alias("r"), same, "left_anti")
+
+
+def road_changes(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gone, added): (cell, road, name) rows of one road index that the other
+    lacks. A renamed or moved road is gone under its old row and added under its new one."""
+    old, new = (i.select(*ROAD_KEY).distinct() for i in (old, new))
+    return _without(old, new), _without(new, old)
+
+
+def _fingerprint(roads: DataFrame) -> tuple:
+    return tuple(roads.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*ROAD_KEY).cast("decimal(38,0)"))).first())
+
+
+def refresh_crosswalk(spark: SparkSession, road_index: DataFrame, crosswalk_path: str, seen_path: str, roads_path: str) -> int:
+    """Apply the road index's changes since the last run to the crosswalk of the
+    cells seen so far; the number of changes.
+
+    ``roads_path`` keeps the road index as last applied. Only changed roads meet the
+    seen cells: rows of roads that are gone, renamed or moved leave the partitions that
+    hold them, rows of new ones go to a partition of their own (-1, -2, ...). The
+    kept index is replaced last, so a run that fails is simply run again."""
+    now = road_index.select(*ROAD_KEY)
+    if not path_exists(spark, roads_path) or not path_exists(spark, crosswalk_path):
+        if path_exists(spark, crosswalk_path):          # an index was never kept: compare with what stands there
+            seen = spark.read.schema("h3_id string, batch_id long").parquet(seen_path).select("h3_id").distinct()
+            old = read_crosswalk(spark, crosswalk_path)
+            gone, added = road_changes(old, build_crosswalk(seen, road_index))
+        else:
+            now.write.mode("overwrite").parquet(roads_path)
+            return 0
+    else:
+        old = spark.read.schema(now.schema).parquet(roads_path)
+        if _fingerprint(old) == _fingerprint(now):
+            return 0
+        gone, added = road_changes(old, now)
+    gone, (n_gone, _) = materialize(gone, "roads-gone", with_count=True)
+    added, (n_added, _) = materialize(added, "roads-added", with_count=True)
+    if n_gone:
+        delete_matching(spark, crosswalk_path, gone, ROAD_KEY, "batch_id", "h3_id string, osm_id string, full_road_name string, batch_id long")
+    if n_added:
+        seen = spark.read.schema("h3_id string, batch_id long").parquet(seen_path).select("h3_id").distinct()
+        have = spark.read.schema("h3_id string, osm_id string, full_road_name string, batch_id long").parquet(crosswalk_path)
+        new = _without(build_crosswalk(seen, added), have)
+        least = have.agg(F.least(F.min("batch_id"), F.lit(0))).first()[0] or 0
+        (materialize(new, "crosswalk-new-roads").withColumn("batch_id", F.lit(int(least) - 1).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(crosswalk_path))
+    if n_gone or n_added:
+        kept, path = materialize(now, "roads-kept", with_path=True)
+        kept.write.mode("overwrite").parquet(roads_path)
+        delete_path(spark, path)
+    elif not path_exists(spark, roads_path):
+        now.write.mode("overwrite").parquet(roads_path)
+    return n_gone + n_added
 
 
 def read_crosswalk(spark: SparkSession, crosswalk_path: str) -> DataFrame:
@@ -239,11 +314,20 @@ def gold_batch_writer(gold_path: str, alert_path: str | None, as_of=None,
     copies, and a query with another checkpoint (whose batches count from 0
     again) never overwrites the log that the cooldown reads.
     """
+    alert = alert_writer(alert_path, as_of, recency_minutes, cooldown_minutes)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         gold = to_gold(batch)
-        upsert(spark, gold_path, gold)
+        upsert(batch.sparkSession, gold_path, gold)
+        alert(gold, batch_id)
+    return write
+
+
+def alert_writer(alert_path: str | None, as_of=None, recency_minutes: int = RECENCY_MINUTES, cooldown_minutes: int = COOLDOWN_MINUTES):
+    """Writes the alerts of a batch's gold rows to its own partition of the log."""
+    def write(gold: DataFrame, batch_id: int) -> None:
+        spark = gold.sparkSession
+        run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         if alert_path is None:
             return
         now = F.current_timestamp() if as_of is None else as_of
@@ -260,17 +344,19 @@ def gold_batch_writer(gold_path: str, alert_path: str | None, as_of=None,
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str, alert_path: str | None = None,
              size: str = "1 minute", slide: str | None = None, watermark: str = "1 second", as_of=None,
              max_files: int | None = None) -> None:
+    refuse_new_checkpoint(spark, gold_path, checkpoint)
+    refuse_lost_table(spark, gold_path, checkpoint)
     agg = congestion_windows(stream_table(spark, silver_path, SILVER_SCHEMA, max_files), size, slide, watermark,
                              keep_window=True)
     q = (agg.writeStream.foreachBatch(gold_batch_writer(gold_path, alert_path, as_of))
          .outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _drain(q)
-
+    mark_table(spark, gold_path, checkpoint)
 
 
 def scheduled_paths(base: str) -> dict:
     """Folder layout of one deployment under ``base`` (shared storage)."""
-    names = ("landing", "bronze", "crosswalk", "cells_seen", "silver", "quarantine", "gold", "alerts")
+    names = ("landing", "bronze", "crosswalk", "cells_seen", "silver", "quarantine", "gold", "alerts", "roads", "sums")
     p = {k: f"{base.rstrip('/')}/{k}" for k in names}
     p["schema"] = f"{base.rstrip('/')}/_landing_schema"
     p["ckpt"] = f"{base.rstrip('/')}/_checkpoints"
@@ -278,7 +364,8 @@ def scheduled_paths(base: str) -> dict:
 
 
 def run_scheduled(spark: SparkSession, base: str, road_index: DataFrame, as_of=None, one_pass: bool = False,
-                  max_files: int | None = None, keep_unparsed: bool = False, reader_options: dict | None = None) -> dict:
+                  max_files: int | None = None, keep_unparsed: bool = False, reader_options: dict | None = None,
+                  gold_from: str = "readings", size: str = "1 minute", slide: str | None = None) -> dict:
     """One scheduled run (every few minutes): every stage drains what is new.
 
     landing JSON -> bronze; bronze -> crosswalk (new cells, and new roads of
@@ -288,24 +375,35 @@ def run_scheduled(spark: SparkSession, base: str, road_index: DataFrame, as_of=N
     failed run is re-run. ``max_files`` bounds the batches of the stages without
     event-time state; gold takes a run's rows as one batch, since its watermark
     moves between batches and would drop what lies out of order within a run.
-    ``reader_options`` go to the landing reader. Scratch folders are removed.
+    ``reader_options`` go to the landing reader. ``gold_from``: "readings" streams
+    partial sums per cell (``streaming.sums``), "silver" aggregates the stored
+    silver rows. Scratch folders are removed.
     """
     p = scheduled_paths(base)
     with owned_scratch(spark):
         schema = infer_landing_schema(spark, p["landing"], p["schema"])
         run_bronze(spark, p["landing"], p["bronze"], f"{p['ckpt']}/bronze", schema, max_files, **(reader_options or {}))
-        refresh_crosswalk(spark, road_index, p["crosswalk"], p["cells_seen"])
+        refresh_crosswalk(spark, road_index, p["crosswalk"], p["cells_seen"], p["roads"])
         run_crosswalk(spark, p["bronze"], schema, road_index, p["crosswalk"], p["cells_seen"], f"{p['ckpt']}/crosswalk",
                       max_files)
         crosswalk = read_crosswalk(spark, p["crosswalk"])
         silver = run_silver_one_pass if one_pass else run_silver
         silver(spark, p["bronze"], schema, crosswalk, p["silver"], p["quarantine"], f"{p['ckpt']}/silver",
                as_of=as_of, max_files=max_files, keep_unparsed=keep_unparsed)
-        run_gold(spark, p["silver"], p["gold"], f"{p['ckpt']}/gold", p["alerts"], as_of=as_of)
+        if gold_from == "silver":
+            run_gold(spark, p["silver"], p["gold"], f"{p['ckpt']}/gold", p["alerts"], size, slide, as_of=as_of)
+        else:
+            for path in (p["gold"], p["sums"]):
+                refuse_new_checkpoint(spark, path, f"{p['ckpt']}/gold")
+                refuse_lost_table(spark, path, f"{p['ckpt']}/gold")
+            run_gold_sums(stream_table(spark, p["bronze"], schema), crosswalk, p["sums"], p["gold"], f"{p['ckpt']}/gold", size, slide,
+                          as_of=as_of, then=alert_writer(p["alerts"], as_of))
+            for path in (p["gold"], p["sums"]):
+                mark_table(spark, path, f"{p['ckpt']}/gold")
     return p
 
 
-STAGE_TABLES = {"bronze": ("bronze",), "crosswalk": ("crosswalk", "cells_seen"), "silver": ("silver", "quarantine"), "gold": ("gold",)}
+STAGE_TABLES = {"bronze": ("bronze",), "crosswalk": ("crosswalk", "cells_seen", "roads"), "silver": ("silver", "quarantine"), "gold": ("gold", "sums")}
 
 
 def replay(spark: SparkSession, base: str, road_index: DataFrame, from_stage: str = "bronze", **kwargs) -> dict:
@@ -318,7 +416,8 @@ def replay(spark: SparkSession, base: str, road_index: DataFrame, from_stage: st
     p = scheduled_paths(base)
     stages = list(STAGE_TABLES)
     for stage in stages[stages.index(from_stage):]:
-        for path in (*[p[t] for t in STAGE_TABLES[stage]], f"{p['ckpt']}/{stage}"):
+        # checkpoints go first: a table without one is refused, a checkpoint without its table would lose rows
+        for path in (f"{p['ckpt']}/{stage}", f"{p['ckpt']}/{stage}-tables", *[p[t] for t in STAGE_TABLES[stage]]):
             if path_exists(spark, path):
                 delete_path(spark, path)
     return run_scheduled(spark, base, road_index, **kwargs)
