@@ -344,7 +344,6 @@ def alert_writer(alert_path: str | None, as_of=None, recency_minutes: int = RECE
 def run_gold(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str, alert_path: str | None = None,
              size: str = "1 minute", slide: str | None = None, watermark: str = "1 second", as_of=None,
              max_files: int | None = None) -> None:
-    refuse_new_checkpoint(spark, gold_path, checkpoint)
     refuse_lost_table(spark, gold_path, checkpoint)
     agg = congestion_windows(stream_table(spark, silver_path, SILVER_SCHEMA, max_files), size, slide, watermark,
                              keep_window=True)
