@@ -162,6 +162,7 @@ def differing(docs: DataFrame, matched: DataFrame, n: int) -> DataFrame:
 def _decided(docs: DataFrame, in_batch: Column | None) -> DataFrame:
     """dedup() with the row ids of this reading of ``docs``."""
     split = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1 if in_batch is None else in_batch
+    split = F.coalesce(split, F.lit(True))              # a row whose side is unknown is new
     rows = written(docs.select("doc_id", split.alias("_new"), F.monotonically_increasing_id().alias("_rid"), digest_of_text()), "digests")
     snapshot = written(grouped(rows.where(~F.col("_new"))), "snapshot")
     batch = written(grouped(rows.where("_new")), "batch")

@@ -242,6 +242,13 @@ def test_exact_dedup(odd, none, docs):
     assert row["_rid"] == 3 and row["digest"] == "y"
 
 
+def test_exact_dedup_keeps_rows_of_an_unknown_side(spark):
+    from pyspark.sql import functions as F
+    data = [(1, "x"), (2, "x"), (None, "y"), (None, "x"), (3, "z")]
+    out = op5_exact_dedup.dedup(spark.createDataFrame(data, "doc_id long, text string"), in_batch=F.col("doc_id") >= 2).collect()
+    assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in out) == collections.Counter(brute.exact_groups(data))
+
+
 @pytest.mark.parametrize("old", [0, 1])
 def test_exact_dedup_of_a_first_load_has_buckets(spark, monkeypatch, old):
     """With an empty or tiny snapshot, the batch's size deals out the buckets."""
