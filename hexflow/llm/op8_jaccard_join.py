@@ -15,8 +15,8 @@ share one under every order. ORDERS orders are used:
    shingles most others share; verified links give components, and a group of
    thousands of near copies costs a star. Then, in buckets that still span two or
    more components, members of different components are paired. A shared shingle
-   at place i of a set of n can be the first one that two linked sets share only
-   if the other set has at most (n + 1 - i) * 1.8 / 0.8 - n shingles. So the join is on
+   at place i of a set of n can be among the first q that two linked sets share only
+   if the other set has at most (n + q - i) * 1.8 / 0.8 - n shingles; a pair must share q = EARLY such. So the join is on
    (shingle, size band): a set probes the bands of smaller sets that its place
    allows, and is indexed under its own band only with the places that larger sets
    allow. Hubs come first here, too: in the first round only members that a hash
@@ -62,6 +62,7 @@ LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 4, 24, 2_000_000
 MAX_BROADCAST_NODES = 4_000_000
 OUT_ROWS = 500
 BAND = 1.12                    # ratio of the bounds of a size band
+EARLY = 6                      # shingles that a pair must share early in both prefixes
 HUB_BITS, HUB_STEP = 8, 256    # a round has 2^8 times as many hubs as the one before
 
 
@@ -166,10 +167,10 @@ def _possible_sizes(a: str, b: str):
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT
 
 
-def _possible(a: str, b: str):
-    """Position filter: true at the first shingle that two linked sets share."""
+def _possible(a: str, b: str, q: int = 1):
+    """Position filter: true at the first ``q`` shingles that two linked sets share."""
     na, nb, ia, ib = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.i"), F.col(f"{b}.i")
-    return (1 + F.least(na - ia, nb - ib)) * (100 + PERCENT) >= (na + nb) * PERCENT
+    return (q + F.least(na - ia, nb - ib)) * (100 + PERCENT) >= (na + nb) * PERCENT
 
 
 def _prefix_share(a: str, b: str):
@@ -231,20 +232,22 @@ def _band(n):
 
 def banded(left: DataFrame, level: int, above: int) -> DataFrame:
     """The pairs (a, b) of different components that may link by their sizes and
-    the place of a shared shingle, with a hub of at least ``level`` on one side and none of ``above``."""
+    the places of EARLY shared shingles (fewer where the sizes ask for fewer), with a hub of at least ``level`` on one side and none of ``above``."""
     member = F.struct("sig", "n", "i", "label", "level")
     n, i, o = F.col("n"), F.col("i"), PERCENT / (100 + PERCENT)
-    most = F.least(n.cast("double"), (n + 1 - i) / o - n)                   # size of a smaller set that may link
+    most = F.least(n.cast("double"), (n + EARLY - i) / o - n)                   # size of a smaller set that may link
     left = left.where(F.col("level") < above)
     probe = left.where(most >= n * (PERCENT / 100) - 1).select(
         "token", F.explode(F.sequence(_band(F.greatest(n * (PERCENT / 100) - 1, F.lit(1.0))), _band(F.greatest(most + 1, F.lit(1.0))))).alias("band"), member.alias("x"))
-    index = left.where(i <= n + 2 - 2 * o * n).select("token", _band(n).alias("band"), member.alias("y"))
+    index = left.where(i <= n + EARLY + 1 - 2 * o * n).select("token", _band(n).alias("band"), member.alias("y"))
     larger = (F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig"))
-    fits = larger & (F.col("x.label") != F.col("y.label")) & _possible_sizes("x", "y") & _possible("x", "y")
+    fits = larger & (F.col("x.label") != F.col("y.label")) & _possible_sizes("x", "y") & _possible("x", "y", EARLY)
     met = probe.where(F.col("x.level") >= level).join(index, ["token", "band"]).where(fits)
     if level:
         met = met.unionByName(probe.where(F.col("x.level") < level).join(index.where(F.col("y.level") >= level), ["token", "band"]).where(fits))
-    return met.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
+    asked = F.least(F.lit(EARLY), _prefix_share("x", "y"))
+    return (met.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), asked.alias("asked"))
+            .groupBy("a", "b", "na", "nb", "asked").agg(F.count(F.lit(1)).alias("early")).where("early >= asked").select("a", "b", "na", "nb"))
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
