@@ -221,7 +221,8 @@ def _linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 def _open(rows: DataFrame, label: DataFrame) -> DataFrame:
     """The bucket rows (token, sig, n, i, level) of buckets that span components, with the row's label."""
     rows = rows.select("token", "sig", "n", "i", "level")
-    known = rows.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    label = broadcast_below(label.withColumnRenamed("node", "sig"), label.count(), MAX_BROADCAST_NODES)
+    known = rows.join(label, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     spans = known.groupBy("token").agg((F.min("label") != F.max("label")).alias("spans")).where("spans").select("token")
     return written(known.join(spans, "token"), "jaccard-open")
 
