@@ -12,7 +12,9 @@ counts), one fold over the arcs in ring order hands each arc's keys to shards
 in clockwise order, and gives every arc at most ``shards`` runs (from rank, to
 rank, shard, first slot). A row's rank within its arc comes from counts per
 fine bucket of the ring plus its place within that bucket, so no task orders
-more than about ROWS_PER_BUCKET rows. Adding a shard moves the keys of the
+more than about ROWS_PER_BUCKET rows: buckets that hold far more (many rows of one
+doc_id, or without one) are split by place, a place that still does by a hash of the
+row, and equal rows by where they were written. Adding a shard moves the keys of the
 arcs it cuts and those that overflow differently, no others.
 
 Edge cases: repeated rows get slots of their own, equal rows in no particular
@@ -24,16 +26,15 @@ break the law wherever copies hold a third of the rows.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, text_of, written
+from .common import broadcast_below, let, text_of, written
 
 RING_BITS = 32
 VNODES = 64
 ROWS_PER_BUCKET = 20_000
+CROWDED = 4                    # a cell of so many times ROWS_PER_BUCKET rows is split
 MAX_BROADCAST_BUCKETS = 4_000_000
 PLACE_SEED, POINT_SEED = 42, 7
 
@@ -97,6 +98,20 @@ def assign(arcs: DataFrame, points: list[tuple[int, int]], shards: int, n_rows:
     return runs.groupBy("arc").agg(F.collect_list(F.struct("lo", "hi", "shard", "base")).alias("runs"))
 
 
+def _split(rows: DataFrame, cell: list[str], part: str, value, rows_per_bucket: int) -> DataFrame:
+    """``rows`` with a column ``part``: 0, but ``value(n)`` in crowded cells, where
+    n is the number of parts that hold about rows_per_bucket rows each. Only counts
+    are shuffled; there are at most rows / (CROWDED x rows_per_bucket) crowded cells."""
+    crowded = (rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED * rows_per_bucket)
+               .select(*cell, F.ceil(F.col("n") / rows_per_bucket).alias("_parts")))
+    crowded = written(crowded, "ring-crowded")
+    n = crowded.count()
+    if not n:
+        return rows.withColumn(part, F.lit(0).cast("long"))
+    return (rows.join(broadcast_below(crowded, n, MAX_BROADCAST_BUCKETS), cell, "left")
+            .withColumn(part, F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(value(F.col("_parts"))).cast("long")).drop("_parts"))
+
+
 def shard(docs: DataFrame, shards: int = 8, vnodes: int = VNODES, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row of ``docs``."""
     spark = docs.sparkSession
@@ -105,23 +120,29 @@ def shard(docs: DataFrame, shards: int = 8, vnodes: int = VNODES, rows_per_bucke
     place = F.shiftrightunsigned(F.xxhash64(F.lit(PLACE_SEED), F.col("doc_id")), 64 - RING_BITS)
     rows = written(docs.select(
         "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(text_of().cast("binary")).alias("text_crc32"), place.alias("place")), "ring-rows")
+        F.crc32(text_of().cast("binary")).alias("text_crc32"), place.alias("place"),
+        let(place, lambda p: _arc(p, [p for p, _ in points])).alias("arc"), F.monotonically_increasing_id().alias("rid")), "ring-rows")
     n_rows = rows.count()
     bits = max(0, min(RING_BITS, (max(1, n_rows) // rows_per_bucket).bit_length() + 1))
-    rows = (rows.withColumn("arc", _arc(F.col("place"), [p for p, _ in points]))
-            .withColumn("bucket", F.shiftright("place", RING_BITS - bits)))
-    # an arc may begin or end inside a bucket: ranks are kept per (arc, bucket)
-    cells = written(rows.groupBy("arc", "bucket").agg(F.count(F.lit(1)).alias("n")), "ring-cells")
+    rows = rows.withColumn("bucket", F.shiftright("place", RING_BITS - bits))
+    # an arc may begin or end inside a bucket: ranks are kept per cell, an (arc, bucket) or a part of one
+    cell = ["arc", "bucket"]
+    for part, value in (("at", lambda n: F.col("place")), ("alike", lambda n: F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), n)),
+                        ("piece", lambda n: F.pmod(F.xxhash64("rid"), n))):
+        rows = _split(rows, cell, part, value, rows_per_bucket)
+        cell = [*cell, part]
+    cells = written(rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")), "ring-cells")
+    n_cells = cells.count()
     # arc 0 spans the ring's start: its far end comes first
-    along = Window.partitionBy("arc").orderBy("wrapped", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.partitionBy("arc").orderBy("wrapped", *cell[1:]).rowsBetween(Window.unboundedPreceding, -1)
     end = points[0][0] >> (RING_BITS - bits) if bits else 0
     cells = (cells.withColumn("wrapped", (F.col("arc") == 0) & (F.col("bucket") <= F.lit(end)))
              .withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0))))
     runs = assign(cells.groupBy("arc").agg(F.sum("n").alias("n")), points, shards, n_rows)
-    cells = cells.select("arc", "bucket", "before").join(F.broadcast(runs), "arc")     # at most shards x vnodes rows
-    cells = broadcast_below(cells, 1 << bits, MAX_BROADCAST_BUCKETS)
-    in_cell = Window.partitionBy("arc", "bucket").orderBy("place", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", F.row_number().over(in_cell) - 1).join(cells, ["arc", "bucket"])
+    cells = cells.select(*cell, "before").join(F.broadcast(runs), "arc")               # at most shards x vnodes rows
+    cells = broadcast_below(cells, n_cells, MAX_BROADCAST_BUCKETS)
+    in_cell = Window.partitionBy(*cell).orderBy("place", "doc_id", "text_crc32", "size")
+    ranked = rows.withColumn("rank", F.row_number().over(in_cell) - 1).join(cells, cell)
     rank = F.col("before") + F.col("rank")
     run = F.element_at(F.filter("runs", lambda r: (r["lo"] <= rank) & (rank < r["hi"])), 1)
     return (ranked.withColumn("run", run)

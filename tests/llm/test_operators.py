@@ -1,6 +1,7 @@
 """The operators against brute force: on sf0.001 and on hand-made rows with
 nulls, blanks, long texts, ties, repeats and columns with clashing names."""
 
+import bisect
 import collections
 import random
 import time
@@ -292,7 +293,7 @@ def test_ring_moves_little(docs):
     a = {r.doc_id: r.shard for r in op6_sharding.shard(docs, 8).collect()}
     assert a == {r.doc_id: r.shard for r in op6_sharding.shard(docs, 8, rows_per_bucket=7).collect()}
     b = {r.doc_id: r.shard for r in op6_sharding.shard(docs, 9).collect()}
-    assert sum(a[i] != b[i] for i in a) < 0.5 * len(a)
+    assert sum(a[i] != b[i] for i in a) < 0.2 * len(a)
 
 
 def test_personal_data_base_spans(odd, none, docs):
@@ -562,3 +563,43 @@ def test_pipeline(spark, tmp_path):
     assert all(n <= 2 and key in texts[3][0] for key, n in texts[3][1].items())
     last = P.run(spark, SF).collect()
     assert collections.Counter(r.doc_id for r in last) == collections.Counter({i: n for (i, _), n in texts[3][1].items()})
+
+
+def test_sharding_of_one_id_on_many_rows(spark):
+    """A third of the rows have no doc_id, another third are equal: cells stay small, and the laws hold."""
+    from pyspark.sql import functions as F
+    n = 6_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+                               F.when(F.col("id") % 3 == 1, F.lit("same")).otherwise(F.concat(F.lit("text "), "id")).alias("text"))
+    out = op6_sharding.shard(df, 8, rows_per_bucket=100)
+    slots = collections.defaultdict(list)
+    for r in out.collect():
+        slots[r.shard].append(r.slot)
+    assert [len(slots[s]) for s in range(8)] == [n // 8] * 8
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    plain = op6_sharding.shard(df.where("id % 3 = 2"), 8, rows_per_bucket=100)
+    assert {r.doc_id: (r.shard, r.slot) for r in plain.collect()} == {r.doc_id: (r.shard, r.slot) for r in op6_sharding.shard(df.where("id % 3 = 2"), 8).collect()}
+
+
+def test_sharding_against_the_walk(docs):
+    """The clockwise walk, key by key: a row fills the first shard from its arc on that has room."""
+    shards = 8
+    points = op6_sharding.ring(docs.sparkSession, shards)
+    from pyspark.sql import functions as F
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(op6_sharding.PLACE_SEED), F.col("doc_id")), 64 - op6_sharding.RING_BITS)
+    rows = sorted((r.place, r.doc_id) for r in docs.select(place.alias("place"), "doc_id").collect())
+    at = [p for p, _ in points]
+    arcs = collections.defaultdict(list)
+    for p, i in rows:
+        arcs[bisect.bisect_left(at, p) % len(at)].append(((p <= at[0]) if bisect.bisect_left(at, p) % len(at) == 0 else False, p, i))
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    want = {}
+    for arc in range(len(points)):
+        for _, _, i in sorted(arcs[arc]):
+            k = arc
+            while not room[points[k % len(points)][1]]:
+                k += 1
+            s = points[k % len(points)][1]
+            room[s] -= 1
+            want[i] = s
+    assert {r.doc_id: r.shard for r in op6_sharding.shard(docs, shards).collect()} == want
