@@ -1,13 +1,18 @@
 """Toxicity: a learned lexicon, Levenshtein automata over its trie, and scores
 of the windows around the hits.
 
-Training reads only labelled rows outside the held-out fold, at most TRAIN_ROWS
-of them (those with the smallest hash of doc_id), and no column but the text.
+Training reads only labelled documents outside the held-out fold, at most TRAIN_ROWS
+of them (those with the smallest hash of doc_id), and no column but the text. A
+doc_id with several labels counts as toxic if one says so; one that stands on several rows
+teaches with the text of the least hash.
 Spark counts, for every word and word start in toxic texts, the distinct
 neighbourhoods (word before, word after) that it is seen in, and the clean
 texts that have it: copies of one text add no neighbourhoods, so what is
 particular to one often copied text is no term. Word starts stand for inflected
-stems. Terms that clean texts hardly use form the lexicon.
+stems, whatever their length: they are counted as hashes that grow letter by letter,
+and only those that become terms are spelt out. Terms that clean texts hardly use form
+the lexicon. It is whole: a term takes LEAST_SEEN neighbourhoods of the sample, so its
+size is bounded by the sample's, not by the corpus.
 
 Matching: the terms form a trie; the Levenshtein automaton of a token (one edit
 for terms of LONG_TERM letters or more; an extra letter before the first is
@@ -38,19 +43,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, in_small_batches, trimmed
+from .common import by_value, dropped, in_small_batches, trimmed, written
 
 by_value(__name__)
 
 FOLDS = 5
 TRAIN_ROWS = 20_000            # bound of the labelled sample that the model is fitted on
-LEAST_START, MOST_START = 3, 14
+SAMPLE_PARTS = 64
+LEAST_START = 3
 LEAST_SEEN = 8                 # neighbourhoods in toxic texts that make a term
 MOST_CLEAN = 0.02              # clean texts with it, against those neighbourhoods
-MAX_TERMS = 5_000              # bound of the lexicon, the most seen first
 LONG_TERM = 5
 WINDOW = 4
 MAX_STATES = 200_000
+START_BASE, START_PRIME = 1_000_003_579, 2**61 - 1      # hashes of word starts
 # Signs read as letters, quotation marks, verbs of reporting, words of address.
 LIKE_LETTERS = str.maketrans("013457@$!", "oieastasi")
 QUOTES = "\"“”„«»‘’'"
@@ -81,15 +87,32 @@ def folded(word: str) -> str:
 
 # --- training -------------------------------------------------------------------
 
-def starts(word: str) -> list[str]:
-    """The word's starts; the whole word ends in a space."""
-    return [word[:k] for k in range(LEAST_START, min(len(word), MOST_START) + 1)] + [word + " "]
+def starts(word: str) -> list[int]:
+    """Hashes of the word's starts of LEAST_START letters or more, the last one that of
+    the whole word (a start followed by a space)."""
+    h, out = 0, []
+    for sign in word:
+        h = (h * START_BASE + ord(sign)) % START_PRIME
+        out.append(h)
+    return [*out[LEAST_START - 1:], (h * START_BASE + ord(" ")) % START_PRIME]
+
+
+class Starts(dict):
+    """``starts`` of the words met lately."""
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) > 50_000:
+            self.clear()
+        out = starts(word)
+        if len(word) < 80:
+            self[word] = out
+        return out
 
 
 def lexicon(train: DataFrame) -> list[str]:
     """Terms learned from ``train`` (toxic int, text). A term that ends in a
     space is a whole word, the others are word starts."""
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Starts()
         for batch in batches:
             for toxic, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = [w for w in map(bare, (text or "").split()) if w]
@@ -98,19 +121,38 @@ def lexicon(train: DataFrame) -> list[str]:
                     if len(w) >= LEAST_START:
                         near = hash_of(words[i - 1] if i else "") ^ (hash_of(words[i + 1] if i + 1 < len(words) else "") << 1) if toxic else 0
                         seen.add((w, near))
-                rows = {(s, near) for w, near in seen for s in starts(w)}
+                rows = {(s, near) for w, near in seen for s in known[w]}
                 if rows:
                     terms, near = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(rows), pa.int32()), pa.array(terms, pa.string()), pa.array(near, pa.int64())],
+                    yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(rows), pa.int32()), pa.array(terms, pa.int64()), pa.array(near, pa.int64())],
                                                      names=["toxic", "term", "near"])
-    found = in_small_batches(train.select("toxic", "text")).mapInArrow(trimmed(occurrences), "toxic int, term string, near long")
+
+    found = in_small_batches(train.select("toxic", "text")).mapInArrow(trimmed(occurrences), "toxic int, term long, near long")
     seen = (found.where("toxic = 1").groupBy("term", "near").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
             .where(F.col("seen") >= LEAST_SEEN))
     clean = found.where("toxic = 0").groupBy("term").agg(F.count(F.lit(1)).alias("clean"))
     terms = (seen.join(clean, "term", "left").where(F.coalesce("clean", F.lit(0)) <= F.col("seen") * MOST_CLEAN)
-             .orderBy(F.desc("seen"), "term").limit(MAX_TERMS * 4).select("term", "seen").collect())      # bounded
-    return distil({r["term"]: r["seen"] for r in terms})[:MAX_TERMS]
+             .select("term", "seen").collect())         # of the sample: at most its words / LEAST_SEEN
+    named = {r["term"]: r["seen"] for r in terms}
+
+    def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, done = Starts(), set()
+        for batch in batches:
+            out = {}
+            for text in batch.column(0).to_pylist():
+                for w in {w for w in map(bare, (text or "").split()) if len(w) >= LEAST_START}:
+                    for k, h in enumerate(known[w], LEAST_START):
+                        if h in named and h not in done:
+                            done.add(h)
+                            out[h] = w[:k] if k <= len(w) else w + " "
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.string())], names=["term", "spelling"])
+    if not named:
+        return []
+    spellings = (in_small_batches(train.where("toxic = 1").select("text")).mapInArrow(trimmed(spelt), "term long, spelling string")
+                 .groupBy("term").agg(F.min("spelling").alias("spelling")).collect())
+    return distil({r["spelling"]: named[r["term"]] for r in spellings})
 
 
 def hash_of(word: str) -> int:
@@ -122,17 +164,24 @@ def hash_of(word: str) -> int:
 def distil(seen: dict[str, int]) -> list[str]:
     """One term per stem: the shortest start, lengthened while it keeps nine
     tenths of its sightings."""
+    longer: dict[str, list[str]] = {}
+    for term in seen:
+        longer.setdefault(term[:-1], []).append(term)
     out: dict[str, int] = {}
+    stems: set[str] = set()
+    lengths: set[int] = set()
     for term in sorted(seen, key=lambda t: (len(t), t)):
-        if any(term.startswith(o.rstrip()) for o in out):
+        if any(term[:k] in stems for k in lengths if k <= len(term)):
             continue
         best = term
-        while True:
-            longer = max((t for t in seen if len(t) == len(best) + 1 and t.startswith(best)), key=lambda t: seen[t], default=None)
-            if best.endswith(" ") or longer is None or seen[longer] < 0.9 * seen[term]:
+        while not best.endswith(" ") and best in longer:
+            more = min(longer[best], key=lambda t: (-seen[t], t))
+            if seen[more] < 0.9 * seen[term]:
                 break
-            best = longer
+            best = more
         out[best] = seen[best]
+        stems.add(best.rstrip())
+        lengths.add(len(best.rstrip()))
     return sorted(out, key=lambda t: (-out[t], t))
 
 
@@ -293,10 +342,18 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 60) ->
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> tuple[list[str], list[float] | None]:
     """(lexicon, weights) from labelled rows outside the held-out fold."""
-    marks = (labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-             .select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))                                # bounded sample
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(marks), "doc_id").select("toxic", "text")
+    marks = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+             .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
+    # of the max_rows least hashes: what lies well above them is left out before they are ordered
+    place = F.xxhash64("doc_id")
+    share = (1.2 * max_rows + 1_000) / max(1, marks.count())
+    if share < 1:
+        marks = marks.where(place < int(-2**63 + 2**64 * share))
+    marks = marks.orderBy(place, "doc_id").limit(max_rows)                                            # bounded sample
+    text = F.col("text").cast("string")
+    sample = (docs.select("doc_id", text.alias("text")).join(F.broadcast(marks), "doc_id")
+              .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")))    # one row per label
+    sample = written(sample.select("toxic", "text").repartition(SAMPLE_PARTS), "toxicity-sample")
     terms = lexicon(sample)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,6 +363,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> tup
             rows = [matcher.features(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([toxic, pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"])
     rows = in_small_batches(sample).mapInArrow(trimmed(featured), "toxic int, x array<double>").collect()          # at most max_rows short rows
+    dropped(sample)
+    rows.sort()                     # sums in one order: reruns agree
     y = np.array([r["toxic"] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return terms, None

@@ -170,3 +170,49 @@ def _with_context(pattern, text):
     for m in pattern.finditer(text):
         yield m, starts[-2] if len(starts) > 1 else 0
         starts.append(m.start())
+
+
+def toxic_terms(sample, edge, least_seen=8, most_clean=0.02):
+    """Term -> neighbourhoods, by counting every start of every word as text. ``sample``: (toxic, text); ``edge``: a word without signs."""
+    seen, clean = collections.defaultdict(set), collections.Counter()
+    for toxic, text in sample:
+        w = [x for x in (edge(x) for x in (text or "").split()) if x]
+        mine = set()
+        for i, x in enumerate(w):
+            if len(x) >= 3:
+                near = (w[i - 1] if i else "", w[i + 1] if i + 1 < len(w) else "")
+                mine |= {(x[:k], near) for k in range(3, len(x) + 1)} | {(x + " ", near)}
+        if toxic:
+            for t, near in mine:
+                seen[t].add(near)
+        else:
+            clean.update({t for t, _ in mine})
+    kept = {t: len(v) for t, v in seen.items() if len(v) >= least_seen and clean[t] <= len(v) * most_clean}
+    out = {}
+    for t in sorted(kept, key=lambda t: (len(t), t)):
+        if any(t.startswith(o.rstrip()) for o in out):
+            continue
+        best = t
+        while not best.endswith(" "):
+            longer = sorted((u for u in kept if len(u) == len(best) + 1 and u.startswith(best)), key=lambda u: (-kept[u], u))
+            if not longer or kept[longer[0]] < 0.9 * kept[t]:
+                break
+            best = longer[0]
+        out[best] = kept[best]
+    return out
+
+
+def one_edit(a, b):
+    """Whether a becomes b by one edit; a letter more before b is none."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    if len(a) == len(b) + 1:
+        return any(a[:i] + a[i + 1:] == b for i in range(1, len(a))) or a[1:] == b and a[0] == b[0]
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def term_hit(word, terms):
+    """2: a term as it is, 1: a term of five letters or more with one edit, 0: none."""
+    if any(word == t[:-1] if t.endswith(" ") else word.startswith(t) for t in terms):
+        return 2
+    return int(any(len(t.rstrip()) >= 5 and one_edit(word, t.rstrip()) for t in terms))

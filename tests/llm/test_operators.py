@@ -134,6 +134,33 @@ def test_toxicity_edges(spark, odd, none):
     kept = op3_toxicity.without_toxic(odd, labels.where("1 = 0"))
     assert kept.columns == odd.columns and kept.count() == len(ODD)
 
+def test_toxicity_against_counting_and_comparing(spark):
+    """Lexicon and hits against plain counts of every word start, and the distance of every word to every term."""
+    sf = "/root/testdata/sf0.01"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    marks = {r.doc_id: r.toxic for r in labels.select("doc_id", "toxic").collect() if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5}
+    sample = [(marks[i], text[i]) for i in marks if i in text]
+    long = "unbelievablyverylong"
+    sample += [(1, f"a{i} {long}{'ab'[i % 2]} b{i}") for i in range(12)] + [(0, f"x {long[:16]} y")] * 30
+    want = brute.toxic_terms(sample, op3_toxicity.bare)
+    got = op3_toxicity.lexicon(spark.createDataFrame(sample, "toxic int, text string").repartition(4))
+    assert got == sorted(want, key=lambda t: (-want[t], t))
+    assert any(t.startswith(long[:17]) for t in got) and long[:16] not in got      # starts of any length
+    matcher = op3_toxicity.Matcher(got)
+    words = {op3_toxicity.bare(w) for t in text.values() for w in (t or "").split()} - {""}
+    assert {w: matcher.automaton.match(w) for w in words} == {w: brute.term_hit(w, got) for w in words}
+
+
+def test_toxicity_of_one_id_on_many_rows_and_of_two_labels(spark):
+    """One labelled doc_id on many rows teaches once; of two labels the toxic one counts."""
+    docs = spark.createDataFrame([(1, "same text here")] * 500 + [(i, prose(i, 30)) for i in range(2, 60)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 0) for i in range(1, 60)] + [(2, 1), (3, 1)], "doc_id long, toxic int")
+    first = op3_toxicity.train(docs, labels)
+    assert first == op3_toxicity.train(docs.repartition(3), labels.repartition(2))
+    assert op3_toxicity.train(docs, labels, max_rows=10)[0] == []
+    assert op3_toxicity.toxicity(docs, labels).count() == 558
+
 
 def test_levenshtein_automaton():
     a = op3_toxicity.Automaton(["idiot ", "scum ", "low"])
