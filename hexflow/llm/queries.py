@@ -106,11 +106,60 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_quality_rules": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+win AS (
+  SELECT r, i, array_to_string(ws[i:(i + 7)], ' ') AS w FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 6, 1))) AS i FROM d)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM win) WHERE n > 1),
+rep AS (SELECT r, sum(least(8, coalesce(next - i, 8)))::BIGINT AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM twice) GROUP BY r),
+c AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    length(regexp_replace(t, '\P{L}+', '', 'g')) AS letters, length(regexp_replace(t, '\P{Lu}+', '', 'g')) AS capitals,
+    len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}'))) AS lettered, len(list_filter(ws, lambda x: ends_with(x, '!'))) AS shouted,
+    len(list_filter(ws, lambda x: list_contains(string_split('a an and are as at be by for from have he his in is it of on or that the this to was were with als auch auf das dem den der des die ein eine es für im ist mit nicht sich sie und von zu au avec ce dans de du elle en est et il la le les ne par pas pour que qui sur un une al como con del el las lo los más no para por se su una y', ' '),
+      regexp_replace(lower(x), '[^\p{L}]+', '', 'g')))) AS stops,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…) *$'))) AS ellipses, len(list_distinct(ws)) AS kinds
+  FROM d LEFT JOIN rep USING (r)),
+j AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    concat_ws(',',
+      CASE WHEN n_words >= 20 AND (word_chars / n_words < 2.0 OR word_chars / n_words > 14.0) THEN 'mean_word_len' END,
+      CASE WHEN n_words > 0 AND n_symbols / n_words > 0.2 THEN 'symbols_per_word' END,
+      CASE WHEN n_words >= 20 AND lettered / n_words < 0.7 THEN 'letter_word_share' END,
+      CASE WHEN n_words >= 20 AND letters > 0 AND capitals / letters > 0.5 THEN 'capital_share' END,
+      CASE WHEN n_words >= 20 AND shouted / n_words > 0.3 THEN 'shout_share' END,
+      CASE WHEN n_words >= 50 AND stops / n_words < 0.04 THEN 'stop_word_share' END,
+      CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'dup_line_share' END,
+      CASE WHEN n_words >= 20 AND n_lines > 0 AND ellipses / n_lines > 0.5 THEN 'ellipsis_line_share' END,
+      CASE WHEN n_words >= 50 AND kinds / n_words < 0.15 THEN 'distinct_word_share' END) AS failed
+  FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed = '' AS kept, failed FROM j
+""",
     "op5_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op8_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:(i + 4)], ' '))) END AS sh FROM w),
+g AS MATERIALIZED (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT x AS doc_id, x AS other FROM links UNION SELECT r.doc_id, y FROM reach r JOIN links ON x = r.other)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, least(s.doc_id, min(other)) AS component_id
+FROM s LEFT JOIN reach USING (doc_id) GROUP BY s.doc_id, sh
 """,
     "op11_codes": r"""
 WITH kept AS (

@@ -630,3 +630,11 @@ def test_sharding_against_the_walk(docs):
             room[s] -= 1
             want[i] = s
     assert {r.doc_id: r.shard for r in op6_sharding.shard(docs, shards).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["op2_quality_rules", "op8_jaccard_join"])
+def test_twins(spark, name):
+    """The queries against their SQL, all columns."""
+    from tests import oracle_check
+    out = oracle_check.compare(spark, oracle_check.duck(SF), name, queries.QUERIES[name], queries.ORACLE[name], SF)
+    assert out.endswith("OK"), out
