@@ -472,9 +472,13 @@ def test_passages_of_a_repeated_line_have_their_whole_length(spark):
 
 
 def test_chains_against_all_orders():
-    """The best chain's score equals that of a quadratic dynamic program."""
+    """The best chain's score equals that of a quadratic program: a match goes on
+    from the earlier one whose score less the gap is highest, or begins anew."""
     import numpy as np
     r = random.Random(11)
+    K, GAP = op9_passages.K, op9_passages.GAP
+    words = lambda a, b: min(K, b[0] - a[0], b[1] - a[1])
+    gap = lambda a, b: GAP * (b[0] + b[1] - a[0] - a[1])
     for _ in range(200):
         n = r.randint(1, 25)
         pts = sorted({(r.randint(0, 60), r.randint(0, 60)) for _ in range(n)})
@@ -482,6 +486,13 @@ def test_chains_against_all_orders():
         got = op9_passages.chains(xp, yp)
         assert sorted(i for c in got for i in c) == list(range(len(pts)))
         assert all(xp[a] < xp[b] and yp[a] < yp[b] for c in got for a, b in zip(c, c[1:], strict=False))
+        score = []
+        for p in pts:
+            far, j = max(((score[j] + GAP * sum(q), j) for j, q in enumerate(pts[:len(score)]) if q[0] < p[0] and q[1] < p[1]), default=(-1e9, 0))
+            gain = far - GAP * sum(p)
+            score.append(gain + words(pts[j], p) if gain > 0 else K)
+        first = [pts[i] for i in got[0]]
+        assert abs(K + sum(words(a, b) - gap(a, b) for a, b in zip(first, first[1:], strict=False)) - max(score)) < 1e-6
 
 
 @pytest.mark.parametrize("first,between", [(55, (10, 10)), (55, (30, 30)), (55, (60, 60)), (55, (100, 100)), (55, (200, 200)), (55, (400, 400)), (55, (100, 0)), (20, (20, 20)), (20, (40, 40))])
