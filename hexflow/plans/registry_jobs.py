@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import add_cell
 from ..functions.parse import as_timestamp, parse_bronze
 from ..operators.alerts import read_alert_log
-from ..operators.enrich import MAX_SPEED, enrich
+from ..operators.enrich import MAX_SPEED, enrich, readings
 from ..operators.roads import load_roads, road_index
 from ..session import scratch_path
 from ..sources import catalog as C
@@ -152,8 +152,7 @@ def compact_reduction(spark, sf_dir):
     (f"hot AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{LOOKUP_CELL}' ELSE h3_id END AS h3_id, currentSpeed, freeFlowSpeed, ingest_time FROM readings)",)))
 def enrich_hot_cell(spark, sf_dir):
     """A third of the readings on one cell, the crosswalk beyond the broadcast bound: salted join."""
-    rows = add_cell(parse_bronze(bronze_view(spark, sf_dir), as_of=AS_OF))
-    rows = rows.where(F.col("h3_id").isNotNull() & F.col("currentSpeed").isNotNull())
+    rows = readings(bronze_view(spark, sf_dir), as_of=AS_OF, keep=("event_id",))
     hot = rows.select(F.when(F.col("event_id") % 3 == 0, F.lit(LOOKUP_CELL)).otherwise(F.col("h3_id")).alias("h3_id"),
                       "currentSpeed", "freeFlowSpeed", "ingest_time")
     return enrich(hot, M.crosswalk_of(spark, sf_dir), max_broadcast_rows=0)
