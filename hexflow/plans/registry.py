@@ -19,6 +19,7 @@ from ..functions.parse import as_timestamp, parse_bronze, parse_ctime
 from ..operators.alerts import ALERT_TEXT, gridlock_alerts, replay_alerts
 from ..operators.enrich import (MAX_SPEED, REASON_NO_MATCH, REASON_SPEED, REASON_UNNAMED, REASON_UNPARSED,
                                 SILVER_COLUMNS)
+from ..operators.joins import materialize
 from ..operators.roads import build_crosswalk, reading_cells, traffic_cells
 from ..operators.windows import congestion_windows, gold_from_readings
 from ..session import scratch_path
@@ -576,10 +577,14 @@ def table_sizes_q(spark, sf_dir):
     from ..sources.tables import with_window_date
     base = scratch_path(spark, "tables")
     paths = {n: f"{base}/{n}" for n in ("crosswalk", "silver", "quarantine", "gold")}
-    M.crosswalk_of(spark, sf_dir).write.parquet(paths["crosswalk"])
-    M.silver_of(spark, sf_dir).write.parquet(paths["silver"])
-    M.quarantine_of(spark, sf_dir).write.parquet(paths["quarantine"])
-    with_window_date(_gold(spark, sf_dir)).write.partitionBy("window_date").parquet(paths["gold"])
+    # the crosswalk and the parsed readings feed all four tables, so both are computed once
+    xw, size = M.crosswalk_of(spark, sf_dir, with_size=True)
+    reads = materialize(M.readings_of(spark, sf_dir), "table-reads")
+    enriched = M.enriched_of(spark, sf_dir, reads=reads, crosswalk=xw, size=size)
+    xw.write.parquet(paths["crosswalk"])
+    M.silver_of(spark, sf_dir, enriched=enriched).write.parquet(paths["silver"])
+    M.quarantine_of(spark, sf_dir, enriched=enriched).write.parquet(paths["quarantine"])
+    with_window_date(M.gold_of(spark, sf_dir, reads=reads, crosswalk=xw)).write.partitionBy("window_date").parquet(paths["gold"])
     return MT.table_sizes(spark, paths).select(
         "table_name", "num_rows", ((F.col("num_files") > 0) & (F.col("size_in_bytes") > 0)).alias("has_files"))
 
