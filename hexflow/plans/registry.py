@@ -778,7 +778,7 @@ def stream_unparsed(spark, sf_dir):
 def gold_merge_duplicates(spark, sf_dir):
     """K9: every key twice in the batch, and a batch applied twice, leave one row a key."""
     target = scratch_path(spark, "merge-dup")
-    g = _gold(spark, sf_dir)
+    g = materialize(_gold(spark, sf_dir), "merge-batch")       # three times in the batches, derived once
     upsert(spark, target, g.unionByName(g))
     upsert(spark, target, g)
     return gold_out(spark.read.parquet(target))
