@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.enrich import join_crosswalk, quarantine_rows, readings, silver_rows
-from ..operators.joins import small_side
+from ..operators.joins import stream_side
 from ..operators.roads import build_crosswalk, load_roads, road_index, traffic_cells
 from ..operators.windows import congestion_windows, to_gold
 from ..sources import catalog as C
@@ -46,7 +46,7 @@ def run_scheduled_tables(spark: SparkSession, database: str, landing: str, check
     C.stream_into(stream_landing(spark, landing, schema, max_files), bronze, f"{checkpoints}/bronze")
     crosswalk = f"{database}.silver_road_crosswalk"
     C.overwrite(build_crosswalk(traffic_cells(C.read(spark, bronze)), C.read(spark, f"{database}.silver_osm_enriched")), crosswalk, cluster_by="h3_id")
-    side, _ = small_side(C.read(spark, crosswalk))
+    side = stream_side(C.read(spark, crosswalk))
 
     def enriched() -> DataFrame:
         return join_crosswalk(readings(C.stream_from(spark, bronze, max_files), as_of=as_of), side)
