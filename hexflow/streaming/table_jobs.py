@@ -56,7 +56,7 @@ def run_scheduled_tables(spark: SparkSession, database: str, landing: str, check
     C.stream_into(silver_rows(valid, more=extra), silver, f"{checkpoints}/silver")
     C.stream_into(quarantine_rows(enriched()), errors, f"{checkpoints}/quarantine")
     windows = congestion_windows(C.stream_from(spark, silver), watermark="1 second", keep_window=True)
-    q = (windows.writeStream.foreachBatch(lambda batch, _: upsert_table(batch.sparkSession, gold, to_gold(batch)) and None)
+    q = (windows.writeStream.foreachBatch(lambda batch, _: upsert_table(batch.sparkSession, gold, to_gold(batch), unique=True) and None)
          .outputMode("update").option("checkpointLocation", f"{checkpoints}/gold").trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
