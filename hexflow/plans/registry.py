@@ -561,9 +561,11 @@ def table_detail_q(spark, sf_dir):
     target = scratch_path(spark, "gold_detail")
     from ..sources.tables import with_window_date
     with_window_date(_gold(spark, sf_dir)).write.partitionBy("window_date").parquet(target)
-    d = MT.table_detail(spark, target).withColumn("k", F.lit(1))
-    days = spark.read.parquet(target).agg(F.count_distinct("window_date").alias("days"), F.lit(1).alias("k"))
-    return d.join(F.broadcast(days), "k").select(
+    d = MT.table_detail(spark, target)
+    days = spark.read.parquet(target).agg(F.count_distinct("window_date").alias("days"))
+    none = F.lit(0).cast("long")
+    both = d.withColumn("days", none).unionByName(days.select(*[none.alias(c) for c in d.columns], "days"))
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns]).select(
         "num_rows", "days", (F.col("num_files") >= F.col("days")).alias("a_file_a_day"), (F.col("size_in_bytes") > F.col("num_files")).alias("sized"))
 
 

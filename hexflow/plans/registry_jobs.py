@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.geo import add_cell
 from ..functions.parse import as_timestamp, parse_bronze
 from ..operators.alerts import read_alert_log
 from ..operators.enrich import MAX_SPEED, enrich, readings
@@ -128,7 +127,7 @@ def layout_on_write(spark, sf_dir):
     C.overwrite(M.crosswalk_of(spark, sf_dir), t, cluster_by="h3_id", files=8)
     rows = C.read(spark, t)
     bounds = rows.groupBy(F.input_file_name().alias("file")).agg(F.min("h3_id").alias("a"), F.max("h3_id").alias("b"))
-    few = bounds.agg((F.count_if((F.col("a") <= LOOKUP_CELL) & (F.col("b") >= LOOKUP_CELL)) <= 2).alias("in_few_files"), F.lit(LOOKUP_CELL).alias("h3_id"))
+    few = bounds.agg((F.count_if((F.col("a") <= LOOKUP_CELL) & (F.col("b") >= LOOKUP_CELL)) <= 2).alias("in_few_files"), F.max(F.lit(LOOKUP_CELL)).alias("h3_id"))
     return rows.where(F.col("h3_id") == LOOKUP_CELL).join(F.broadcast(few), "h3_id").select("h3_id", "osm_id", "full_road_name", "in_few_files")
 
 
