@@ -25,8 +25,8 @@ share one under every order. ORDERS orders are used:
    Pairs within a component can't change it, so no link between
    components is lost.
 4. A pair must share as many prefix shingles as its sizes ask for, and one
-   under each further order as well, before
-   its sets are joined and intersected exactly.
+   under each further order as well, before its sets are joined, first as 16
+   bits a shingle, then, where these leave it possible, whole and exactly.
 
 Sets are written once, in place; only those of candidate pairs travel. Signatures and shingles are
 64-bit hashes: results are exact but for collisions (odds about n^2 / 2^65).
@@ -58,7 +58,7 @@ K, PERCENT = 5, 80
 ORDERS = 3
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 CHUNK = 1_000_000              # shingles counted together in a task
-LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 4, 24, 2_000_000
+LEAST_LOCAL, LEAST_HEAVY, MAX_HEAVY = 2, 24, 2_000_000
 MAX_BROADCAST_NODES = 4_000_000
 OUT_ROWS = 500
 BAND = 1.12                    # ratio of the bounds of a size band
@@ -193,19 +193,34 @@ def enough_shared(shared: DataFrame) -> DataFrame:
             .where((F.col("shared") >= F.col("least")) & (F.col("first") == 1)).select("a", "b"))
 
 
+def _short(shingles):
+    """Distinct last 16 bits of the shingles of an array column."""
+    return F.array_distinct(F.transform(shingles, lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint")))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that share a prefix shingle under every further order
-    and whose sets are similar enough."""
+    and whose sets are similar enough. Before whole sets meet, 16 bits a shingle do:
+    what falls together that way counts as shared, so no pair is lost."""
     orders = [c for c in sets.columns if c.startswith("p")]
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("sig").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
-    near = pairs.join(side("a", *orders), "a").join(side("b", *orders), "b")
-    for c in orders:
-        near = near.where(F.arrays_overlap(f"a_{c}", f"b_{c}"))
+    def side(sets: DataFrame, name: str, *columns) -> DataFrame:
+        return sets.select(F.col("sig").alias(name), *[c.alias(f"{name}_{k}") for k, c in enumerate(columns)])
+    prefixes = [_short(c) for c in orders]
+    near = pairs.join(side(sets, "a", *prefixes), "a").join(side(sets, "b", *prefixes), "b")
+    for k in range(len(orders)):
+        near = near.where(F.arrays_overlap(f"a_{k}", f"b_{k}"))
+    short = _short("shingles")
+    size = F.size("shingles")
     near = written(near.select("a", "b"), "jaccard-near")
-    both = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    union = F.size("a_shingles") + F.size("b_shingles") - shared
+    both = near.join(side(sets, "a", short, size), "a").join(side(sets, "b", short, size), "b")
+    # a shared shingle stands behind a shared value, or behind one that a's shingles share among themselves
+    shared = F.size(F.array_intersect("a_0", "b_0")) + F.col("a_1") - F.size("a_0")
+    close = written(both.where(shared * (100 + PERCENT) >= (F.col("a_1") + F.col("b_1")) * PERCENT).select("a", "b"), "jaccard-close")
+    nodes = _nodes(close)
+    sets = sets.join(broadcast_below(nodes, nodes.count(), MAX_BROADCAST_NODES), "sig", "left_semi")
+    both = close.join(side(sets, "a", F.col("shingles")), "a").join(side(sets, "b", F.col("shingles")), "b")
+    shared = F.size(F.array_intersect("a_0", "b_0"))
+    union = F.size("a_0") + F.size("b_0") - shared
     return both.where(shared * 100 >= union * PERCENT).select("a", "b")
 
 
@@ -252,7 +267,8 @@ def banded(left: DataFrame, level: int, above: int) -> DataFrame:
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
-    return written(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "jaccard-nodes")
+    each = pairs.select(F.col("a").alias("sig")).distinct().unionByName(pairs.select(F.col("b").alias("sig")).distinct())
+    return written(each.distinct(), "jaccard-nodes")
 
 
 def sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -261,7 +277,7 @@ def sharing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     what falls together that way is added to the count, so no pair is lost."""
     nodes = _nodes(pairs)
     prefixes = rows.where(F.size("prefix") > 0).select("sig", "prefix").join(broadcast_below(nodes, nodes.count(), MAX_BROADCAST_NODES), "sig", "left_semi")
-    short = F.array_distinct(F.transform("prefix", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint")))
+    short = _short("prefix")
     prefixes = written(prefixes.dropDuplicates(["sig"]).select("sig", short.alias("p"), (F.size("prefix") - F.size(short)).alias("lost")), "jaccard-prefixes")
     both = (pairs.join(prefixes.select(F.col("sig").alias("a"), "p", "lost"), "a")
             .join(prefixes.select(F.col("sig").alias("b"), F.col("p").alias("q")), "b"))
