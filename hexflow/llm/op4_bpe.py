@@ -50,9 +50,9 @@ by_value(__name__)
 
 MAX_KEPT = 120_000             # pre-tokens kept per task
 KEPT_BYTES = 64                # and signs of them, on average
-RUN_BYTES = 3_000_000          # text gathered before its new pre-tokens are encoded
+RUN_BYTES = 1_000_000          # text gathered before its new pre-tokens are encoded: their index is most of a worker's memory
 LONG = 128                     # bytes of a pre-token that is encoded by itself
-OUT_ROWS = 1_000
+OUT_ROWS = 250
 
 
 def byte_signs() -> dict[int, str]:

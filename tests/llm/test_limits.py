@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from hexflow.llm import op8_jaccard_join, op9_passages
+from hexflow.llm import op4_bpe, op8_jaccard_join, op9_passages
 from hexflow.llm.shingles import WordHashes, shingle_set
 
 
@@ -49,3 +49,10 @@ def test_short_sets_lose_no_pair(spark):
     got = op8_jaccard_join.verified(spark.createDataFrame(pairs, "a long, b long"), nodes)
     want = {(a, b) for a, b in pairs if 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))}
     assert want and {tuple(x) for x in got.collect()} == want
+
+
+def test_bpe_encodes_a_megabyte_at_a_time():
+    """The index of a run's new pre-tokens is what a worker needs most memory for."""
+    texts = pa.record_batch([pa.array([f"{i} " * 400 for i in range(3_000)])], names=["text"])
+    sizes = [run.nbytes for run in op4_bpe.runs(iter([texts]), 0, op4_bpe.RUN_BYTES)]
+    assert sum(sizes) > 3_000_000 and max(sizes) < 1_100_000 and op4_bpe.OUT_ROWS <= 250
